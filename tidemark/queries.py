@@ -11,8 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import metrics, parse
-from tidemark.sources import derive, tables
+from pyspark.sql import functions as F
+
+from tidemark.operators import metrics, offsets, parse
+from tidemark.sources import derive, scenarios, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +32,28 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.parse_log(_access_log(spark, sf_dir))
 
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.topic_records(tables.load(spark, sf_dir, "events",
+                                            ["event_id", "ts", "user_id", "event_type"]))
+
+
+def _landing_job_positions(records: DataFrame) -> DataFrame:
+    saved = offsets.saved_offsets(scenarios.offset_ledger(records))
+    return saved.where(F.col("job") == "landing").drop("job")
+
+
+def _corrected(records: DataFrame) -> DataFrame:
+    return offsets.correct_offsets(scenarios.retained_bounds(records),
+                                   _landing_job_positions(records))
+
+
+def _planned(records: DataFrame) -> DataFrame:
+    return offsets.plan_offset_ranges(
+        _corrected(records), scenarios.retained_bounds(records),
+        max_rate_per_partition=scenarios.RESTART_RATE_PER_PARTITION,
+        batch_seconds=scenarios.RESTART_BATCH_SECONDS)
+
+
 # --------------------------------------------------------------------------
 # Parsing and traffic metrics
 # --------------------------------------------------------------------------
@@ -62,6 +86,46 @@ def q_batch_total(spark, sf_dir):
     return metrics.batch_total(_parsed(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------
+# Offsets: bounds, ledger, repair, planning, positioned reads
+# --------------------------------------------------------------------------
+
+def q_offset_bounds(spark, sf_dir):
+    return offsets.offset_bounds(_records(spark, sf_dir))
+
+
+def q_offset_range_audit(spark, sf_dir):
+    banded = derive.offset_bands(_records(spark, sf_dir))
+    return offsets.offset_range_audit(banded, ("band",)).withColumnRenamed("band", "batch_id")
+
+
+def q_saved_offsets(spark, sf_dir):
+    return offsets.saved_offsets(scenarios.offset_ledger(_records(spark, sf_dir)))
+
+
+def q_saved_offsets_default(spark, sf_dir):
+    records = _records(spark, sf_dir)
+    return offsets.with_default(scenarios.retained_bounds(records),
+                                _landing_job_positions(records), default=0)
+
+
+def q_correct_offsets(spark, sf_dir):
+    return _corrected(_records(spark, sf_dir))
+
+
+def q_plan_offset_ranges(spark, sf_dir):
+    return _planned(_records(spark, sf_dir))
+
+
+def q_positioned_read(spark, sf_dir):
+    records = _records(spark, sf_dir)
+    return offsets.positioned_read(records.drop("ts"), _planned(records))
+
+
+def q_starting_offsets_json(spark, sf_dir):
+    return offsets.starting_offsets_json(_corrected(_records(spark, sf_dir)))
+
+
 QUERIES: dict[str, QueryFn] = {
     "parse_log": q_parse_log,
     "parse_rejects": q_parse_rejects,
@@ -70,6 +134,14 @@ QUERIES: dict[str, QueryFn] = {
     "uv_by_day": q_uv_by_day,
     "uv_members_by_day": q_uv_members_by_day,
     "batch_total": q_batch_total,
+    "offset_bounds": q_offset_bounds,
+    "offset_range_audit": q_offset_range_audit,
+    "saved_offsets": q_saved_offsets,
+    "saved_offsets_default": q_saved_offsets_default,
+    "correct_offsets": q_correct_offsets,
+    "plan_offset_ranges": q_plan_offset_ranges,
+    "positioned_read": q_positioned_read,
+    "starting_offsets_json": q_starting_offsets_json,
 }
 
 
@@ -104,6 +176,49 @@ parsed AS (
 
 _WITH_PARSED = f"WITH {_ACCESS_LOG},{_PARSED_ALL}\n"
 
+_RECORDS = """
+records AS (
+  SELECT 'events' AS topic, CAST(((user_id % 8) + 8) % 8 AS INTEGER) AS partition,
+         CAST(row_number() OVER (PARTITION BY ((user_id % 8) + 8) % 8 ORDER BY event_id) - 1
+              AS BIGINT) AS "offset",
+         'key-' || CAST(event_id AS VARCHAR) AS key, value, ts
+  FROM access_log),
+sizes AS (SELECT topic, partition, count(*) AS n FROM records GROUP BY topic, partition),
+retained AS (SELECT topic, partition, n // 4 AS earliest, n AS latest FROM sizes),
+cases AS (
+  SELECT topic, partition,
+    CASE ((partition % 4) + 4) % 4 WHEN 1 THEN n + 10 WHEN 2 THEN n // 8 WHEN 3 THEN n // 2 END
+      AS until_offset
+  FROM sizes),
+ledger AS (
+  SELECT 'counters' AS job, topic, partition, max("offset") + 1 AS until_offset, 0 AS epoch,
+         least("offset" // 300, 4) AS batch_id
+  FROM records GROUP BY topic, partition, least("offset" // 300, 4)
+  UNION ALL
+  SELECT 'counters', topic, partition, least(n, n // 4 + 10 * 5), 1, 0 FROM sizes
+  UNION ALL
+  SELECT 'landing', topic, partition, until_offset, 0, 0 FROM cases WHERE until_offset IS NOT NULL),
+last_epoch AS (SELECT job, topic, partition, max(epoch) AS epoch FROM ledger GROUP BY ALL),
+saved AS (
+  SELECT l.job, l.topic, l.partition, max(l.until_offset) AS "offset"
+  FROM ledger l JOIN last_epoch e USING (job, topic, partition, epoch)
+  GROUP BY l.job, l.topic, l.partition),
+landing_saved AS (SELECT topic, partition, "offset" FROM saved WHERE job = 'landing'),
+corrected AS (
+  SELECT b.topic, b.partition, b.earliest, coalesce(b.latest, 0) AS latest,
+    coalesce(s."offset", 0) AS saved_offset,
+    CASE WHEN coalesce(s."offset", 0) > coalesce(b.latest, 0) OR coalesce(s."offset", 0) < b.earliest
+         THEN b.earliest ELSE coalesce(s."offset", 0) END AS start_offset,
+    (coalesce(s."offset", 0) > coalesce(b.latest, 0) OR coalesce(s."offset", 0) < b.earliest)
+      AS repaired
+  FROM retained b LEFT JOIN landing_saved s USING (topic, partition)),
+planned AS (
+  SELECT c.topic, c.partition, c.start_offset AS from_offset,
+    greatest(least(b.latest, c.start_offset + 10 * 5), c.start_offset) AS until_offset
+  FROM corrected c JOIN retained b USING (topic, partition))"""
+
+_WITH_RECORDS = f"WITH {_ACCESS_LOG},{_RECORDS}\n"
+
 ORACLE_SQL: dict[str, str] = {
     "parse_log": _WITH_PARSED + "SELECT event_id, hour, user_id, site_id FROM parsed",
     "parse_rejects": _WITH_PARSED + """
@@ -116,4 +231,27 @@ WHERE hour IS NULL OR user_id IS NULL OR site_id IS NULL""",
     + "SELECT day, count(DISTINCT user_id) AS uv FROM parsed GROUP BY day",
     "uv_members_by_day": _WITH_PARSED + "SELECT DISTINCT day, user_id FROM parsed",
     "batch_total": _WITH_PARSED + "SELECT count(*) AS events FROM parsed",
+    "offset_bounds": _WITH_RECORDS + """
+SELECT topic, partition, min("offset") AS earliest, max("offset") + 1 AS latest
+FROM records GROUP BY topic, partition""",
+    "offset_range_audit": _WITH_RECORDS + """
+SELECT least("offset" // 300, 4) AS batch_id, topic, partition, min("offset") AS from_offset,
+       max("offset") + 1 AS until_offset, count(*) AS records
+FROM records GROUP BY ALL""",
+    "saved_offsets": _WITH_RECORDS + 'SELECT job, topic, partition, "offset" FROM saved',
+    "saved_offsets_default": _WITH_RECORDS + """
+SELECT b.topic, b.partition, coalesce(s."offset", 0) AS "offset"
+FROM retained b LEFT JOIN landing_saved s USING (topic, partition)""",
+    "correct_offsets": _WITH_RECORDS + "SELECT * FROM corrected",
+    "plan_offset_ranges": _WITH_RECORDS + "SELECT * FROM planned",
+    "positioned_read": _WITH_RECORDS + """
+SELECT r.topic, r.partition, r."offset", r.key, r.value
+FROM records r JOIN planned p USING (topic, partition)
+WHERE r."offset" >= p.from_offset AND r."offset" < p.until_offset""",
+    "starting_offsets_json": _WITH_RECORDS + """
+SELECT topic, '{"' || topic || '":{'
+       || string_agg('"' || CAST(partition AS VARCHAR) || '":' || CAST(start_offset AS VARCHAR), ','
+                     ORDER BY partition)
+       || '}}' AS starting_offsets
+FROM corrected GROUP BY topic""",
 }
