@@ -13,8 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import metrics, offsets, parse
-from tidemark.sources import derive, scenarios, tables
+from tidemark.functions.encode import action_of, record_key, user_log_value
+from tidemark.operators import landing, metrics, offsets, parse
+from tidemark.plans import ingest, traffic
+from tidemark.session import scratch_path
+from tidemark.sources import derive, files, scenarios, tables
+from tidemark.streaming import counters, ledger
+from tidemark.streaming.runner import run_available
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +131,172 @@ def q_starting_offsets_json(spark, sf_dir):
     return offsets.starting_offsets_json(_corrected(_records(spark, sf_dir)))
 
 
+# --------------------------------------------------------------------------
+# Landing tables and record encoding
+# --------------------------------------------------------------------------
+
+# Injected clock of the batch-date queries: batch b is processed on day
+# BATCH_CLOCK_START + b.
+BATCH_CLOCK_START = "2024-02-01"
+
+
+def _batch_day(b: int) -> str:
+    import datetime as dt
+    return (dt.date.fromisoformat(BATCH_CLOCK_START) + dt.timedelta(days=int(b))).isoformat()
+
+
+def q_land_batch_date(spark, sf_dir):
+    """Each offset band is one batch, inserted into its static date partition."""
+    db = landing.create_database(spark)
+    table = landing.create_landing_table(spark, f"{db}.landing")
+    banded = derive.offset_bands(_records(spark, sf_dir))
+    staged = scratch_path(spark, "bands")
+    banded.select("value", "band").write.partitionBy("band").parquet(staged)
+    staged_df = spark.read.schema("value STRING, band BIGINT").parquet(staged)
+    for b in range(derive.DEFAULT_LAST_BAND + 1):
+        landing.insert_batch_partition(staged_df.where(F.col("band") == b), table, _batch_day(b))
+    return landing.landing_scan(spark, table)
+
+
+def q_land_row_date(spark, sf_dir):
+    db = landing.create_database(spark)
+    table = f"{db}.landing_by_row_date"
+    landing.append_by_row_date(_access_log(spark, sf_dir), table)
+    return landing.landing_scan(spark, table)
+
+
+def q_landing_partition_counts(spark, sf_dir):
+    db = landing.create_database(spark)
+    table = f"{db}.landing_by_row_date"
+    landing.append_by_row_date(_access_log(spark, sf_dir), table)
+    return (landing.landing_scan(spark, table).groupBy("pd")
+            .agg(F.count(F.lit(1)).alias("records")))
+
+
+def q_insert_by_columns(spark, sf_dir):
+    """``INSERT INTO t1 (pt_date, record) SELECT ...``: column list in a
+    different order than the table's."""
+    db = landing.create_database(spark)
+    table = f"{db}.t1"
+    spark.sql(f"CREATE TABLE {landing.quote_ident(table)} (record STRING, pt_date STRING) "
+              "USING parquet PARTITIONED BY (pt_date)")
+    src = landing.stamp_row_date(_access_log(spark, sf_dir)).select(
+        F.col("pd").alias("pt_date"), "record")
+    landing.insert_by_columns(spark, table, ["pt_date", "record"], src)
+    return spark.table(table)
+
+
+def q_landing_scan(spark, sf_dir):
+    """The SQL route: batch as a temp view, ``USE db``, static-partition
+    ``INSERT ... SELECT record FROM view``, then ``SELECT * FROM t``."""
+    db = landing.create_database(spark)
+    landing.create_landing_table(spark, f"{db}.landing")
+    landing.payload(_access_log(spark, sf_dir)).createOrReplaceTempView("t2")
+    previous = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(db)
+    try:
+        spark.sql("INSERT INTO landing PARTITION (pd = :d) SELECT record FROM t2",
+                  args={"d": BATCH_CLOCK_START})
+        return spark.sql("SELECT * FROM landing").select("record", "pd")
+    finally:
+        spark.catalog.setCurrentDatabase(previous)
+
+
+def q_encode_user_log(spark, sf_dir):
+    ev = tables.load(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    return ev.select(
+        record_key("event_id").alias("key"),
+        user_log_value("ts", "user_id", F.get_json_object("props", "$.k"), "event_type",
+                       action_of("event_type")).alias("value"))
+
+
+# --------------------------------------------------------------------------
+# Streaming: running counters, replay-safe ledger, landing ingest
+# --------------------------------------------------------------------------
+
+def _landed_topic(spark, sf_dir) -> str:
+    """The derived topic as band files, one write per band, in band order."""
+    path = scratch_path(spark, "topic")
+    banded = derive.offset_bands(_records(spark, sf_dir))
+    files.land_records(banded, path, list(range(derive.DEFAULT_LAST_BAND + 1)))
+    return path
+
+
+def _run_complete(spark, result, name):
+    out = scratch_path(spark, name)
+    writer = counters.complete_to_table(result, out).option(
+        "checkpointLocation", scratch_path(spark, name + "_checkpoint"))
+    run_available(writer)
+    return spark.read.parquet(out)
+
+
+def q_stream_pv_by_hour(spark, sf_dir):
+    stream = files.record_stream(spark, _landed_topic(spark, sf_dir), max_files_per_trigger=1)
+    return _run_complete(spark, counters.running_pv_by_hour(stream), "pv")
+
+
+def q_stream_uv_by_day(spark, sf_dir):
+    stream = files.record_stream(spark, _landed_topic(spark, sf_dir), max_files_per_trigger=1)
+    return _run_complete(spark, counters.running_uv_by_day(stream), "uv")
+
+
+CRASH_AFTER_BATCH = 2
+
+
+def _crash_then_resume(start):
+    """Run with a failure injected after a batch's write, then resume on the
+    same checkpoint."""
+    try:
+        start(CRASH_AFTER_BATCH)
+    except Exception as e:  # noqa: BLE001
+        if "injected failure" not in str(e):
+            raise
+    start(None)
+
+
+def _traffic_ledger(spark, sf_dir):
+    topic = _landed_topic(spark, sf_dir)
+    path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "traffic_checkpoint")
+    _crash_then_resume(lambda crash: traffic.start_traffic_job(
+        spark, files.record_stream(spark, topic, max_files_per_trigger=1), path, cp,
+        crash_after_batch=crash))
+    return ledger.read_ledger(spark, path)
+
+
+def q_ledger_pv(spark, sf_dir):
+    return ledger.ledger_pv(_traffic_ledger(spark, sf_dir))
+
+
+def q_ledger_site_pv(spark, sf_dir):
+    return ledger.ledger_site_pv(_traffic_ledger(spark, sf_dir))
+
+
+def q_ledger_uv(spark, sf_dir):
+    return ledger.ledger_uv(_traffic_ledger(spark, sf_dir))
+
+
+def _ingest(spark, sf_dir):
+    topic = _landed_topic(spark, sf_dir)
+    land = scratch_path(spark, "landing")
+    path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "ingest_checkpoint")
+    _crash_then_resume(lambda crash: ingest.start_ingest_job(
+        spark, files.record_stream(spark, topic, max_files_per_trigger=1), land, path, cp,
+        date_mode="row", crash_after_batch=crash))
+    return land, path
+
+
+def q_resume_exactly_once(spark, sf_dir):
+    """Landing ingest with a crash after a batch's write and a restart: every
+    record lands exactly once."""
+    land, _ = _ingest(spark, sf_dir)
+    return ingest.read_landing(spark, land)
+
+
+def q_stream_saved_offsets(spark, sf_dir):
+    _, path = _ingest(spark, sf_dir)
+    return ledger.ledger_positions(ledger.read_ledger(spark, path))
+
+
 QUERIES: dict[str, QueryFn] = {
     "parse_log": q_parse_log,
     "parse_rejects": q_parse_rejects,
@@ -142,6 +313,19 @@ QUERIES: dict[str, QueryFn] = {
     "plan_offset_ranges": q_plan_offset_ranges,
     "positioned_read": q_positioned_read,
     "starting_offsets_json": q_starting_offsets_json,
+    "land_batch_date": q_land_batch_date,
+    "land_row_date": q_land_row_date,
+    "landing_partition_counts": q_landing_partition_counts,
+    "insert_by_columns": q_insert_by_columns,
+    "landing_scan": q_landing_scan,
+    "encode_user_log": q_encode_user_log,
+    "stream_pv_by_hour": q_stream_pv_by_hour,
+    "stream_uv_by_day": q_stream_uv_by_day,
+    "ledger_pv": q_ledger_pv,
+    "ledger_site_pv": q_ledger_site_pv,
+    "ledger_uv": q_ledger_uv,
+    "resume_exactly_once": q_resume_exactly_once,
+    "stream_saved_offsets": q_stream_saved_offsets,
 }
 
 
@@ -218,6 +402,7 @@ planned AS (
   FROM corrected c JOIN retained b USING (topic, partition))"""
 
 _WITH_RECORDS = f"WITH {_ACCESS_LOG},{_RECORDS}\n"
+_WITH_ACCESS = f"WITH {_ACCESS_LOG}\n"
 
 ORACLE_SQL: dict[str, str] = {
     "parse_log": _WITH_PARSED + "SELECT event_id, hour, user_id, site_id FROM parsed",
@@ -254,4 +439,29 @@ SELECT topic, '{"' || topic || '":{'
                      ORDER BY partition)
        || '}}' AS starting_offsets
 FROM corrected GROUP BY topic""",
+    "land_batch_date": _WITH_RECORDS + """
+SELECT value AS record,
+       strftime(DATE '2024-02-01' + CAST(least("offset" // 300, 4) AS INTEGER), '%Y-%m-%d') AS pd
+FROM records""",
+    "land_row_date": _WITH_ACCESS + "SELECT value AS record, strftime(ts, '%Y-%m-%d') AS pd FROM access_log",
+    "landing_partition_counts": _WITH_ACCESS + """
+SELECT strftime(ts, '%Y-%m-%d') AS pd, count(*) AS records FROM access_log GROUP BY 1""",
+    "insert_by_columns": _WITH_ACCESS
+    + "SELECT value AS record, strftime(ts, '%Y-%m-%d') AS pt_date FROM access_log",
+    "landing_scan": _WITH_ACCESS + "SELECT value AS record, '2024-02-01' AS pd FROM access_log",
+    "encode_user_log": """
+SELECT 'key-' || CAST(event_id AS VARCHAR) AS key,
+       strftime(ts, '%Y-%m-%d') || CAST(epoch_us(ts) // 1000 AS VARCHAR) || CAST(user_id AS VARCHAR)
+       || json_extract_string(props, '$.k') || event_type
+       || CASE WHEN event_type = 'signup' THEN 'Register' ELSE 'View' END AS value
+FROM events""",
+    "stream_saved_offsets": _WITH_RECORDS + 'SELECT topic, partition, n AS "offset" FROM sizes',
+    "resume_exactly_once": _WITH_ACCESS
+    + "SELECT value AS record, strftime(ts, '%Y-%m-%d') AS pd FROM access_log",
 }
+# Streaming and ledger views must equal their batch counterparts.
+ORACLE_SQL["stream_pv_by_hour"] = ORACLE_SQL["pv_by_hour"]
+ORACLE_SQL["ledger_pv"] = ORACLE_SQL["pv_by_hour"]
+ORACLE_SQL["ledger_site_pv"] = ORACLE_SQL["site_pv_by_hour"]
+ORACLE_SQL["stream_uv_by_day"] = ORACLE_SQL["uv_by_day"]
+ORACLE_SQL["ledger_uv"] = ORACLE_SQL["uv_by_day"]
