@@ -222,6 +222,12 @@ def _landed_topic(spark, sf_dir) -> str:
     return path
 
 
+def _topic_stream(spark, path):
+    """The landed topic as a stream, about one micro-batch per offset band."""
+    per_batch = files.files_per_batch(spark, path, derive.DEFAULT_LAST_BAND + 1)
+    return files.record_stream(spark, path, max_files_per_trigger=per_batch)
+
+
 def _run_complete(spark, result, name):
     out = scratch_path(spark, name)
     writer = counters.complete_to_table(result, out).option(
@@ -231,12 +237,12 @@ def _run_complete(spark, result, name):
 
 
 def q_stream_pv_by_hour(spark, sf_dir):
-    stream = files.record_stream(spark, _landed_topic(spark, sf_dir), max_files_per_trigger=1)
+    stream = _topic_stream(spark, _landed_topic(spark, sf_dir))
     return _run_complete(spark, counters.running_pv_by_hour(stream), "pv")
 
 
 def q_stream_uv_by_day(spark, sf_dir):
-    stream = files.record_stream(spark, _landed_topic(spark, sf_dir), max_files_per_trigger=1)
+    stream = _topic_stream(spark, _landed_topic(spark, sf_dir))
     return _run_complete(spark, counters.running_uv_by_day(stream), "uv")
 
 
@@ -258,7 +264,7 @@ def _traffic_ledger(spark, sf_dir):
     topic = _landed_topic(spark, sf_dir)
     path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "traffic_checkpoint")
     _crash_then_resume(lambda crash: traffic.start_traffic_job(
-        spark, files.record_stream(spark, topic, max_files_per_trigger=1), path, cp,
+        spark, _topic_stream(spark, topic), path, cp,
         crash_after_batch=crash))
     return ledger.read_ledger(spark, path)
 
@@ -280,7 +286,7 @@ def _ingest(spark, sf_dir):
     land = scratch_path(spark, "landing")
     path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "ingest_checkpoint")
     _crash_then_resume(lambda crash: ingest.start_ingest_job(
-        spark, files.record_stream(spark, topic, max_files_per_trigger=1), land, path, cp,
+        spark, _topic_stream(spark, topic), land, path, cp,
         date_mode="row", crash_after_batch=crash))
     return land, path
 

@@ -34,6 +34,13 @@ def land_records(records: DataFrame, path: str, bands: list[int], band_col: str
     return list(bands)
 
 
+def files_per_batch(spark: SparkSession, path: str, batches: int) -> int:
+    """``maxFilesPerTrigger`` that replays the files under ``path`` in about
+    ``batches`` micro-batches (driver-side file listing only)."""
+    n = len(spark.read.schema(RECORD_SCHEMA).parquet(path).inputFiles())
+    return max(1, -(-n // max(1, int(batches))))
+
+
 def record_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(RECORD_SCHEMA).format("parquet")
     if max_files_per_trigger is not None:
