@@ -22,11 +22,19 @@ from tidemark.session import ensure_checkpoint_dir
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and its lineage cut into the shared checkpoint
+    folder (reliable: survives executor loss).  For small derived tables read
+    by several branches of a plan, where column pruning would otherwise give
+    every branch its own copy of the upstream work."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def materialize_small(df: DataFrame) -> tuple[DataFrame, int]:
     """Cut the lineage of a small table into the shared checkpoint folder and
     return it with its exact row count."""
-    ensure_checkpoint_dir(df.sparkSession)
-    small = df.checkpoint(eager=True)
+    small = checkpointed(df)
     return small, small.count()
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.encode import action_of, record_key, user_log_value
 from tidemark.operators import landing, metrics, offsets, parse
+from tidemark.operators.joins import checkpointed
 from tidemark.plans import ingest, traffic
 from tidemark.session import scratch_path
 from tidemark.sources import derive, files, scenarios, tables
@@ -42,19 +43,25 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             ["event_id", "ts", "user_id", "event_type"]))
 
 
-def _landing_job_positions(records: DataFrame) -> DataFrame:
-    saved = offsets.saved_offsets(scenarios.offset_ledger(records))
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-(partition, band) audit of the topic: one pass over the records,
+    materialised because every offset scenario reads it several times."""
+    return checkpointed(scenarios.band_audit(_records(spark, sf_dir)))
+
+
+def _landing_job_positions(audit: DataFrame) -> DataFrame:
+    saved = offsets.saved_offsets(scenarios.offset_ledger(audit))
     return saved.where(F.col("job") == "landing").drop("job")
 
 
-def _corrected(records: DataFrame) -> DataFrame:
-    return offsets.correct_offsets(scenarios.retained_bounds(records),
-                                   _landing_job_positions(records))
+def _corrected(audit: DataFrame) -> DataFrame:
+    return offsets.correct_offsets(scenarios.retained_bounds(audit),
+                                   _landing_job_positions(audit))
 
 
-def _planned(records: DataFrame) -> DataFrame:
+def _planned(audit: DataFrame) -> DataFrame:
     return offsets.plan_offset_ranges(
-        _corrected(records), scenarios.retained_bounds(records),
+        _corrected(audit), scenarios.retained_bounds(audit),
         max_rate_per_partition=scenarios.RESTART_RATE_PER_PARTITION,
         batch_seconds=scenarios.RESTART_BATCH_SECONDS)
 
@@ -100,35 +107,35 @@ def q_offset_bounds(spark, sf_dir):
 
 
 def q_offset_range_audit(spark, sf_dir):
-    banded = derive.offset_bands(_records(spark, sf_dir))
-    return offsets.offset_range_audit(banded, ("band",)).withColumnRenamed("band", "batch_id")
+    return _audit(spark, sf_dir).withColumnRenamed("band", "batch_id")
 
 
 def q_saved_offsets(spark, sf_dir):
-    return offsets.saved_offsets(scenarios.offset_ledger(_records(spark, sf_dir)))
+    return offsets.saved_offsets(scenarios.offset_ledger(_audit(spark, sf_dir)))
 
 
 def q_saved_offsets_default(spark, sf_dir):
-    records = _records(spark, sf_dir)
-    return offsets.with_default(scenarios.retained_bounds(records),
-                                _landing_job_positions(records), default=0)
+    audit = _audit(spark, sf_dir)
+    return offsets.with_default(scenarios.retained_bounds(audit),
+                                _landing_job_positions(audit), default=0)
 
 
 def q_correct_offsets(spark, sf_dir):
-    return _corrected(_records(spark, sf_dir))
+    return _corrected(_audit(spark, sf_dir))
 
 
 def q_plan_offset_ranges(spark, sf_dir):
-    return _planned(_records(spark, sf_dir))
+    return _planned(_audit(spark, sf_dir))
 
 
 def q_positioned_read(spark, sf_dir):
     records = _records(spark, sf_dir)
-    return offsets.positioned_read(records.drop("ts"), _planned(records))
+    audit = checkpointed(scenarios.band_audit(records))
+    return offsets.positioned_read(records.drop("ts"), _planned(audit))
 
 
 def q_starting_offsets_json(spark, sf_dir):
-    return offsets.starting_offsets_json(_corrected(_records(spark, sf_dir)))
+    return offsets.starting_offsets_json(_corrected(_audit(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------------

@@ -1,8 +1,9 @@
 """Offset states derived from the record topic, for repair and ledger queries.
 
 A live deployment reads these from the broker and from its own ledger; here
-they are computed from :func:`tidemark.sources.derive.topic_records` so that
-Spark and the SQL oracle see the same facts:
+they are computed from :func:`tidemark.sources.derive.topic_records` - through
+one per-band audit aggregate, :func:`band_audit` - so that Spark and the SQL
+oracle see the same facts:
 
 * :func:`retained_bounds` - the topic after retention removed the first
   quarter of every partition: ``earliest = n div 4``, ``latest = n``.
@@ -33,32 +34,38 @@ RESTART_RATE_PER_PARTITION = 10
 RESTART_BATCH_SECONDS = 5
 
 
-def partition_sizes(records: DataFrame) -> DataFrame:
-    return records.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+def band_audit(records: DataFrame) -> DataFrame:
+    """``(band, topic, partition, from_offset, until_offset, records)``: the one
+    pass over the records every scenario below is derived from (the same
+    DataFrame used several times lets Spark reuse its exchange)."""
+    return offset_range_audit(offset_bands(records), ("band",))
 
 
-def retained_bounds(records: DataFrame) -> DataFrame:
+def partition_sizes(audit: DataFrame) -> DataFrame:
+    return audit.groupBy(*KEY).agg(F.sum("records").alias("n"))
+
+
+def retained_bounds(audit: DataFrame) -> DataFrame:
     """``(topic, partition, earliest, latest)`` after retention."""
-    return partition_sizes(records).select(
+    return partition_sizes(audit).select(
         *KEY, F.expr(f"n div {RETENTION_DIVISOR}").alias("earliest"), F.col("n").alias("latest"))
 
 
-def repair_case_positions(records: DataFrame) -> DataFrame:
+def repair_case_positions(audit: DataFrame) -> DataFrame:
     """``(topic, partition, until_offset)``: saved positions covering the cases."""
     case = F.pmod(F.col("partition"), F.lit(4))
     until = (F.when(case == 1, F.col("n") + AHEAD_BY)
              .when(case == 2, F.expr(f"n div {BEHIND_DIVISOR}"))
              .when(case == 3, F.expr(f"n div {VALID_DIVISOR}")))
-    return (partition_sizes(records).select(*KEY, until.cast("bigint").alias("until_offset"))
+    return (partition_sizes(audit).select(*KEY, until.cast("bigint").alias("until_offset"))
             .where(F.col("until_offset").isNotNull()))
 
 
-def offset_ledger(records: DataFrame) -> DataFrame:
+def offset_ledger(audit: DataFrame) -> DataFrame:
     """``(job, topic, partition, until_offset, epoch, batch_id)``."""
-    banded = offset_range_audit(offset_bands(records), ("band",))
-    epoch0 = ledger_offset_rows(banded, job="counters", epoch=0, batch_col="band")
+    epoch0 = ledger_offset_rows(audit, job="counters", epoch=0, batch_col="band")
 
-    sizes = partition_sizes(records)
+    sizes = partition_sizes(audit)
     restart_from = F.expr(f"n div {RETENTION_DIVISOR}")
     epoch1 = sizes.select(
         F.lit("counters").alias("job"), *KEY,
@@ -66,7 +73,7 @@ def offset_ledger(records: DataFrame) -> DataFrame:
         .cast("bigint").alias("until_offset"),
         F.lit(1).alias("epoch"), F.lit(0).cast("bigint").alias("batch_id"))
 
-    landing = repair_case_positions(records).select(
+    landing = repair_case_positions(audit).select(
         F.lit("landing").alias("job"), *KEY, "until_offset",
         F.lit(0).alias("epoch"), F.lit(0).cast("bigint").alias("batch_id"))
     return epoch0.unionByName(epoch1).unionByName(landing)

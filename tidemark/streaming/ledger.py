@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.logparse import day_key, parse_ok
 from tidemark.operators import metrics, offsets
-from tidemark.operators.parse import parse_log
+from tidemark.operators.parse import with_log_fields
 
 LEDGER_SCHEMA = ("k STRING, site_id STRING, member STRING, delta BIGINT, topic STRING, "
                  "partition INT, until_offset BIGINT, metric STRING, epoch INT, batch_id BIGINT")
@@ -39,28 +40,49 @@ def ledger_rows(df: DataFrame, metric: str, **cols) -> DataFrame:
     return df.select(*out)
 
 
+# grouping_id() of each grouping set over (hour, site_id, day, user_id, topic,
+# partition): a bit is 1 when the column is NOT grouped, first column = MSB.
+_SETS = {
+    "pv": (["hour"], 0b011111),
+    "site_pv": (["site_id", "hour"], 0b001111),
+    "uv": (["day", "user_id"], 0b110011),
+    "offset": (["topic", "partition"], 0b111100),
+}
+_SET_COLUMNS = ("hour", "site_id", "day", "user_id", "topic", "partition")
+
+
 def batch_ledger_rows(batch: DataFrame, epoch: int, batch_id: int,
                       line_col: str = "value") -> DataFrame:
-    """All ledger rows of one micro-batch of decoded records.
+    """All ledger rows of one micro-batch of decoded records, from ONE
+    aggregation: ``GROUPING SETS ((hour), (site_id, hour), (day, user_id),
+    (topic, partition))`` - one Expand, one partial aggregate, one exchange.
 
-    ``pv``/``site_pv`` rows carry per-key deltas (partial-aggregated before the
-    shuffle), ``uv`` rows one member per ``(day, user_id)`` of the batch, and
-    ``offset`` rows the half-open range end read from each partition.
+    Lines that do not parse still advance the position (they are part of the
+    offset range) but count nowhere: ``n`` counts parsed lines only, and metric
+    groups with ``n = 0`` are dropped.
     """
-    parsed = parse_log(batch, line_col)
-    pv = metrics.pv_by_hour(parsed)
-    site = metrics.site_pv_by_hour(parsed)
-    members = metrics.uv_members_by_day(parsed)
-    ranges = offsets.offset_range_audit(batch)
-    rows = (ledger_rows(pv, "pv", k=F.col("hour"), delta=F.col("pv"))
-            .unionByName(ledger_rows(site, "site_pv", k=F.col("hour"), site_id=F.col("site_id"),
-                                     delta=F.col("pv")))
-            .unionByName(ledger_rows(members, "uv", k=F.col("day"), member=F.col("user_id"),
-                                     delta=F.lit(1)))
-            .unionByName(ledger_rows(ranges, "offset", topic=F.col("topic"),
-                                     partition=F.col("partition"),
-                                     until_offset=F.col("until_offset"))))
-    return rows.withColumn("epoch", F.lit(int(epoch))).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+    fields = with_log_fields(batch, line_col)
+    x = fields.select("topic", "partition", "offset", "hour", "site_id", "user_id",
+                      day_key("hour").alias("day"), parse_ok().alias("ok"))
+    agg = (x.groupingSets([cols for cols, _ in _SETS.values()], *_SET_COLUMNS)
+           .agg(F.count(F.when(F.col("ok"), F.lit(1))).alias("n"),
+                (F.max("offset") + 1).alias("until_offset"),
+                F.grouping_id().alias("gid")))
+    gid = F.col("gid")
+    metric = F.when(gid == _SETS["pv"][1], F.lit("pv"))
+    for name in ("site_pv", "uv", "offset"):
+        metric = metric.when(gid == _SETS[name][1], F.lit(name))
+    is_offset = gid == _SETS["offset"][1]
+    rows = agg.where(is_offset | (F.col("n") > 0)).select(
+        metric.alias("metric"),
+        F.when(gid == _SETS["uv"][1], F.col("day")).otherwise(F.col("hour")).alias("k"),
+        "site_id",
+        F.col("user_id").alias("member"),
+        F.when(gid == _SETS["uv"][1], F.lit(1)).otherwise(F.col("n")).cast("bigint").alias("delta"),
+        "topic", F.col("partition").cast("int").alias("partition"),
+        F.when(is_offset, F.col("until_offset")).cast("bigint").alias("until_offset"))
+    return (rows.withColumn("epoch", F.lit(int(epoch)))
+            .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
 
 
 def write_ledger(rows: DataFrame, path: str) -> None:
