@@ -105,3 +105,16 @@ def test_uv_with_watermark_matches_when_in_order(spark, scratch):
     got = {r["day"]: r["uv"] for r in spark.read.parquet(out).collect()}
     want = {r["day"]: r["uv"] for r in metrics.uv_by_day(parse.parse_log(q._access_log(spark, SF))).collect()}
     assert got == want
+
+
+def test_checkpoint_only_positions_new_checkpoint_keeps_old_data(spark, scratch):
+    """Without ledger positions, a second checkpoint still gets a new epoch and
+    lands alongside the first run instead of overwriting it."""
+    topic = _topic(spark, scratch)
+    land, path = scratch("landing"), scratch("ledger")
+    ingest.start_ingest_job(spark, _stream(spark, topic), land, path, scratch("cp1"),
+                            write_positions=False)
+    ingest.start_ingest_job(spark, _stream(spark, topic), land, path, scratch("cp2"),
+                            write_positions=False)
+    n = q._access_log(spark, SF).count()
+    assert ingest.read_landing(spark, land).count() == 2 * n

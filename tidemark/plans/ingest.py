@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.landing import stamp_batch_date, stamp_row_date
-from tidemark.operators.offsets import offset_range_audit
+from tidemark.plans.positions import position_rows
 from tidemark.streaming.ledger import ledger_rows, max_epoch, read_ledger, write_ledger
 from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
 
@@ -77,12 +77,7 @@ def ingest_batch_writer(landing_path: str, ledger_path: str, epoch: int,
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*LANDED_PARTITIONS).parquet(landing_path))
             if write_positions:
-                ranges = offset_range_audit(batch)
-                rows = ledger_rows(ranges, "offset", topic=F.col("topic"),
-                                   partition=F.col("partition"),
-                                   until_offset=F.col("until_offset"))
-                write_ledger(rows.withColumn("epoch", F.lit(epoch))
-                             .withColumn("batch_id", F.lit(batch_id).cast("bigint")), ledger_path)
+                write_ledger(position_rows(batch, epoch, batch_id), ledger_path)
         finally:
             batch.unpersist()
         if crash_after_batch is not None and batch_id == crash_after_batch:
@@ -95,7 +90,11 @@ def start_ingest_job(spark: SparkSession, records: DataFrame, landing_path: str,
                      clock=utc_today, write_positions: bool = True,
                      crash_after_batch: int | None = None,
                      processing_time: str | None = None) -> StreamingQuery:
-    epoch = resolve_epoch(spark, checkpoint, max_epoch(spark, ledger_path))
+    # A new checkpoint must not reuse an epoch present in either output, or its
+    # (epoch, batch_id) overwrites could replace partitions of an older run.
+    known = [e for e in (max_epoch(spark, ledger_path),
+                         max_epoch(spark, landing_path, LANDED_SCHEMA)) if e is not None]
+    epoch = resolve_epoch(spark, checkpoint, max(known) if known else None)
     writer = (records.writeStream
               .foreachBatch(ingest_batch_writer(landing_path, ledger_path, epoch, date_mode,
                                                 clock, write_positions, crash_after_batch))

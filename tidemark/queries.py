@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.encode import action_of, record_key, user_log_value
 from tidemark.operators import landing, metrics, offsets, parse
 from tidemark.operators.joins import checkpointed
-from tidemark.plans import ingest, traffic
+from tidemark.plans import ingest, positions, traffic
 from tidemark.session import scratch_path
 from tidemark.sources import derive, files, scenarios, tables
 from tidemark.streaming import counters, ledger
@@ -306,7 +306,12 @@ def q_resume_exactly_once(spark, sf_dir):
 
 
 def q_stream_saved_offsets(spark, sf_dir):
-    _, path = _ingest(spark, sf_dir)
+    """Positions-only job, crash after a batch's write, restart: the saved
+    position of every partition is its end."""
+    topic = _landed_topic(spark, sf_dir)
+    path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "positions_checkpoint")
+    _crash_then_resume(lambda crash: positions.start_positions_job(
+        spark, _topic_stream(spark, topic), path, cp, crash_after_batch=crash))
     return ledger.ledger_positions(ledger.read_ledger(spark, path))
 
 

@@ -130,14 +130,12 @@ def ledger_positions(ledger: DataFrame) -> DataFrame:
     return offsets.saved_offsets(rows, keys=())
 
 
-def max_epoch(spark: SparkSession, path: str) -> int | None:
-    """Newest epoch present in the ledger (``None`` when empty or absent).
+def max_epoch(spark: SparkSession, path: str, schema: str = LEDGER_SCHEMA) -> int | None:
+    """Newest ``epoch`` partition value under ``path`` (``None`` when absent).
 
-    Reads only the offset rows' ``epoch`` partition column (a directory listing
-    plus a tiny aggregate)."""
+    Only the partition column is requested, so no data pages are read."""
     try:
-        r = read_ledger(spark, path).where(F.col("metric") == "offset").agg(
-            F.max("epoch").alias("e")).collect()
-    except Exception:  # noqa: BLE001 - a missing ledger path means "no epoch yet"
+        r = spark.read.schema(schema).parquet(path).agg(F.max("epoch").alias("e")).collect()
+    except Exception:  # noqa: BLE001 - a missing path means "no epoch yet"
         return None
     return r[0]["e"] if r else None
