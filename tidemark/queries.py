@@ -288,6 +288,11 @@ def q_ledger_uv(spark, sf_dir):
     return ledger.ledger_uv(_traffic_ledger(spark, sf_dir))
 
 
+def q_ledger_uv_members(spark, sf_dir):
+    """Union-distinct of the member sets every batch stored."""
+    return ledger.ledger_uv_members(_traffic_ledger(spark, sf_dir))
+
+
 def _ingest(spark, sf_dir):
     topic = _landed_topic(spark, sf_dir)
     land = scratch_path(spark, "landing")
@@ -342,6 +347,7 @@ QUERIES: dict[str, QueryFn] = {
     "ledger_pv": q_ledger_pv,
     "ledger_site_pv": q_ledger_site_pv,
     "ledger_uv": q_ledger_uv,
+    "ledger_uv_members": q_ledger_uv_members,
     "resume_exactly_once": q_resume_exactly_once,
     "stream_saved_offsets": q_stream_saved_offsets,
 }
@@ -483,3 +489,4 @@ ORACLE_SQL["ledger_pv"] = ORACLE_SQL["pv_by_hour"]
 ORACLE_SQL["ledger_site_pv"] = ORACLE_SQL["site_pv_by_hour"]
 ORACLE_SQL["stream_uv_by_day"] = ORACLE_SQL["uv_by_day"]
 ORACLE_SQL["ledger_uv"] = ORACLE_SQL["uv_by_day"]
+ORACLE_SQL["ledger_uv_members"] = ORACLE_SQL["uv_members_by_day"]
