@@ -86,10 +86,18 @@ def insert_batch_partition(df: DataFrame, table: str, batch_date: str,
 
 
 def append_by_row_date(df: DataFrame, table: str, value_col: str = "value",
-                       ts_col: str = "ts") -> None:
-    """Append to a managed Parquet table partitioned by the record's date."""
-    (stamp_row_date(df, value_col, ts_col).write.format("parquet").mode("append")
-     .partitionBy("pd").saveAsTable(table))
+                       ts_col: str = "ts", rebalance: bool = True) -> None:
+    """Append to a managed Parquet table partitioned by the record's date.
+
+    ``rebalance`` routes rows by ``pd`` through an AQE rebalance before the
+    write: each date gets a few right-sized files instead of one small file
+    per input task, and a date holding a large share of the rows is split
+    over several tasks instead of landing in one.
+    """
+    stamped = stamp_row_date(df, value_col, ts_col)
+    if rebalance:
+        stamped = stamped.hint("rebalance", "pd")
+    stamped.write.format("parquet").mode("append").partitionBy("pd").saveAsTable(table)
 
 
 def insert_by_columns(spark: SparkSession, table: str, columns: list[str], df: DataFrame) -> None:

@@ -221,12 +221,23 @@ def q_encode_user_log(spark, sf_dir):
 # Streaming: running counters, replay-safe ledger, landing ingest
 # --------------------------------------------------------------------------
 
+_LANDED_TOPICS: dict[tuple[str, str], str] = {}
+
+
 def _landed_topic(spark, sf_dir) -> str:
-    """The derived topic as band files, one write per band, in band order."""
-    path = scratch_path(spark, "topic")
-    banded = derive.offset_bands(_records(spark, sf_dir))
-    files.land_records(banded, path, list(range(derive.DEFAULT_LAST_BAND + 1)))
-    return path
+    """The derived topic as band files, one write per band, in band order.
+
+    The topic is input, like a topic that already exists on a broker: it is
+    landed once per application and folder and then consumed whole by every
+    streaming query (files are never modified after landing).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LANDED_TOPICS:
+        path = scratch_path(spark, "topic")
+        banded = derive.offset_bands(_records(spark, sf_dir))
+        files.land_records(banded, path, list(range(derive.DEFAULT_LAST_BAND + 1)))
+        _LANDED_TOPICS[key] = path
+    return _LANDED_TOPICS[key]
 
 
 def _topic_stream(spark, path):
