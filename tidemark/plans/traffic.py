@@ -8,19 +8,51 @@ foreachBatch body issues one distributed write per batch.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.parse import parse_rejects
+
 from tidemark.streaming.ledger import batch_ledger_rows, max_epoch, write_ledger
 from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
 
 
-def traffic_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int | None = None):
+REJECTS_SCHEMA = ("topic STRING, partition INT, offset BIGINT, value STRING, "
+                  "epoch INT, batch_id BIGINT")
+
+
+def write_rejects(batch: DataFrame, path: str, epoch: int, batch_id: int) -> None:
+    """Lines of the batch that do not parse, with their positions, replacing
+    the ``(epoch, batch_id)`` partition (idempotent on replay)."""
+    (parse_rejects(batch, keep=("topic", "partition", "offset"))
+     .withColumn("epoch", F.lit(int(epoch)))
+     .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("epoch", "batch_id").parquet(path))
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REJECTS_SCHEMA).parquet(path)
+
+
+def traffic_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int | None = None,
+                         rejects_path: str | None = None):
     """``foreachBatch`` body.  ``crash_after_batch`` raises right after that
     batch's write (before the checkpoint commits it): for replay tests."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        # One aggregation (grouping sets) reads the batch once: no cache needed.
-        write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path)
+        if rejects_path is None:
+            # One aggregation (grouping sets) reads the batch once: no cache needed.
+            write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path)
+        else:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                # Rejects first: the ledger is what outside readers treat as done.
+                write_rejects(batch, rejects_path, epoch, batch_id)
+                write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path)
+            finally:
+                batch.unpersist()
         if crash_after_batch is not None and batch_id == crash_after_batch:
             raise InjectedFailure(f"injected failure after batch {batch_id}")
     return write
@@ -28,13 +60,15 @@ def traffic_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int |
 
 def start_traffic_job(spark: SparkSession, records: DataFrame, ledger_path: str,
                       checkpoint: str, crash_after_batch: int | None = None,
-                      processing_time: str | None = None) -> StreamingQuery:
+                      processing_time: str | None = None,
+                      rejects_path: str | None = None) -> StreamingQuery:
     """Run the counters job over a decoded record stream.
 
     Resuming ``checkpoint`` keeps its epoch; a new checkpoint gets the next one.
     """
     epoch = resolve_epoch(spark, checkpoint, max_epoch(spark, ledger_path))
     writer = (records.writeStream
-              .foreachBatch(traffic_batch_writer(ledger_path, epoch, crash_after_batch))
+              .foreachBatch(traffic_batch_writer(ledger_path, epoch, crash_after_batch,
+                                                 rejects_path))
               .option("checkpointLocation", checkpoint))
     return run_available(writer, processing_time)

@@ -259,6 +259,11 @@ def q_stream_pv_by_hour(spark, sf_dir):
     return _run_complete(spark, counters.running_pv_by_hour(stream), "pv")
 
 
+def q_stream_site_pv_by_hour(spark, sf_dir):
+    stream = _topic_stream(spark, _landed_topic(spark, sf_dir))
+    return _run_complete(spark, counters.running_site_pv_by_hour(stream), "site_pv")
+
+
 def q_stream_uv_by_day(spark, sf_dir):
     stream = _topic_stream(spark, _landed_topic(spark, sf_dir))
     return _run_complete(spark, counters.running_uv_by_day(stream), "uv")
@@ -287,6 +292,18 @@ def _traffic_ledger(spark, sf_dir):
     return ledger.read_ledger(spark, path)
 
 
+def q_stream_parse_rejects(spark, sf_dir):
+    """Counters job with a rejects output, crash after a batch's write and a
+    restart: every unparseable line is kept exactly once with its position."""
+    topic = _landed_topic(spark, sf_dir)
+    path, rej = scratch_path(spark, "ledger"), scratch_path(spark, "rejects")
+    cp = scratch_path(spark, "traffic_checkpoint")
+    _crash_then_resume(lambda crash: traffic.start_traffic_job(
+        spark, _topic_stream(spark, topic), path, cp, crash_after_batch=crash,
+        rejects_path=rej))
+    return traffic.read_rejects(spark, rej).select("topic", "partition", "offset", "value")
+
+
 def q_ledger_pv(spark, sf_dir):
     return ledger.ledger_pv(_traffic_ledger(spark, sf_dir))
 
@@ -354,7 +371,9 @@ QUERIES: dict[str, QueryFn] = {
     "landing_scan": q_landing_scan,
     "encode_user_log": q_encode_user_log,
     "stream_pv_by_hour": q_stream_pv_by_hour,
+    "stream_site_pv_by_hour": q_stream_site_pv_by_hour,
     "stream_uv_by_day": q_stream_uv_by_day,
+    "stream_parse_rejects": q_stream_parse_rejects,
     "ledger_pv": q_ledger_pv,
     "ledger_site_pv": q_ledger_site_pv,
     "ledger_uv": q_ledger_uv,
@@ -499,5 +518,13 @@ ORACLE_SQL["stream_pv_by_hour"] = ORACLE_SQL["pv_by_hour"]
 ORACLE_SQL["ledger_pv"] = ORACLE_SQL["pv_by_hour"]
 ORACLE_SQL["ledger_site_pv"] = ORACLE_SQL["site_pv_by_hour"]
 ORACLE_SQL["stream_uv_by_day"] = ORACLE_SQL["uv_by_day"]
+ORACLE_SQL["stream_site_pv_by_hour"] = ORACLE_SQL["site_pv_by_hour"]
+ORACLE_SQL["stream_parse_rejects"] = _WITH_RECORDS + """,
+record_fields AS (
+  SELECT topic, partition, "offset", value, string_split_regex(value, '\\|~\\|') AS f FROM records)
+SELECT topic, partition, "offset", value FROM record_fields
+WHERE (CASE WHEN length(f[1]) >= 13 THEN replace(substr(f[1], 1, 13), 'T', '-') END) IS NULL
+   OR string_split_regex(f[3], '[=|&]')[2] IS NULL
+   OR string_split_regex(f[3], '[=|&]')[4] IS NULL"""
 ORACLE_SQL["ledger_uv"] = ORACLE_SQL["uv_by_day"]
 ORACLE_SQL["ledger_uv_members"] = ORACLE_SQL["uv_members_by_day"]
