@@ -20,7 +20,7 @@ from tidemark.plans import ingest, positions, traffic
 from tidemark.session import scratch_path
 from tidemark.sources import derive, files, scenarios, tables
 from tidemark.streaming import counters, ledger
-from tidemark.streaming.runner import run_available
+from tidemark.streaming.runner import default_state_partitions, run_available
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -250,7 +250,7 @@ def _run_complete(spark, result, name):
     out = scratch_path(spark, name)
     writer = counters.complete_to_table(result, out).option(
         "checkpointLocation", scratch_path(spark, name + "_checkpoint"))
-    run_available(writer)
+    run_available(writer, spark=spark, state_partitions=default_state_partitions(spark))
     return spark.read.parquet(out)
 
 

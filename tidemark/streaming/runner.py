@@ -21,16 +21,43 @@ class InjectedFailure(RuntimeError):
     """Raised on purpose after a batch's write (crash/replay tests)."""
 
 
-def run_available(writer: DataStreamWriter, processing_time: str | None = None) -> StreamingQuery:
+def run_available(writer: DataStreamWriter, processing_time: str | None = None,
+                  spark: SparkSession | None = None,
+                  state_partitions: int | None = None) -> StreamingQuery:
     """Run to completion on what is available now (or with a fixed interval
-    trigger when ``processing_time`` is given, which never completes)."""
-    if processing_time:
-        return writer.trigger(processingTime=processing_time).start()
-    q = writer.trigger(availableNow=True).start()
-    q.awaitTermination()
+    trigger when ``processing_time`` is given, which never completes).
+
+    ``state_partitions`` fixes the number of state-store partitions of a
+    stateful query (stored in its checkpoint at the first batch, so it cannot
+    change later).  AQE does not coalesce stateful stages, so the session's
+    shuffle-partition count (often sized for batch joins) would otherwise run
+    that many state tasks every micro-batch.  The setting is applied only
+    while ``start()`` clones the session for the query.
+    """
+    writer = (writer.trigger(processingTime=processing_time) if processing_time
+              else writer.trigger(availableNow=True))
+    if state_partitions is None:
+        q = writer.start()
+    else:
+        if spark is None:
+            raise ValueError("state_partitions needs the session")
+        key = "spark.sql.shuffle.partitions"
+        previous = spark.conf.get(key)
+        spark.conf.set(key, str(int(state_partitions)))
+        try:
+            q = writer.start()
+        finally:
+            spark.conf.set(key, previous)
+    if not processing_time:
+        q.awaitTermination()
     return q
 
 
+def default_state_partitions(spark: SparkSession) -> int:
+    """One state partition per core available to the application."""
+    return int(spark.sparkContext.defaultParallelism)
+
+
 def _epoch_marker(checkpoint: str) -> str:
     return checkpoint.rstrip("/") + "_epoch"
 
