@@ -59,3 +59,12 @@ def test_quote_ident_rejects_injection():
     with pytest.raises(ValueError):
         landing.quote_ident("db.t; DROP TABLE x")
     assert landing.quote_ident("db.t") == "`db`.`t`"
+
+
+def test_external_location_table(spark, scratch):
+    db = landing.create_database(spark)
+    loc = scratch("external_landing")
+    t = landing.create_landing_table(spark, f"{db}.ext", location=loc)
+    landing.insert_batch_partition(_lines(spark), t, "2024-03-01")
+    back = spark.read.schema("record STRING, pd STRING").parquet(loc)
+    assert sorted(r["record"] for r in back.collect()) == ["a", "b", "c"]

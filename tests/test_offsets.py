@@ -134,3 +134,13 @@ def test_kafka_options():
         kafka.reader_options("h:9092", topic="t", reset_policy="none")
     with pytest.raises(ValueError):
         kafka.reader_options("h:9092")
+
+
+def test_range_offsets_options_feed_a_positioned_kafka_read(spark):
+    ranges = spark.createDataFrame([("t", 1, 5, 9), ("t", 0, 0, 3)],
+                                   "topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT")
+    start, end = offsets.range_offsets_options(ranges)
+    assert json.loads(start) == {"t": {"0": 0, "1": 5}}
+    assert json.loads(end) == {"t": {"0": 3, "1": 9}}
+    opts = kafka.reader_options("h:9092", topic="t", starting_offsets=start, ending_offsets=end)
+    assert opts["endingOffsets"] == end

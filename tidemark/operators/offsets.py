@@ -15,6 +15,7 @@ aggregates:
 * :func:`plan_offset_ranges` rate-limited ``[from, until)`` per partition
 * :func:`positioned_read`    records inside planned ranges
 * :func:`starting_offsets_json` positions in the JSON form a Kafka source takes
+* :func:`range_offsets_options` planned ranges as ``startingOffsets`` / ``endingOffsets``
 """
 
 from __future__ import annotations
@@ -169,6 +170,14 @@ def starting_offsets_json(starts: DataFrame, offset_col: str = "start_offset") -
     return starts.groupBy("topic").agg(body.alias("starting_offsets"))
 
 
+def range_offsets_options(ranges: DataFrame) -> tuple[str, str]:
+    """Planned ranges -> ``(startingOffsets, endingOffsets)`` JSON for a
+    positioned batch read of a Kafka topic (``spark.read.format('kafka')``);
+    the source reads each partition's half-open ``[from, until)``."""
+    return (starting_offsets_option(ranges, "from_offset"),
+            starting_offsets_option(ranges, "until_offset"))
+
+
 def starting_offsets_option(starts: DataFrame, offset_col: str = "start_offset") -> str:
     """One JSON object covering every topic in ``starts`` (driver-side string;
     its size is one entry per topic partition)."""
