@@ -55,3 +55,33 @@ def test_hour_and_day_keys(spark):
     df = spark.createDataFrame([("2024-01-05T07:08:09|~|a|~|x=u&y=s",)], "value STRING")
     r = parse.parse_log(df).withColumn("day", F.substring("hour", 1, 10)).first()
     assert (r["hour"], r["day"]) == ("2024-01-05-07", "2024-01-05")
+
+
+def _model(line):
+    """Plain-Python statement of the parse rules (independent of Spark)."""
+    import re
+    if line is None:
+        return (None, None, None)
+    fields = re.split(r"\|~\|", line)
+    a0 = fields[0]
+    hour = a0[:13].replace("T", "-") if len(a0) >= 13 else None
+    if len(fields) < 3:
+        return (hour, None, None)
+    pieces = re.split(r"[=|&]", fields[2])
+    user = pieces[1] if len(pieces) > 1 else None
+    site = pieces[3] if len(pieces) > 3 else None
+    return (hour, user, site)
+
+
+def test_random_lines_match_model(spark):
+    import random
+    rng = random.Random(7)
+    alphabet = ["|", "~", "|~|", "=", "&", "T", "2", "0", "-", ":", "a", "b", " ", "é", "\U0001F600", "\n"]
+    lines = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    lines += ["2024-01-01T00:00:00" + "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30)))
+              for _ in range(1000)]
+    df = spark.createDataFrame(list(enumerate(lines)), "id INT, value STRING")
+    got = {r["id"]: (r["hour"], r["user_id"], r["site_id"])
+           for r in parse.with_log_fields(df).collect()}
+    bad = [(lines[i], got[i], _model(lines[i])) for i in range(len(lines)) if got[i] != _model(lines[i])]
+    assert not bad, bad[:5]
