@@ -118,3 +118,26 @@ def test_checkpoint_only_positions_new_checkpoint_keeps_old_data(spark, scratch)
                             write_positions=False)
     n = q._access_log(spark, SF).count()
     assert ingest.read_landing(spark, land).count() == 2 * n
+
+
+def test_live_source_options_seed_new_checkpoint_from_ledger(spark, scratch):
+    import json
+    from tidemark.plans import live, positions
+    topic = _topic(spark, scratch)
+    path, cp = scratch("ledger"), scratch("cp")
+    # nothing saved yet: reset policy
+    opts = live.source_options(spark, "h:9092", "events", path, scratch("new"))
+    assert opts["startingOffsets"] == "earliest"
+    positions.start_positions_job(spark, _stream(spark, topic), path, cp)
+    sizes = {str(r["partition"]): r["n"] for r in
+             q._records(spark, SF).groupBy("partition").agg(F.count("*").alias("n")).collect()}
+    # a new checkpoint starts where the ledger says
+    opts = live.source_options(spark, "h:9092", "events", path, scratch("new2"))
+    assert json.loads(opts["startingOffsets"]) == {"events": sizes}
+    # with bounds: positions past the end are repaired to earliest
+    bounds = spark.createDataFrame([("events", int(p), 5, n - 1) for p, n in sizes.items()],
+                                   "topic STRING, partition INT, earliest BIGINT, latest BIGINT")
+    opts = live.source_options(spark, "h:9092", "events", path, scratch("new3"), bounds=bounds)
+    assert json.loads(opts["startingOffsets"]) == {"events": {p: 5 for p in sizes}}
+    # the running checkpoint keeps its own positions
+    assert live.source_options(spark, "h:9092", "events", path, cp)["startingOffsets"] == "earliest"
