@@ -264,6 +264,19 @@ def q_stream_site_pv_by_hour(spark, sf_dir):
     return _run_complete(spark, counters.running_site_pv_by_hour(stream), "site_pv")
 
 
+def q_stream_site_pv_updates(spark, sf_dir):
+    """Running site page views in update mode: per batch only the changed
+    keys are written; the latest value per key is resolved on read."""
+    stream = _topic_stream(spark, _landed_topic(spark, sf_dir))
+    result = counters.running_site_pv_by_hour(stream)
+    out = scratch_path(spark, "site_pv_updates")
+    writer = counters.update_to_log(result, out).option(
+        "checkpointLocation", scratch_path(spark, "site_pv_updates_checkpoint"))
+    run_available(writer, spark=spark, state_partitions=default_state_partitions(spark))
+    log = counters.read_update_log(spark, out, result.schema)
+    return counters.latest_values(log, ["site_id", "hour"], ["pv"])
+
+
 def q_stream_uv_by_day(spark, sf_dir):
     stream = _topic_stream(spark, _landed_topic(spark, sf_dir))
     return _run_complete(spark, counters.running_uv_by_day(stream), "uv")
@@ -372,6 +385,7 @@ QUERIES: dict[str, QueryFn] = {
     "encode_user_log": q_encode_user_log,
     "stream_pv_by_hour": q_stream_pv_by_hour,
     "stream_site_pv_by_hour": q_stream_site_pv_by_hour,
+    "stream_site_pv_updates": q_stream_site_pv_updates,
     "stream_uv_by_day": q_stream_uv_by_day,
     "stream_parse_rejects": q_stream_parse_rejects,
     "ledger_pv": q_ledger_pv,
@@ -519,6 +533,7 @@ ORACLE_SQL["ledger_pv"] = ORACLE_SQL["pv_by_hour"]
 ORACLE_SQL["ledger_site_pv"] = ORACLE_SQL["site_pv_by_hour"]
 ORACLE_SQL["stream_uv_by_day"] = ORACLE_SQL["uv_by_day"]
 ORACLE_SQL["stream_site_pv_by_hour"] = ORACLE_SQL["site_pv_by_hour"]
+ORACLE_SQL["stream_site_pv_updates"] = ORACLE_SQL["site_pv_by_hour"]
 ORACLE_SQL["stream_parse_rejects"] = _WITH_RECORDS + """,
 record_fields AS (
   SELECT topic, partition, "offset", value, string_split_regex(value, '\\|~\\|') AS f FROM records)

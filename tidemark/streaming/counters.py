@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators import metrics
 from tidemark.operators.parse import parse_log
@@ -49,6 +50,34 @@ def running_uv_by_day(lines: DataFrame, line_col: str = "value",
     return deduped.groupBy("day").agg(F.count(F.lit(1)).alias("uv"))
 
 
+def update_to_log(result: DataFrame, path: str):
+    """``foreachBatch`` body for update mode: each batch carries only the keys
+    it changed, with their new running values; they are written to the
+    ``batch_id`` partition (replaced on replay).  Read with :func:`latest_values`.
+
+    Unlike complete mode, the output per batch is bounded by the batch, not by
+    the whole key space.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
+    return result.writeStream.outputMode("update").foreachBatch(write)
+
+
+def read_update_log(spark, path: str, result_schema: StructType) -> DataFrame:
+    """The update log with the result's columns plus ``batch_id``."""
+    schema = StructType(list(result_schema.fields) + [StructField("batch_id", LongType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def latest_values(log: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Latest value per key from an update log: ``max(struct(batch_id, ...))``,
+    a single partial-aggregatable aggregate."""
+    last = F.max(F.struct("batch_id", *values)).alias("last")
+    return log.groupBy(*keys).agg(last).select(*keys, *[F.col(f"last.{v}").alias(v) for v in values])
+
+
 def complete_to_table(result: DataFrame, path: str):
     """``foreachBatch`` body for complete mode: each batch carries the full
     current result, which replaces the table (idempotent on replay)."""
