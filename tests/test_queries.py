@@ -35,3 +35,16 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(entry.oracle_sql()[name])
     want = digest([d[0] for d in res.description], res.fetchall())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["encode_user_log", "land_row_date", "pv_by_hour"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = entry.queries()[name](spark, SF)
+        got = digest(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+    res = con.execute(entry.oracle_sql()[name])
+    assert got == digest([d[0] for d in res.description], res.fetchall())

@@ -28,6 +28,15 @@ def log_timestamp_text(ts: Column | str) -> Column:
     return F.date_format(_col(ts), LOG_TIMESTAMP_FORMAT)
 
 
-def epoch_millis(ts: Column | str) -> Column:
-    """Milliseconds since the epoch, truncated (``timestamp_ntz`` read as UTC)."""
-    return F.unix_millis(_col(ts).cast("timestamp"))
+def epoch_millis(ts: Column | str, local: bool = True) -> Column:
+    """Milliseconds since the epoch, truncated.
+
+    ``local=True`` for ``TIMESTAMP_NTZ`` (wall-clock) columns: measured from the
+    wall-clock epoch, so the result does not depend on the session time zone.
+    ``local=False`` for ``TIMESTAMP`` (instant) columns such as a topic's
+    record timestamp.
+    """
+    if local:
+        return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                _col(ts))
+    return F.unix_millis(_col(ts))

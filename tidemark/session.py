@@ -53,13 +53,12 @@ def build_session(master: str | None = None, app_name: str = "tidemark",
 
 
 def apply_runtime_defaults(spark: SparkSession) -> None:
-    """Set SQL defaults the library relies on, on an existing session.
+    """Turn on AQE features on an existing session when they are unset.
 
-    Only runtime-modifiable SQL settings; values the user set explicitly are
-    kept except the two that change results (time zone, partition typing).
+    Results never depend on session settings: every path read has an explicit
+    schema (partition values are not type-inferred) and wall-clock timestamps
+    are converted without the session time zone.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
               "spark.sql.adaptive.coalescePartitions.enabled"):
         if spark.conf.get(k, None) is None:
