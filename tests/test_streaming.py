@@ -141,3 +141,26 @@ def test_live_source_options_seed_new_checkpoint_from_ledger(spark, scratch):
     assert json.loads(opts["startingOffsets"]) == {"events": {p: 5 for p in sizes}}
     # the running checkpoint keeps its own positions
     assert live.source_options(spark, "h:9092", "events", path, cp)["startingOffsets"] == "earliest"
+
+
+def test_out_of_range_positions_open_next_checkpoint_generation(spark, scratch):
+    import json
+    from tidemark.plans import live, positions
+    topic = _topic(spark, scratch)
+    path, root = scratch("ledger"), scratch("cps")
+    assert live.choose_checkpoint(spark, root, path, "events").endswith("/epoch=0")
+    cp = live.choose_checkpoint(spark, root, path, "events")
+    positions.start_positions_job(spark, _stream(spark, topic), path, cp)
+    sizes = {r["partition"]: r["n"] for r in
+             q._records(spark, SF).groupBy("partition").agg(F.count("*").alias("n")).collect()}
+    ok = spark.createDataFrame([("events", p, 0, n) for p, n in sizes.items()],
+                               "topic STRING, partition INT, earliest BIGINT, latest BIGINT")
+    assert live.choose_checkpoint(spark, root, path, "events", ok) == cp
+    # retention moved past partition 0's saved position
+    moved = spark.createDataFrame([("events", p, (n + 5 if p == 0 else 0), n + 10) for p, n in sizes.items()],
+                                  "topic STRING, partition INT, earliest BIGINT, latest BIGINT")
+    nxt = live.choose_checkpoint(spark, root, path, "events", moved)
+    assert nxt.endswith("/epoch=1")
+    start = json.loads(live.source_options(spark, "h:9092", "events", path, nxt, bounds=moved)["startingOffsets"])
+    assert start["events"]["0"] == sizes[0] + 5          # repaired to earliest
+    assert start["events"]["1"] == sizes[1]              # still valid: resumes there

@@ -10,6 +10,10 @@ positions in the ledger are used:
 * without bounds: the saved positions as they are;
 * no saved positions: the reset policy (``earliest`` by default).
 
+:func:`choose_checkpoint` decides when a new checkpoint is needed: positions
+out of the topic's range (retention passed them, or the topic was recreated)
+open the next generation.
+
 The ``kafka`` source is not on this machine's classpath; :func:`source_options`
 is tested as data and the jobs run in tests on the file stand-in.
 """
@@ -24,7 +28,7 @@ from tidemark.operators.offsets import starting_offsets_option
 from tidemark.plans import ingest, traffic
 from tidemark.plans.seed import repaired_starting_offsets
 from tidemark.sources import kafka
-from tidemark.streaming.ledger import ledger_positions, read_ledger
+from tidemark.streaming.ledger import ledger_positions, max_epoch, read_ledger
 from tidemark.streaming.runner import read_epoch
 
 
@@ -37,6 +41,34 @@ def saved_positions(spark: SparkSession, ledger_path: str, topic: str) -> DataFr
         return None
 
 
+def out_of_range(positions: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Saved positions a topic can no longer serve: past ``latest`` or before
+    ``earliest`` (both tables hold one row per partition)."""
+    b = bounds.select("topic", "partition", "earliest", "latest")
+    return (positions.join(b, ["topic", "partition"])
+            .where((F.col("offset") > F.col("latest")) | (F.col("offset") < F.col("earliest"))))
+
+
+def choose_checkpoint(spark: SparkSession, checkpoint_root: str, ledger_path: str, topic: str,
+                      bounds: DataFrame | None = None) -> str:
+    """Checkpoint of the current generation, ``<root>/epoch=<n>``.
+
+    ``n`` is the ledger's newest epoch.  When ``bounds`` show that a saved
+    position is out of range, the current checkpoint cannot be resumed (its
+    own positions would be used); the next generation ``n + 1`` is returned,
+    which :func:`source_options` seeds from the ledger with repair.
+    """
+    root = checkpoint_root.rstrip("/")
+    e = max_epoch(spark, ledger_path)
+    if e is None:
+        return f"{root}/epoch=0"
+    if bounds is not None:
+        positions = saved_positions(spark, ledger_path, topic)
+        if positions is not None and out_of_range(positions, bounds).limit(1).count() > 0:
+            return f"{root}/epoch={e + 1}"
+    return f"{root}/epoch={e}"
+
+
 def source_options(spark: SparkSession, bootstrap_servers: str, topic: str, ledger_path: str,
                    checkpoint: str, bounds: DataFrame | None = None,
                    reset_policy: str = "earliest", max_offsets_per_trigger: int | None = None,
