@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from tidemark.functions.encode import action_of, record_key, user_log_value
