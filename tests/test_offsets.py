@@ -63,9 +63,17 @@ def test_typed_offsets_ansi(spark):
                                 "topic STRING, partition STRING, offset STRING")
     got = {r["partition"]: r["offset"] for r in offsets.typed_offsets(raw, default=0).collect()}
     assert got == {0: 12, 1: 0}
-    junk = spark.createDataFrame([("t", "0", "12x")], "topic STRING, partition STRING, offset STRING")
-    with pytest.raises(Exception):
-        offsets.typed_offsets(junk).collect()
+    for bad in ("12x", " 12", ""):
+        junk = spark.createDataFrame([("t", "0", bad)], "topic STRING, partition STRING, offset STRING")
+        with pytest.raises(Exception):
+            offsets.typed_offsets(junk).collect()
+    previous = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            offsets.typed_offsets(junk).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", previous)
 
 
 def test_with_default(spark):

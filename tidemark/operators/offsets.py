@@ -75,17 +75,27 @@ def saved_offsets(ledger: DataFrame, keys: tuple[str, ...] = ("job",)) -> DataFr
             .select(*keys, *KEY, F.col("last.until_offset").alias("offset")))
 
 
+_INTEGER_TEXT = r"^-?[0-9]+$"
+
+
+def _strict_integer(name: str, typ: str):
+    raw = F.col(name)
+    bad = raw.isNotNull() & ~raw.cast("string").rlike(_INTEGER_TEXT)
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"non-numeric saved {name}: "),
+                                              raw.cast("string")))).otherwise(raw.cast(typ))
+
+
 def typed_offsets(raw: DataFrame, default: int | None = None) -> DataFrame:
     """Cast string ``partition`` / ``offset`` to ``INT`` / ``BIGINT``.
 
-    Uses ANSI casts: a non-numeric saved position fails the job instead of
-    silently restarting somewhere else.  A NULL offset becomes ``default`` when
-    one is given.
+    A value that is not plain digits (including padded ones) fails the job
+    instead of silently restarting somewhere else, whatever the session's ANSI
+    setting.  A NULL offset becomes ``default`` when one is given.
     """
-    offset = F.col("offset").cast("bigint")
+    offset = _strict_integer("offset", "bigint")
     if default is not None:
         offset = F.coalesce(offset, F.lit(default).cast("bigint"))
-    return raw.withColumn("partition", F.col("partition").cast("int")).withColumn("offset", offset)
+    return raw.withColumn("partition", _strict_integer("partition", "int")).withColumn("offset", offset)
 
 
 def with_default(known: DataFrame, saved: DataFrame, default: int = 0) -> DataFrame:
