@@ -164,3 +164,18 @@ def test_out_of_range_positions_open_next_checkpoint_generation(spark, scratch):
     start = json.loads(live.source_options(spark, "h:9092", "events", path, nxt, bounds=moved)["startingOffsets"])
     assert start["events"]["0"] == sizes[0] + 5          # repaired to earliest
     assert start["events"]["1"] == sizes[1]              # still valid: resumes there
+
+
+def test_empty_topic_gives_empty_results(spark, scratch):
+    empty = scratch("empty_topic")
+    spark.createDataFrame([], files.RECORD_SCHEMA).write.parquet(empty)
+    path, land = scratch("ledger"), scratch("landing")
+    traffic.start_traffic_job(spark, files.record_stream(spark, empty), path, scratch("cp1"))
+    assert ledger.ledger_pv(ledger.read_ledger(spark, path)).count() == 0
+    ingest.start_ingest_job(spark, files.record_stream(spark, empty), land, path, scratch("cp2"))
+    assert ingest.read_landing(spark, land).count() == 0
+    out = scratch("out")
+    run_available(counters.complete_to_table(
+        counters.running_pv_by_hour(files.record_stream(spark, empty)), out)
+        .option("checkpointLocation", scratch("cp3")))
+    assert files.read_parquet_or_empty(spark, "hour STRING, pv BIGINT", out).count() == 0

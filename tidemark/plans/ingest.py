@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.landing import stamp_batch_date, stamp_row_date
 from tidemark.plans.positions import position_rows
+from tidemark.sources.files import read_parquet_or_empty
 from tidemark.streaming.ledger import ledger_rows, max_epoch, read_ledger, write_ledger
 from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
 
@@ -104,4 +105,4 @@ def start_ingest_job(spark: SparkSession, records: DataFrame, landing_path: str,
 
 def read_landing(spark: SparkSession, landing_path: str) -> DataFrame:
     """The landing table as ``(record, pd)``; a ``pd`` predicate prunes directories."""
-    return spark.read.schema(LANDED_SCHEMA).parquet(landing_path).select("record", "pd")
+    return read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path).select("record", "pd")

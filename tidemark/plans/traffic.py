@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.parse import parse_rejects
+from tidemark.sources.files import read_parquet_or_empty
 
 from tidemark.streaming.ledger import batch_ledger_rows, max_epoch, write_ledger
 from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
@@ -34,7 +35,7 @@ def write_rejects(batch: DataFrame, path: str, epoch: int, batch_id: int) -> Non
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REJECTS_SCHEMA).parquet(path)
+    return read_parquet_or_empty(spark, REJECTS_SCHEMA, path)
 
 
 def traffic_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int | None = None,

@@ -250,7 +250,7 @@ def _run_complete(spark, result, name):
     writer = counters.complete_to_table(result, out).option(
         "checkpointLocation", scratch_path(spark, name + "_checkpoint"))
     run_available(writer, spark=spark, state_partitions=default_state_partitions(spark))
-    return spark.read.parquet(out)
+    return files.read_parquet_or_empty(spark, result.schema, out)
 
 
 def q_stream_pv_by_hour(spark, sf_dir):

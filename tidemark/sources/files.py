@@ -8,6 +8,7 @@ streaming DataFrame with the decoded Kafka columns.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,17 @@ def land_records(records: DataFrame, path: str, bands: list[int], band_col: str
     return list(bands)
 
 
+def read_parquet_or_empty(spark: SparkSession, schema, path: str) -> DataFrame:
+    """``spark.read.schema(schema).parquet(path)``; an empty frame of that
+    schema when nothing was written there yet (e.g. a stream with no batches)."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def files_per_batch(spark: SparkSession, path: str, batches: int) -> int:
     """``maxFilesPerTrigger`` that replays the files under ``path`` in about
     ``batches`` micro-batches (driver-side file listing only)."""

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators import metrics
+from tidemark.sources.files import read_parquet_or_empty
 from tidemark.operators.parse import parse_log
 
 ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
@@ -68,7 +69,7 @@ def update_to_log(result: DataFrame, path: str):
 def read_update_log(spark, path: str, result_schema: StructType) -> DataFrame:
     """The update log with the result's columns plus ``batch_id``."""
     schema = StructType(list(result_schema.fields) + [StructField("batch_id", LongType())])
-    return spark.read.schema(schema).parquet(path)
+    return read_parquet_or_empty(spark, schema, path)
 
 
 def latest_values(log: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

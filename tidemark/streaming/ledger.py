@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.logparse import day_key, parse_ok
 from tidemark.operators import metrics, offsets
 from tidemark.operators.parse import with_log_fields
+from tidemark.sources.files import read_parquet_or_empty
 
 LEDGER_SCHEMA = ("k STRING, site_id STRING, member STRING, delta BIGINT, topic STRING, "
                  "partition INT, until_offset BIGINT, metric STRING, epoch INT, batch_id BIGINT")
@@ -92,8 +93,9 @@ def write_ledger(rows: DataFrame, path: str) -> None:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger with typed partition columns (explicit schema, no inference)."""
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    """The ledger with typed partition columns (explicit schema, no inference);
+    empty when no batch has been written yet."""
+    return read_parquet_or_empty(spark, LEDGER_SCHEMA, path)
 
 
 # ---------------------------------------------------------------- read views
