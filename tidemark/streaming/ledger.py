@@ -141,3 +141,96 @@ def max_epoch(spark: SparkSession, path: str, schema: str = LEDGER_SCHEMA) -> in
     except Exception:  # noqa: BLE001 - a missing path means "no epoch yet"
         return None
     return r[0]["e"] if r else None
+
+
+# ---------------------------------------------------------------- compaction
+#
+# Read views are decomposable (sums, union-distinct, newest-epoch maximum), so
+# every batch up to a watermark (epoch, batch_id) can be folded into one
+# snapshot in the ledger's own row format; readers take the newest snapshot
+# plus the batches after its watermark.  The number of partitions a reader
+# lists and the rows it aggregates then stay bounded however long the job runs.
+
+SNAPSHOT_SCHEMA = LEDGER_SCHEMA + ", through_epoch INT, through_batch BIGINT, generation BIGINT"
+_LEDGER_COLUMNS = ("metric", "k", "site_id", "member", "delta", "topic", "partition",
+                   "until_offset", "epoch", "batch_id")
+
+
+def _after(epoch_col, batch_col, through_epoch: int, through_batch: int):
+    return (epoch_col > through_epoch) | ((epoch_col == through_epoch) & (batch_col > through_batch))
+
+
+def _newest_snapshot(spark: SparkSession, snapshot_path: str) -> DataFrame | None:
+    snaps = read_parquet_or_empty(spark, SNAPSHOT_SCHEMA, snapshot_path)
+    g = snaps.agg(F.max("generation").alias("g")).collect()[0]["g"]
+    return None if g is None else snaps.where(F.col("generation") == g)
+
+
+def _watermark(snap: DataFrame | None) -> tuple[int, int] | None:
+    if snap is None:
+        return None
+    mark = snap.select("through_epoch", "through_batch").limit(1).collect()
+    return (mark[0]["through_epoch"], mark[0]["through_batch"]) if mark else None
+
+
+def read_compacted(spark: SparkSession, ledger_path: str, snapshot_path: str) -> DataFrame:
+    """The ledger as seen through its newest snapshot: snapshot rows plus the
+    batches after the snapshot's watermark (same columns as :func:`read_ledger`)."""
+    led = read_ledger(spark, ledger_path)
+    snap = _newest_snapshot(spark, snapshot_path)
+    mark = _watermark(snap)
+    if mark is None:
+        return led
+    newer = led.where(_after(F.col("epoch"), F.col("batch_id"), *mark)
+                      | (F.col("metric") == "batch_date"))
+    return snap.select(*_LEDGER_COLUMNS).unionByName(newer.select(*_LEDGER_COLUMNS))
+
+
+def compact_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) -> tuple[int, int] | None:
+    """Fold the newest snapshot and every batch after it, up to the newest
+    ``(epoch, batch_id)`` present, into a new snapshot generation; returns the
+    watermark (the previous one when there is nothing new, ``None`` when empty).
+
+    Batches written while this runs are either inside the watermark (complete:
+    a batch partition becomes visible only when its write commits) or after it.
+    The ledger itself is never modified; batch partitions a snapshot covers can
+    be removed by retention.  ``batch_date`` rows are kept as they are.
+    """
+    led = read_ledger(spark, ledger_path).where(F.col("metric") != "batch_date")
+    snap = _newest_snapshot(spark, snapshot_path)
+    prev = _watermark(snap)
+    fresh = led if prev is None else led.where(_after(F.col("epoch"), F.col("batch_id"), *prev))
+    top = fresh.agg(F.max(F.struct("epoch", "batch_id")).alias("m")).collect()[0]["m"]
+    if top is None:
+        return prev
+    e, b = int(top["epoch"]), int(top["batch_id"])
+    upto = fresh.where(~_after(F.col("epoch"), F.col("batch_id"), e, b)).select(*_LEDGER_COLUMNS)
+    if snap is not None:
+        upto = snap.select(*_LEDGER_COLUMNS).unionByName(upto)
+    m = F.col("metric")
+    sums = (upto.where(m.isin("pv", "site_pv"))
+            .groupBy("metric", "k", "site_id").agg(F.sum("delta").alias("delta")))
+    members = (upto.where(m == "uv").select("metric", "k", "member").distinct()
+               .withColumn("delta", F.lit(1).cast("bigint")))
+    positions = (upto.where(m == "offset")
+                 .groupBy("metric", "topic", "partition")
+                 .agg(F.max(F.struct("epoch", "until_offset")).alias("last"))
+                 .select("metric", "topic", "partition",
+                         F.col("last.until_offset").alias("until_offset"),
+                         F.col("last.epoch").alias("epoch")))
+    rows = (sums.unionByName(members, allowMissingColumns=True)
+            .unionByName(positions, allowMissingColumns=True))
+    generation = 0 if snap is None else int(snap.agg(F.max("generation")).collect()[0][0]) + 1
+    types = (("k", "string"), ("site_id", "string"), ("member", "string"), ("delta", "bigint"),
+             ("topic", "string"), ("partition", "int"), ("until_offset", "bigint"),
+             ("metric", "string"))
+    out = rows.select(
+        *[F.col(c).cast(t).alias(c) for c, t in types],
+        F.coalesce(F.col("epoch"), F.lit(e)).cast("int").alias("epoch"),
+        F.lit(-1).cast("bigint").alias("batch_id"),
+        F.lit(e).cast("int").alias("through_epoch"),
+        F.lit(b).cast("bigint").alias("through_batch"),
+        F.lit(generation).cast("bigint").alias("generation"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("generation").parquet(snapshot_path))
+    return e, b
