@@ -333,6 +333,27 @@ def q_ledger_uv_members(spark, sf_dir):
     return ledger.ledger_uv_members(_traffic_ledger(spark, sf_dir))
 
 
+def q_ledger_pv_compacted(spark, sf_dir):
+    """Crash after batch 2's write, compact the ledger (the snapshot covers the
+    not-yet-committed batch 2), resume (batch 2 is replayed and rewritten), then
+    read page views through the snapshot: batch 2 counts once."""
+    topic = _landed_topic(spark, sf_dir)
+    path, snap = scratch_path(spark, "ledger"), scratch_path(spark, "snapshot")
+    cp = scratch_path(spark, "traffic_checkpoint")
+
+    def start(crash):
+        return traffic.start_traffic_job(spark, _topic_stream(spark, topic), path, cp,
+                                         crash_after_batch=crash)
+    try:
+        start(CRASH_AFTER_BATCH)
+    except Exception as e:  # noqa: BLE001
+        if "injected failure" not in str(e):
+            raise
+    ledger.compact_ledger(spark, path, snap)
+    start(None)
+    return ledger.ledger_pv(ledger.read_compacted(spark, path, snap))
+
+
 def _ingest(spark, sf_dir):
     topic = _landed_topic(spark, sf_dir)
     land = scratch_path(spark, "landing")
@@ -391,6 +412,7 @@ QUERIES: dict[str, QueryFn] = {
     "ledger_site_pv": q_ledger_site_pv,
     "ledger_uv": q_ledger_uv,
     "ledger_uv_members": q_ledger_uv_members,
+    "ledger_pv_compacted": q_ledger_pv_compacted,
     "resume_exactly_once": q_resume_exactly_once,
     "stream_saved_offsets": q_stream_saved_offsets,
 }
@@ -542,3 +564,4 @@ WHERE (CASE WHEN length(f[1]) >= 13 THEN replace(substr(f[1], 1, 13), 'T', '-')
    OR string_split_regex(f[3], '[=|&]')[4] IS NULL"""
 ORACLE_SQL["ledger_uv"] = ORACLE_SQL["uv_by_day"]
 ORACLE_SQL["ledger_uv_members"] = ORACLE_SQL["uv_members_by_day"]
+ORACLE_SQL["ledger_pv_compacted"] = ORACLE_SQL["pv_by_hour"]
