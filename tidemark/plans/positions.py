@@ -22,7 +22,8 @@ from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_availa
 def position_rows(batch: DataFrame, epoch: int, batch_id: int) -> DataFrame:
     ranges = offset_range_audit(batch)
     return (ledger_rows(ranges, "offset", topic=F.col("topic"), partition=F.col("partition"),
-                        until_offset=F.col("until_offset"))
+                        until_offset=F.col("until_offset"), from_offset=F.col("from_offset"),
+                        delta=F.col("records"))
             .withColumn("epoch", F.lit(int(epoch)))
             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
 

@@ -371,6 +371,17 @@ def q_resume_exactly_once(spark, sf_dir):
     return ingest.read_landing(spark, land)
 
 
+def q_stream_offset_audit(spark, sf_dir):
+    """Per-batch read audit of the counters job across a crash and replay,
+    rolled up per partition: every offset of every partition read exactly
+    once (record counts add up, ranges span the partition)."""
+    audit = ledger.ledger_offset_audit(_traffic_ledger(spark, sf_dir))
+    return audit.groupBy("topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"),
+        F.max("until_offset").alias("until_offset"),
+        F.sum("records").alias("records"))
+
+
 def q_stream_saved_offsets(spark, sf_dir):
     """Positions-only job, crash after a batch's write, restart: the saved
     position of every partition is its end."""
@@ -415,6 +426,7 @@ QUERIES: dict[str, QueryFn] = {
     "ledger_pv_compacted": q_ledger_pv_compacted,
     "resume_exactly_once": q_resume_exactly_once,
     "stream_saved_offsets": q_stream_saved_offsets,
+    "stream_offset_audit": q_stream_offset_audit,
 }
 
 
@@ -545,6 +557,10 @@ SELECT 'key-' || CAST(event_id AS VARCHAR) AS key,
        || CASE WHEN event_type = 'signup' THEN 'Register' ELSE 'View' END AS value
 FROM events""",
     "stream_saved_offsets": _WITH_RECORDS + 'SELECT topic, partition, n AS "offset" FROM sizes',
+    "stream_offset_audit": _WITH_RECORDS + """
+SELECT topic, partition, min("offset") AS from_offset, max("offset") + 1 AS until_offset,
+       count(*) AS records
+FROM records GROUP BY topic, partition""",
     "resume_exactly_once": _WITH_ACCESS
     + "SELECT value AS record, strftime(ts, '%Y-%m-%d') AS pd FROM access_log",
 }

@@ -25,11 +25,13 @@ from tidemark.operators.parse import with_log_fields
 from tidemark.sources.files import read_parquet_or_empty
 
 LEDGER_SCHEMA = ("k STRING, site_id STRING, member STRING, delta BIGINT, topic STRING, "
-                 "partition INT, until_offset BIGINT, metric STRING, epoch INT, batch_id BIGINT")
+                 "partition INT, until_offset BIGINT, from_offset BIGINT, "
+                 "metric STRING, epoch INT, batch_id BIGINT")
 LEDGER_PARTITIONS = ("metric", "epoch", "batch_id")
 
 _EMPTY = {"k": "string", "site_id": "string", "member": "string", "delta": "bigint",
-          "topic": "string", "partition": "int", "until_offset": "bigint"}
+          "topic": "string", "partition": "int", "until_offset": "bigint",
+          "from_offset": "bigint"}
 
 
 def ledger_rows(df: DataFrame, metric: str, **cols) -> DataFrame:
@@ -60,13 +62,17 @@ def batch_ledger_rows(batch: DataFrame, epoch: int, batch_id: int,
 
     Lines that do not parse still advance the position (they are part of the
     offset range) but count nowhere: ``n`` counts parsed lines only, and metric
-    groups with ``n = 0`` are dropped.
+    groups with ``n = 0`` are dropped.  Offset rows carry the batch's
+    ``[from_offset, until_offset)`` per partition and its record count in
+    ``delta``.
     """
     fields = with_log_fields(batch, line_col)
     x = fields.select("topic", "partition", "offset", "hour", "site_id", "user_id",
                       day_key("hour").alias("day"), parse_ok().alias("ok"))
     agg = (x.groupingSets([cols for cols, _ in _SETS.values()], *_SET_COLUMNS)
            .agg(F.count(F.when(F.col("ok"), F.lit(1))).alias("n"),
+                F.count(F.lit(1)).alias("records"),
+                F.min("offset").alias("from_offset"),
                 (F.max("offset") + 1).alias("until_offset"),
                 F.grouping_id().alias("gid")))
     gid = F.col("gid")
@@ -79,9 +85,11 @@ def batch_ledger_rows(batch: DataFrame, epoch: int, batch_id: int,
         F.when(gid == _SETS["uv"][1], F.col("day")).otherwise(F.col("hour")).alias("k"),
         "site_id",
         F.col("user_id").alias("member"),
-        F.when(gid == _SETS["uv"][1], F.lit(1)).otherwise(F.col("n")).cast("bigint").alias("delta"),
+        F.when(gid == _SETS["uv"][1], F.lit(1))
+        .when(is_offset, F.col("records")).otherwise(F.col("n")).cast("bigint").alias("delta"),
         "topic", F.col("partition").cast("int").alias("partition"),
-        F.when(is_offset, F.col("until_offset")).cast("bigint").alias("until_offset"))
+        F.when(is_offset, F.col("until_offset")).cast("bigint").alias("until_offset"),
+        F.when(is_offset, F.col("from_offset")).cast("bigint").alias("from_offset"))
     return (rows.withColumn("epoch", F.lit(int(epoch)))
             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
 
@@ -125,6 +133,14 @@ def ledger_uv(ledger: DataFrame) -> DataFrame:
         .select(F.col("k").alias("day"), F.col("member").alias("user_id")))
 
 
+def ledger_offset_audit(ledger: DataFrame) -> DataFrame:
+    """``(epoch, batch_id, topic, partition, from_offset, until_offset, records)``:
+    what every micro-batch read from every partition."""
+    return (ledger.where((F.col("metric") == "offset") & (F.col("batch_id") >= 0))
+            .select("epoch", "batch_id", "topic", "partition", "from_offset", "until_offset",
+                    F.col("delta").alias("records")))
+
+
 def ledger_positions(ledger: DataFrame) -> DataFrame:
     """``(topic, partition, offset)``: the saved position per partition."""
     rows = ledger.where(F.col("metric") == "offset").select(
@@ -153,7 +169,7 @@ def max_epoch(spark: SparkSession, path: str, schema: str = LEDGER_SCHEMA) -> in
 
 SNAPSHOT_SCHEMA = LEDGER_SCHEMA + ", through_epoch INT, through_batch BIGINT, generation BIGINT"
 _LEDGER_COLUMNS = ("metric", "k", "site_id", "member", "delta", "topic", "partition",
-                   "until_offset", "epoch", "batch_id")
+                   "until_offset", "from_offset", "epoch", "batch_id")
 
 
 def _after(epoch_col, batch_col, through_epoch: int, through_batch: int):
@@ -223,9 +239,9 @@ def compact_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) ->
     generation = 0 if snap is None else int(snap.agg(F.max("generation")).collect()[0][0]) + 1
     types = (("k", "string"), ("site_id", "string"), ("member", "string"), ("delta", "bigint"),
              ("topic", "string"), ("partition", "int"), ("until_offset", "bigint"),
-             ("metric", "string"))
+             ("from_offset", "bigint"), ("metric", "string"))
     out = rows.select(
-        *[F.col(c).cast(t).alias(c) for c, t in types],
+        *[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in types],
         F.coalesce(F.col("epoch"), F.lit(e)).cast("int").alias("epoch"),
         F.lit(-1).cast("bigint").alias("batch_id"),
         F.lit(e).cast("int").alias("through_epoch"),
