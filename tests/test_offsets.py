@@ -152,3 +152,15 @@ def test_range_offsets_options_feed_a_positioned_kafka_read(spark):
     assert json.loads(end) == {"t": {"0": 3, "1": 9}}
     opts = kafka.reader_options("h:9092", topic="t", starting_offsets=start, ending_offsets=end)
     assert opts["endingOffsets"] == end
+
+
+def test_topic_records_keep_rows_with_null_keys(spark):
+    from tidemark.sources import derive
+    ev = spark.createDataFrame(
+        [(1, "2024-01-01 00:00:01", None, "view"), (None, "2024-01-01 00:00:02", 3, "view"),
+         (2, "2024-01-01 00:00:03", 8, "click"), (3, "2024-01-01 00:00:04", 3, "view")],
+        "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING"
+    ).withColumn("ts", F.to_timestamp_ntz("ts"))
+    got = sorted((r["partition"], r["offset"], r["key"]) for r in derive.topic_records(ev).collect())
+    # partition 0: the NULL user (event 1) and user 8 (event 2); partition 3: NULL id first, then 3
+    assert got == [(0, 0, "key-1"), (0, 1, "key-2"), (3, 0, None), (3, 1, "key-3")]

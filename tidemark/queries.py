@@ -463,9 +463,9 @@ _WITH_PARSED = f"WITH {_ACCESS_LOG},{_PARSED_ALL}\n"
 
 _RECORDS = """
 records AS (
-  SELECT 'events' AS topic, CAST(((user_id % 8) + 8) % 8 AS INTEGER) AS partition,
-         CAST(row_number() OVER (PARTITION BY ((user_id % 8) + 8) % 8 ORDER BY event_id) - 1
-              AS BIGINT) AS "offset",
+  SELECT 'events' AS topic, CAST(((coalesce(user_id, 0) % 8) + 8) % 8 AS INTEGER) AS partition,
+         CAST(row_number() OVER (PARTITION BY ((coalesce(user_id, 0) % 8) + 8) % 8
+                                 ORDER BY event_id NULLS FIRST) - 1 AS BIGINT) AS "offset",
          'key-' || CAST(event_id AS VARCHAR) AS key, value, ts
   FROM access_log),
 sizes AS (SELECT topic, partition, count(*) AS n FROM records GROUP BY topic, partition),

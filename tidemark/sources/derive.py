@@ -61,13 +61,17 @@ def topic_records(events: DataFrame, topic: str = DEFAULT_TOPIC,
                   block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(topic, partition, offset, key, value, ts)`` with dense offsets.
 
-    ``offset`` = rank of the event (by ``event_id``) inside its partition,
-    starting at 0; ``partition`` = ``pmod(user_id, num_partitions)``.
+    ``offset`` = rank of the event (by ``event_id``, NULL first) inside its
+    partition, starting at 0; ``partition`` = ``pmod(user_id, num_partitions)``,
+    a NULL user going to partition 0.  No row is dropped: join keys are never
+    NULL.
     """
     lines = access_log(events).select(
         F.lit(topic).alias("topic"),
-        F.pmod(F.col("user_id"), F.lit(num_partitions)).cast("int").alias("partition"),
-        F.expr(f"event_id div {int(block_size)}").alias("block"),
+        F.pmod(F.coalesce(F.col("user_id"), F.lit(0)), F.lit(num_partitions)).cast("int")
+        .alias("partition"),
+        # NULL ids form block -1, ahead of every other block (NULLs sort first).
+        F.coalesce(F.expr(f"event_id div {int(block_size)}"), F.lit(-1).cast("bigint")).alias("block"),
         "event_id", "ts", "value")
 
     # Starting offset of every block: running count of the earlier blocks of the
@@ -79,7 +83,7 @@ def topic_records(events: DataFrame, topic: str = DEFAULT_TOPIC,
         "partition", "block",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("block_start"))
 
-    in_block = Window.partitionBy("partition", "block").orderBy("event_id")
+    in_block = Window.partitionBy("partition", "block").orderBy(F.col("event_id").asc_nulls_first())
     return (lines.join(starts, ["partition", "block"])
             .select("topic", "partition",
                     (F.col("block_start") + F.row_number().over(in_block) - 1).cast("bigint")
