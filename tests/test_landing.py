@@ -68,3 +68,25 @@ def test_external_location_table(spark, scratch):
     landing.insert_batch_partition(_lines(spark), t, "2024-03-01")
     back = spark.read.schema("record STRING, pd STRING").parquet(loc)
     assert sorted(r["record"] for r in back.collect()) == ["a", "b", "c"]
+
+
+def test_rebalanced_write_splits_a_hot_date(spark):
+    """One date holding most rows is written by several tasks (AQE splits the
+    skewed rebalance partition), not funnelled through one."""
+    rows = spark.range(60000).select(
+        F.concat(F.lit("line-"), F.col("id").cast("string"), F.lit("-" + "x" * 40)).alias("value"),
+        F.when(F.col("id") % 10 < 8, F.lit("2024-01-01 12:00:00"))
+        .otherwise(F.concat(F.lit("2024-01-0"), (F.col("id") % 10).cast("string"), F.lit(" 01:00:00")))
+        .alias("ts")).withColumn("ts", F.to_timestamp_ntz("ts"))
+    db = landing.create_database(spark)
+    t = f"{db}.hot"
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        landing.append_by_row_date(rows, t)
+    finally:
+        spark.conf.set(key, previous)
+    hot = [f for f in spark.table(t).inputFiles() if "pd=2024-01-01" in f]
+    assert len(hot) > 1
+    assert spark.table(t).where("pd = '2024-01-01'").count() == 48000
