@@ -1,6 +1,7 @@
 """Streaming jobs: crash after a batch's write + restart gives exact totals;
 batch date survives replay; epochs; batch == stream."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import queries as q
@@ -204,3 +205,22 @@ def test_ledger_compaction_keeps_every_view(spark, scratch):
     # two full passes were counted: page views doubled vs one pass
     one = metrics.pv_by_hour(parse.parse_log(q._access_log(spark, SF))).agg(F.sum("pv")).first()[0]
     assert ledger.ledger_pv(folded).agg(F.sum("pv")).first()[0] == 2 * one
+
+
+@pytest.mark.parametrize("crash_after", [0, 4])
+def test_ledger_exact_for_crash_at_first_and_last_batch(spark, scratch, crash_after):
+    topic = _topic(spark, scratch)
+    path, cp = scratch("ledger"), scratch("cp")
+    try:
+        traffic.start_traffic_job(spark, _stream(spark, topic), path, cp, crash_after_batch=crash_after)
+        raise AssertionError("no crash happened")
+    except Exception as e:  # noqa: BLE001
+        assert "injected failure" in str(e)
+    traffic.start_traffic_job(spark, _stream(spark, topic), path, cp)
+    led = ledger.read_ledger(spark, path)
+    batch = parse.parse_log(q._access_log(spark, SF))
+    want = {r["site_id"] + r["hour"]: r["pv"] for r in metrics.site_pv_by_hour(batch).collect()}
+    got = {r["site_id"] + r["hour"]: r["pv"] for r in ledger.ledger_site_pv(led).collect()}
+    assert got == want
+    audit = ledger.ledger_offset_audit(led)
+    assert audit.agg(F.sum("records")).first()[0] == q._access_log(spark, SF).count()
