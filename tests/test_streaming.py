@@ -224,3 +224,18 @@ def test_ledger_exact_for_crash_at_first_and_last_batch(spark, scratch, crash_af
     assert got == want
     audit = ledger.ledger_offset_audit(led)
     assert audit.agg(F.sum("records")).first()[0] == q._access_log(spark, SF).count()
+
+
+def test_landing_output_is_queryable_by_name(spark, scratch):
+    from tidemark.operators import landing
+    topic = _topic(spark, scratch)
+    land, path = scratch("landing"), scratch("ledger")
+    ingest.start_ingest_job(spark, _stream(spark, topic), land, path, scratch("cp"))
+    db = landing.create_database(spark)
+    view = ingest.register_landing(spark, f"{db}.landing", land)
+    n = q._access_log(spark, SF).count()
+    assert spark.sql(f"SELECT count(*) FROM {landing.quote_ident(view)}").first()[0] == n
+    assert spark.table(view).columns == ["record", "pd"]
+    one_day = spark.sql(f"SELECT count(*) FROM {landing.quote_ident(f'{db}.landing')} "
+                        "WHERE pd = '2024-01-05'").first()[0]
+    assert 0 < one_day < n

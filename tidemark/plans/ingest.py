@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.landing import stamp_batch_date, stamp_row_date
+from tidemark.operators.landing import quote_ident, stamp_batch_date, stamp_row_date
 from tidemark.plans.positions import position_rows
 from tidemark.sources.files import read_parquet_or_empty
 from tidemark.streaming.ledger import ledger_rows, max_epoch, read_ledger, write_ledger
@@ -103,6 +103,24 @@ def start_ingest_job(spark: SparkSession, records: DataFrame, landing_path: str,
     return run_available(writer, processing_time)
 
 
+def register_landing(spark: SparkSession, table: str, landing_path: str) -> str:
+    """Expose the landing output in the catalog for SQL users.
+
+    ``table`` becomes an external Parquet table over ``landing_path``
+    partitioned by ``(pd, epoch, batch_id)`` (partitions recovered from the
+    directories; call again to pick up new batches), and ``<table>_v`` a view
+    ``(record, pd)`` without the replay columns.  Returns the view name.
+    """
+    t = quote_ident(table)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {t} (record STRING, pd STRING, epoch INT, "
+              f"batch_id BIGINT) USING parquet PARTITIONED BY (pd, epoch, batch_id) "
+              f"LOCATION '{landing_path}'")
+    spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
+    view = f"{table}_v"
+    spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(view)} AS SELECT record, pd FROM {t}")
+    return view
+
+
 def read_landing(spark: SparkSession, landing_path: str) -> DataFrame:
     """The landing table as ``(record, pd)``; a ``pd`` predicate prunes directories."""
     return read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path).select("record", "pd")
