@@ -239,3 +239,16 @@ def test_landing_output_is_queryable_by_name(spark, scratch):
     one_day = spark.sql(f"SELECT count(*) FROM {landing.quote_ident(f'{db}.landing')} "
                         "WHERE pd = '2024-01-05'").first()[0]
     assert 0 < one_day < n
+
+
+def test_unique_users_on_rocksdb_state(spark, scratch):
+    topic = _topic(spark, scratch)
+    out = scratch("out")
+    result = counters.running_uv_by_day(_stream(spark, topic))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    run_available(counters.complete_to_table(result, out).option("checkpointLocation", scratch("cp")),
+                  spark=spark, state_partitions=4, state_store="rocksdb")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+    got = {r["day"]: r["uv"] for r in spark.read.parquet(out).collect()}
+    want = {r["day"]: r["uv"] for r in metrics.uv_by_day(parse.parse_log(q._access_log(spark, SF))).collect()}
+    assert got == want

@@ -12,8 +12,8 @@ query, so totals survive restarts.
   day is dropped once event time has moved past it by that delay (late lines
   beyond it are then no longer deduplicated).
 
-At scale, set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB
-provider so the member state lives off-heap and spills to local disk, with
+At scale, start the query with ``run_available(..., state_store="rocksdb")``
+so the member state lives off-heap in RocksDB and spills to local disk, with
 changelog checkpointing to the shared folder.
 """
 
@@ -27,10 +27,6 @@ from tidemark.operators import metrics
 from tidemark.sources.files import read_parquet_or_empty
 from tidemark.operators.parse import parse_log
 
-ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
-                    "RocksDBStateStoreProvider")
-
-
 def running_pv_by_hour(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return metrics.pv_by_hour(parse_log(lines, line_col))
 

@@ -21,9 +21,17 @@ class InjectedFailure(RuntimeError):
     """Raised on purpose after a batch's write (crash/replay tests)."""
 
 
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def run_available(writer: DataStreamWriter, processing_time: str | None = None,
                   spark: SparkSession | None = None,
-                  state_partitions: int | None = None) -> StreamingQuery:
+                  state_partitions: int | None = None,
+                  state_store: str | None = None) -> StreamingQuery:
     """Run to completion on what is available now (or with a fixed interval
     trigger when ``processing_time`` is given, which never completes).
 
@@ -31,23 +39,37 @@ def run_available(writer: DataStreamWriter, processing_time: str | None = None,
     stateful query (stored in its checkpoint at the first batch, so it cannot
     change later).  AQE does not coalesce stateful stages, so the session's
     shuffle-partition count (often sized for batch joins) would otherwise run
-    that many state tasks every micro-batch.  The setting is applied only
-    while ``start()`` clones the session for the query.
+    that many state tasks every micro-batch.  ``state_store="rocksdb"`` keeps
+    state in RocksDB (off-heap, spills to local disk, changelog checkpoints to
+    the checkpoint folder): the choice for large state such as per-day user
+    sets.  Both settings are applied only while ``start()`` clones the session
+    for the query.
     """
     writer = (writer.trigger(processingTime=processing_time) if processing_time
               else writer.trigger(availableNow=True))
-    if state_partitions is None:
+    settings: dict[str, str] = {}
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(int(state_partitions))
+    if state_store == "rocksdb":
+        settings.update(ROCKSDB_STATE)
+    elif state_store is not None:
+        raise ValueError(f"unknown state store {state_store!r}")
+    if not settings:
         q = writer.start()
     else:
         if spark is None:
-            raise ValueError("state_partitions needs the session")
-        key = "spark.sql.shuffle.partitions"
-        previous = spark.conf.get(key)
-        spark.conf.set(key, str(int(state_partitions)))
+            raise ValueError("per-query state settings need the session")
+        previous = {k: spark.conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         try:
             q = writer.start()
         finally:
-            spark.conf.set(key, previous)
+            for k, v in previous.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
     if not processing_time:
         q.awaitTermination()
     return q
