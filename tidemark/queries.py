@@ -245,11 +245,12 @@ def _topic_stream(spark, path):
     return files.record_stream(spark, path, max_files_per_trigger=per_batch)
 
 
-def _run_complete(spark, result, name):
+def _run_complete(spark, result, name, state_store=None):
     out = scratch_path(spark, name)
     writer = counters.complete_to_table(result, out).option(
         "checkpointLocation", scratch_path(spark, name + "_checkpoint"))
-    run_available(writer, spark=spark, state_partitions=default_state_partitions(spark))
+    run_available(writer, spark=spark, state_partitions=default_state_partitions(spark),
+                  state_store=state_store)
     return files.read_parquet_or_empty(spark, result.schema, out)
 
 
@@ -278,7 +279,8 @@ def q_stream_site_pv_updates(spark, sf_dir):
 
 def q_stream_uv_by_day(spark, sf_dir):
     stream = _topic_stream(spark, _landed_topic(spark, sf_dir))
-    return _run_complete(spark, counters.running_uv_by_day(stream), "uv")
+    # The per-day member state grows with the data: keep it in RocksDB.
+    return _run_complete(spark, counters.running_uv_by_day(stream), "uv", state_store="rocksdb")
 
 
 CRASH_AFTER_BATCH = 2
