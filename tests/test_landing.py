@@ -53,6 +53,11 @@ def test_insert_by_columns_and_values(spark):
     landing.insert_values(spark, t, ["record", "pt_date"], [("tt", "2019-02-09"), ("uu", "2019-02-10")])
     rows = sorted(tuple(r) for r in spark.table(t).collect())
     assert rows == [("tt", "2019-02-09"), ("uu", "2019-02-10"), ("x", "2019-02-09")]
+    # many rows: every value stays in its own row and column
+    many = [(f"rec-{i}", f"2020-01-{i % 28 + 1:02d}") for i in range(50)]
+    landing.insert_values(spark, t, ["pt_date", "record"], [(d, r) for r, d in many])
+    got = sorted(tuple(r) for r in spark.table(t).where("record LIKE 'rec-%'").collect())
+    assert got == sorted(many)
 
 
 def test_quote_ident_rejects_injection():

@@ -114,12 +114,19 @@ def insert_by_columns(spark: SparkSession, table: str, columns: list[str], df: D
 
 
 def insert_values(spark: SparkSession, table: str, columns: list[str], rows: list[tuple]) -> None:
-    """``INSERT INTO t (c1, ...) VALUES (...), ...`` with bound parameters."""
+    """``INSERT INTO t (c1, ...) VALUES (...), ...`` with bound parameters.
+
+    Named markers (``:r<i>_<j>``) bind by name; positional ``?`` markers in a
+    multi-row ``VALUES`` list are not guaranteed to bind in row order.
+    """
     if not rows:
         return
     width = len(columns)
-    marks = ", ".join("(" + ", ".join("?" for _ in range(width)) + ")" for _ in rows)
-    args = [v for r in rows for v in r]
+    if any(len(r) != width for r in rows):
+        raise ValueError("every row needs one value per column")
+    marks = ", ".join("(" + ", ".join(f":r{i}_{j}" for j in range(width)) + ")"
+                      for i in range(len(rows)))
+    args = {f"r{i}_{j}": v for i, r in enumerate(rows) for j, v in enumerate(r)}
     cols = ", ".join(quote_ident(c) for c in columns)
     spark.sql(f"INSERT INTO {quote_ident(table)} ({cols}) VALUES {marks}", args=args)
 

@@ -192,6 +192,21 @@ def q_insert_by_columns(spark, sf_dir):
     return spark.table(table)
 
 
+def q_insert_values(spark, sf_dir):
+    """``INSERT INTO t1 (record, pt_date) VALUES (...)`` with bound parameters:
+    one summary row per day (``lines=<count>``), computed by Spark; the literal
+    rows are bounded by the number of dates, not by the data."""
+    db = landing.create_database(spark)
+    table = f"{db}.t1"
+    spark.sql(f"CREATE TABLE {landing.quote_ident(table)} (record STRING, pt_date STRING) "
+              "USING parquet PARTITIONED BY (pt_date)")
+    daily = (landing.stamp_row_date(_access_log(spark, sf_dir))
+             .groupBy("pd").agg(F.count(F.lit(1)).alias("n")).collect())
+    landing.insert_values(spark, table, ["record", "pt_date"],
+                          [(f"lines={r['n']}", r["pd"]) for r in daily])
+    return spark.table(table)
+
+
 def q_landing_scan(spark, sf_dir):
     """The SQL route: batch as a temp view, ``USE db``, static-partition
     ``INSERT ... SELECT record FROM view``, then ``SELECT * FROM t``."""
@@ -414,6 +429,7 @@ QUERIES: dict[str, QueryFn] = {
     "land_row_date": q_land_row_date,
     "landing_partition_counts": q_landing_partition_counts,
     "insert_by_columns": q_insert_by_columns,
+    "insert_values": q_insert_values,
     "landing_scan": q_landing_scan,
     "encode_user_log": q_encode_user_log,
     "stream_pv_by_hour": q_stream_pv_by_hour,
@@ -552,6 +568,9 @@ SELECT strftime(ts, '%Y-%m-%d') AS pd, count(*) AS records FROM access_log GROUP
     "insert_by_columns": _WITH_ACCESS
     + "SELECT value AS record, strftime(ts, '%Y-%m-%d') AS pt_date FROM access_log",
     "landing_scan": _WITH_ACCESS + "SELECT value AS record, '2024-02-01' AS pd FROM access_log",
+    "insert_values": _WITH_ACCESS + """
+SELECT 'lines=' || CAST(count(*) AS VARCHAR) AS record, strftime(ts, '%Y-%m-%d') AS pt_date
+FROM access_log GROUP BY 2""",
     "encode_user_log": """
 SELECT 'key-' || CAST(event_id AS VARCHAR) AS key,
        strftime(ts, '%Y-%m-%d') || CAST(epoch_us(ts) // 1000 AS VARCHAR) || CAST(user_id AS VARCHAR)
