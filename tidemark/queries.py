@@ -246,6 +246,11 @@ def _landed_topic(spark, sf_dir) -> str:
     streaming query (files are never modified after landing).
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key in _LANDED_TOPICS:
+        try:   # still there? (a listing, no data read)
+            spark.read.schema(files.RECORD_SCHEMA).parquet(_LANDED_TOPICS[key]).inputFiles()
+        except Exception:  # noqa: BLE001 - cleaned up: land it again
+            del _LANDED_TOPICS[key]
     if key not in _LANDED_TOPICS:
         path = scratch_path(spark, "topic")
         banded = derive.offset_bands(_records(spark, sf_dir))
