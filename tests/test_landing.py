@@ -64,6 +64,9 @@ def test_quote_ident_rejects_injection():
     with pytest.raises(ValueError):
         landing.quote_ident("db.t; DROP TABLE x")
     assert landing.quote_ident("db.t") == "`db`.`t`"
+    with pytest.raises(ValueError):
+        landing.quote_path("/data/x' OR '1'='1")
+    assert landing.quote_path("hdfs:///a/b") == "'hdfs:///a/b'"
 
 
 def test_external_location_table(spark, scratch):

@@ -39,11 +39,18 @@ def quote_ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in parts)
 
 
+def quote_path(path: str) -> str:
+    """A location as a SQL string literal; rejects characters that could end it."""
+    if any(ch in path for ch in ("'", "\\", "\n", "\r")):
+        raise ValueError(f"unsupported character in location: {path!r}")
+    return f"'{path}'"
+
+
 def create_database(spark: SparkSession, name: str | None = None, location: str | None = None) -> str:
     """Create a database in the shared folder; returns its name."""
     name = name or f"tidemark_{uuid.uuid4().hex[:12]}"
     location = location or scratch_path(spark, "db", name)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_ident(name)} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_ident(name)} LOCATION {quote_path(location)}")
     return name
 
 
@@ -51,7 +58,7 @@ def create_landing_table(spark: SparkSession, table: str, partition_col: str = "
                          payload_col: str = "record", location: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS t (record STRING, pd STRING) USING parquet
     PARTITIONED BY (pd) [LOCATION ...]``."""
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = f" LOCATION {quote_path(location)}" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {quote_ident(table)} "
               f"({quote_ident(payload_col)} STRING, {quote_ident(partition_col)} STRING) "
               f"USING parquet PARTITIONED BY ({quote_ident(partition_col)}){loc}")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.landing import quote_ident, stamp_batch_date, stamp_row_date
+from tidemark.operators.landing import quote_ident, quote_path, stamp_batch_date, stamp_row_date
 from tidemark.plans.positions import position_rows
 from tidemark.sources.files import read_parquet_or_empty
 from tidemark.streaming.ledger import ledger_rows, max_epoch, read_ledger, write_ledger
@@ -114,7 +114,7 @@ def register_landing(spark: SparkSession, table: str, landing_path: str) -> str:
     t = quote_ident(table)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {t} (record STRING, pd STRING, epoch INT, "
               f"batch_id BIGINT) USING parquet PARTITIONED BY (pd, epoch, batch_id) "
-              f"LOCATION '{landing_path}'")
+              f"LOCATION {quote_path(landing_path)}")
     spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
     view = f"{table}_v"
     spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(view)} AS SELECT record, pd FROM {t}")
