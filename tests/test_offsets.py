@@ -182,3 +182,38 @@ def test_dense_offsets_across_many_blocks_match_row_number(spark, block_size):
                'key-' || CAST(event_id AS VARCHAR) AS k
         FROM read_parquet('{sf}/events.parquet')""").fetchall())
     assert got == want
+
+
+def test_saved_offsets_random_ledgers_match_model(spark):
+    import random
+    rng = random.Random(5)
+    rows = []
+    for key in range(300):
+        for _ in range(rng.randint(1, 8)):
+            rows.append(("j", "t", key, rng.randint(0, 1000), rng.randint(0, 3), rng.randint(0, 6)))
+    ledger = spark.createDataFrame(
+        rows, "job STRING, topic STRING, partition INT, until_offset BIGINT, epoch INT, batch_id BIGINT")
+    got = {r["partition"]: r["offset"] for r in offsets.saved_offsets(ledger).collect()}
+    want = {}
+    for key in {r[2] for r in rows}:
+        mine = [r for r in rows if r[2] == key]
+        newest = max(r[4] for r in mine)
+        want[key] = max(r[3] for r in mine if r[4] == newest)
+    assert got == want
+
+
+def test_correct_offsets_random_cases_match_model(spark):
+    import random
+    rng = random.Random(9)
+    bounds, saved, model = [], [], {}
+    for p in range(500):
+        earliest = rng.randint(0, 100)
+        latest = None if rng.random() < 0.1 else earliest + rng.randint(0, 100)
+        bounds.append(("t", p, earliest, latest))
+        s = None if rng.random() < 0.2 else rng.randint(-5, (latest or earliest) + 10)
+        if s is not None:
+            saved.append(("t", p, s))
+        s0, l0 = (s if s is not None else 0), (latest if latest is not None else 0)
+        model[p] = earliest if (s0 > l0 or s0 < earliest) else s0
+    got = _repair(spark, bounds, saved)
+    assert {p: r["start_offset"] for p, r in got.items()} == model
