@@ -217,3 +217,16 @@ def test_correct_offsets_random_cases_match_model(spark):
         model[p] = earliest if (s0 > l0 or s0 < earliest) else s0
     got = _repair(spark, bounds, saved)
     assert {p: r["start_offset"] for p, r in got.items()} == model
+
+
+def test_launcher_arguments():
+    from tidemark.__main__ import parse_args
+    a = parse_args(["ingest", "b1:9092,b2:9092", "events", "kafka_db", "landing",
+                    "--max-rate-per-partition", "10", "--partitions", "3"])
+    assert (a.job, a.brokers, a.topic, a.database, a.table, a.date_mode) == \
+        ("ingest", "b1:9092,b2:9092", "events", "kafka_db", "landing", "batch")
+    assert a.max_rate_per_partition == 10 and a.partitions == 3
+    c = parse_args(["counters", "b:9092", "access_log", "--trigger", "10 seconds"])
+    assert (c.job, c.trigger) == ("counters", "10 seconds")
+    with pytest.raises(SystemExit):
+        parse_args(["ingest", "b:9092", "events"])          # database and table required
