@@ -75,6 +75,7 @@ def main(argv: list[str] | None = None) -> None:
                                    date_mode=args.date_mode, max_offsets_per_trigger=max_offsets,
                                    processing_time=trigger)
         landing.create_database(spark, args.database, f"{root}/catalog/{args.database}")
+        # Registered now; rerun register_landing to pick up partitions of new batches.
         ingest.register_landing(spark, f"{args.database}.{args.table}", data)
     elif args.job == "counters":
         q = live.start_live_counters(spark, args.brokers, args.topic, led, cp,

@@ -115,7 +115,8 @@ def register_landing(spark: SparkSession, table: str, landing_path: str) -> str:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {t} (record STRING, pd STRING, epoch INT, "
               f"batch_id BIGINT) USING parquet PARTITIONED BY (pd, epoch, batch_id) "
               f"LOCATION {quote_path(landing_path)}")
-    spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
+    if read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path).inputFiles():
+        spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
     view = f"{table}_v"
     spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(view)} AS SELECT record, pd FROM {t}")
     return view
