@@ -252,3 +252,19 @@ def test_unique_users_on_rocksdb_state(spark, scratch):
     got = {r["day"]: r["uv"] for r in spark.read.parquet(out).collect()}
     want = {r["day"]: r["uv"] for r in metrics.uv_by_day(parse.parse_log(q._access_log(spark, SF))).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("date_mode", ["row", "batch"])
+def test_catalog_table_kept_current_per_batch(spark, scratch, date_mode):
+    from tidemark.operators import landing
+    topic = _topic(spark, scratch)
+    land, path = scratch("landing"), scratch("ledger")
+    db = landing.create_database(spark)
+    table = f"{db}.landing"
+    cp = scratch("cp")
+    _crash_resume(lambda c: ingest.start_ingest_job(
+        spark, _stream(spark, topic), land, path, cp, date_mode=date_mode,
+        clock=lambda: "2024-06-01", crash_after_batch=c, table=table))
+    n = q._access_log(spark, SF).count()
+    # no re-registration: partitions were added as batches landed
+    assert spark.sql(f"SELECT count(*) FROM {landing.quote_ident(table + '_v')}").first()[0] == n

@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parse_args(sys.argv[1:] if argv is None else argv)
 
     from tidemark.operators import landing
-    from tidemark.plans import ingest, live, positions
+    from tidemark.plans import live, positions
     from tidemark.session import build_session, shared_root
     from tidemark.sources import kafka
 
@@ -71,12 +71,10 @@ def main(argv: list[str] | None = None) -> None:
     cp = live.choose_checkpoint(spark, f"{root}/checkpoints/{args.job}/{args.topic}", led, args.topic)
     if args.job == "ingest":
         data = f"{root}/landing/{args.database}/{args.table}"
+        landing.create_database(spark, args.database, f"{root}/catalog/{args.database}")
         q = live.start_live_ingest(spark, args.brokers, args.topic, data, led, cp,
                                    date_mode=args.date_mode, max_offsets_per_trigger=max_offsets,
-                                   processing_time=trigger)
-        landing.create_database(spark, args.database, f"{root}/catalog/{args.database}")
-        # Registered now; rerun register_landing to pick up partitions of new batches.
-        ingest.register_landing(spark, f"{args.database}.{args.table}", data)
+                                   processing_time=trigger, table=f"{args.database}.{args.table}")
     elif args.job == "counters":
         q = live.start_live_counters(spark, args.brokers, args.topic, led, cp,
                                      rejects_path=f"{root}/rejects/{args.topic}",

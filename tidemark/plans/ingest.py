@@ -22,6 +22,7 @@ checkpoint (the source's own commit log).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ from tidemark.streaming.ledger import ledger_rows, max_epoch, read_ledger, write
 from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
 
 LANDED_SCHEMA = "record STRING, pd STRING, epoch INT, batch_id BIGINT"
+_DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 LANDED_PARTITIONS = ("pd", "epoch", "batch_id")
 
 
@@ -55,9 +57,21 @@ def recorded_batch_date(spark: SparkSession, ledger_path: str, epoch: int, batch
     return rows[0]["k"] if rows else None
 
 
+def add_batch_partitions(spark: SparkSession, table: str, days: list[str], epoch: int,
+                         batch_id: int) -> None:
+    """Make one batch's landed partitions visible in the catalog table."""
+    t = quote_ident(table)
+    for day in days:
+        if not _DAY.match(day):
+            raise ValueError(f"unexpected partition date {day!r}")
+        spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS PARTITION "
+                  f"(pd = '{day}', epoch = {int(epoch)}, batch_id = {int(batch_id)})")
+
+
 def ingest_batch_writer(landing_path: str, ledger_path: str, epoch: int,
                         date_mode: str = "row", clock=utc_today,
-                        write_positions: bool = True, crash_after_batch: int | None = None):
+                        write_positions: bool = True, crash_after_batch: int | None = None,
+                        table: str | None = None):
     if date_mode not in ("row", "batch"):
         raise ValueError("date_mode must be 'row' or 'batch'")
 
@@ -65,8 +79,10 @@ def ingest_batch_writer(landing_path: str, ledger_path: str, epoch: int,
         spark = batch.sparkSession
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            days: list[str] = []
             if date_mode == "batch":
                 day = recorded_batch_date(spark, ledger_path, epoch, batch_id) or clock()
+                days = [day]
                 intent = ledger_rows(spark.range(1), "batch_date", k=F.lit(day))
                 write_ledger(intent.withColumn("epoch", F.lit(epoch))
                              .withColumn("batch_id", F.lit(batch_id).cast("bigint")), ledger_path)
@@ -77,6 +93,10 @@ def ingest_batch_writer(landing_path: str, ledger_path: str, epoch: int,
              .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*LANDED_PARTITIONS).parquet(landing_path))
+            if table is not None:
+                if date_mode == "row":   # the batch's dates: a handful of values
+                    days = [r["pd"] for r in landed.select("pd").distinct().collect()]
+                add_batch_partitions(spark, table, days, epoch, batch_id)
             if write_positions:
                 write_ledger(position_rows(batch, epoch, batch_id), ledger_path)
         finally:
@@ -90,7 +110,13 @@ def start_ingest_job(spark: SparkSession, records: DataFrame, landing_path: str,
                      ledger_path: str, checkpoint: str, date_mode: str = "row",
                      clock=utc_today, write_positions: bool = True,
                      crash_after_batch: int | None = None,
-                     processing_time: str | None = None) -> StreamingQuery:
+                     processing_time: str | None = None,
+                     table: str | None = None) -> StreamingQuery:
+    """Run the landing ingest.  With ``table``, the landing output is
+    registered in the catalog (:func:`register_landing`) and every batch adds
+    its partitions there as it lands."""
+    if table is not None:
+        register_landing(spark, table, landing_path)
     # A new checkpoint must not reuse an epoch present in either output, or its
     # (epoch, batch_id) overwrites could replace partitions of an older run.
     known = [e for e in (max_epoch(spark, ledger_path),
@@ -98,7 +124,8 @@ def start_ingest_job(spark: SparkSession, records: DataFrame, landing_path: str,
     epoch = resolve_epoch(spark, checkpoint, max(known) if known else None)
     writer = (records.writeStream
               .foreachBatch(ingest_batch_writer(landing_path, ledger_path, epoch, date_mode,
-                                                clock, write_positions, crash_after_batch))
+                                                clock, write_positions, crash_after_batch,
+                                                table))
               .option("checkpointLocation", checkpoint))
     return run_available(writer, processing_time)
 

@@ -90,13 +90,15 @@ def start_live_ingest(spark: SparkSession, bootstrap_servers: str, topic: str,
                       landing_path: str, ledger_path: str, checkpoint: str,
                       bounds: DataFrame | None = None, date_mode: str = "batch",
                       max_offsets_per_trigger: int | None = None,
-                      processing_time: str | None = "5 seconds") -> StreamingQuery:
-    """Topic -> date-partitioned landing table, positions in the ledger."""
+                      processing_time: str | None = "5 seconds",
+                      table: str | None = None) -> StreamingQuery:
+    """Topic -> date-partitioned landing table, positions in the ledger; with
+    ``table`` the landing output is a catalog table kept current per batch."""
     opts = source_options(spark, bootstrap_servers, topic, ledger_path, checkpoint, bounds,
                           max_offsets_per_trigger=max_offsets_per_trigger)
     return ingest.start_ingest_job(spark, kafka.read_stream(spark, opts), landing_path,
                                    ledger_path, checkpoint, date_mode=date_mode,
-                                   processing_time=processing_time)
+                                   processing_time=processing_time, table=table)
 
 
 def start_live_counters(spark: SparkSession, bootstrap_servers: str, topic: str,
