@@ -183,7 +183,6 @@ def test_empty_topic_gives_empty_results(spark, scratch):
 
 
 def test_ledger_compaction_keeps_every_view(spark, scratch):
-    from tidemark.operators import offsets as off
     topic = _topic(spark, scratch)
     path, snap = scratch("ledger"), scratch("snapshot")
     assert ledger.compact_ledger(spark, path, snap) is None
