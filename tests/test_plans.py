@@ -62,3 +62,29 @@ def test_dense_offsets_shuffle_the_records_once(spark, capsys, static_plans):
 def test_positioned_read_broadcasts_the_checked_range_table(spark, capsys):
     plan = _plan(q.q_positioned_read(spark, SF), capsys)
     assert "BroadcastHashJoin" in plan
+
+
+def _outside_codegen(plan: str) -> set[str]:
+    import re
+    outside = set()
+    for line in plan.splitlines()[1:]:
+        m = re.match(r"^[\s:+\-]*(\*\(\d+\) )?(\w+)", line)
+        if m and not m.group(1):
+            outside.add(m.group(2))
+    return outside
+
+
+EXPECTED_OUTSIDE = {"Exchange", "FileScan", "Scan", "Window", "AdaptiveSparkPlan"}
+
+
+@pytest.mark.parametrize("name", ["parse_log", "parse_rejects", "pv_by_hour", "site_pv_by_hour",
+                                  "uv_by_day", "offset_bounds", "encode_user_log"])
+def test_row_work_stays_in_whole_stage_codegen(spark, capsys, static_plans, name):
+    outside = _outside_codegen(_plan(getattr(q, "q_" + name)(spark, SF), capsys))
+    assert outside <= EXPECTED_OUTSIDE, outside
+
+
+def test_ledger_batch_in_whole_stage_codegen(spark, capsys, static_plans):
+    records = q._records(spark, SF).checkpoint(eager=True)
+    outside = _outside_codegen(_plan(batch_ledger_rows(records, 0, 0), capsys))
+    assert outside <= EXPECTED_OUTSIDE, outside
