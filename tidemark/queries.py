@@ -404,6 +404,13 @@ def q_stream_offset_audit(spark, sf_dir):
         F.sum("records").alias("records"))
 
 
+def q_stream_batch_total(spark, sf_dir):
+    """Per-batch totals of the counters job (lines read, lines parsed) across a
+    crash and replay, summed over all batches."""
+    totals = ledger.ledger_batch_totals(_traffic_ledger(spark, sf_dir))
+    return totals.agg(F.sum("records").alias("records"), F.sum("events").alias("events"))
+
+
 def q_stream_saved_offsets(spark, sf_dir):
     """Positions-only job, crash after a batch's write, restart: the saved
     position of every partition is its end."""
@@ -450,6 +457,7 @@ QUERIES: dict[str, QueryFn] = {
     "resume_exactly_once": q_resume_exactly_once,
     "stream_saved_offsets": q_stream_saved_offsets,
     "stream_offset_audit": q_stream_offset_audit,
+    "stream_batch_total": q_stream_batch_total,
 }
 
 
@@ -607,3 +615,5 @@ WHERE (CASE WHEN length(f[1]) >= 13 THEN replace(substr(f[1], 1, 13), 'T', '-')
 ORACLE_SQL["ledger_uv"] = ORACLE_SQL["uv_by_day"]
 ORACLE_SQL["ledger_uv_members"] = ORACLE_SQL["uv_members_by_day"]
 ORACLE_SQL["ledger_pv_compacted"] = ORACLE_SQL["pv_by_hour"]
+ORACLE_SQL["stream_batch_total"] = _WITH_PARSED + """
+SELECT (SELECT count(*) FROM access_log) AS records, (SELECT count(*) FROM parsed) AS events"""

@@ -141,6 +141,16 @@ def ledger_offset_audit(ledger: DataFrame) -> DataFrame:
                     F.col("delta").alias("records")))
 
 
+def ledger_batch_totals(ledger: DataFrame) -> DataFrame:
+    """``(epoch, batch_id, records, events)``: lines each micro-batch read and
+    how many of them parsed (page views are counted once per parsed line)."""
+    per = ledger.where((F.col("metric").isin("offset", "pv")) & (F.col("batch_id") >= 0))
+    return per.groupBy("epoch", "batch_id").agg(
+        F.sum(F.when(F.col("metric") == "offset", F.col("delta"))).alias("records"),
+        F.coalesce(F.sum(F.when(F.col("metric") == "pv", F.col("delta"))), F.lit(0))
+        .cast("bigint").alias("events"))
+
+
 def ledger_positions(ledger: DataFrame) -> DataFrame:
     """``(topic, partition, offset)``: the saved position per partition."""
     rows = ledger.where(F.col("metric") == "offset").select(
