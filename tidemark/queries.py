@@ -221,6 +221,7 @@ def q_landing_scan(spark, sf_dir):
         return spark.sql("SELECT * FROM landing").select("record", "pd")
     finally:
         spark.catalog.setCurrentDatabase(previous)
+        spark.catalog.dropTempView("t2")
 
 
 def q_encode_user_log(spark, sf_dir):
