@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.sources.files import read_parquet_or_empty
+
 EPOCH_SCHEMA = "epoch INT"
 
 
@@ -85,10 +87,7 @@ def _epoch_marker(checkpoint: str) -> str:
 
 
 def read_epoch(spark: SparkSession, checkpoint: str) -> int | None:
-    try:
-        rows = spark.read.schema(EPOCH_SCHEMA).json(_epoch_marker(checkpoint)).collect()
-    except Exception:  # noqa: BLE001 - no marker yet
-        return None
+    rows = read_parquet_or_empty(spark, EPOCH_SCHEMA, _epoch_marker(checkpoint)).collect()
     return rows[0]["epoch"] if rows else None
 
 
@@ -99,6 +98,6 @@ def resolve_epoch(spark: SparkSession, checkpoint: str, newest_known: int | None
     if e is not None:
         return e
     e = 0 if newest_known is None else newest_known + 1
-    spark.createDataFrame([(e,)], EPOCH_SCHEMA).coalesce(1).write.mode("overwrite").json(
+    spark.createDataFrame([(e,)], EPOCH_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
         _epoch_marker(checkpoint))
     return e
