@@ -230,3 +230,25 @@ def test_launcher_arguments():
     assert (c.job, c.trigger) == ("counters", "10 seconds")
     with pytest.raises(SystemExit):
         parse_args(["ingest", "b:9092", "events"])          # database and table required
+
+
+def test_kafka_decode_on_source_shaped_rows(spark):
+    """Rows shaped like the Kafka source's output decode to the columns every
+    job consumes, and the ledger aggregation runs on them."""
+    import datetime as dt
+    from tidemark.streaming.ledger import batch_ledger_rows, ledger_pv
+    raw = spark.createDataFrame(
+        [(b"key-1", b"2024-01-01T10:00:00|~|x|~|/p?uid=u1&sid=s1", "events", 0, 7,
+          dt.datetime(2024, 1, 1, 10, 0, 0), 0),
+         (None, None, "events", 1, 3, dt.datetime(2024, 1, 1, 10, 0, 1), 0)],
+        "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
+        "timestamp TIMESTAMP, timestampType INT")
+    dec = kafka.decode(raw)
+    assert dec.columns == list(kafka.DECODED_COLUMNS)
+    assert dict(dec.dtypes) == {"topic": "string", "partition": "int", "offset": "bigint",
+                                "key": "string", "value": "string", "ts": "timestamp_ntz"}
+    rows = batch_ledger_rows(dec, 0, 0)
+    assert [tuple(r) for r in ledger_pv(rows).collect()] == [("2024-01-01-10", 1)]
+    got = {r["partition"]: (r["from_offset"], r["until_offset"]) for r in
+           rows.where("metric = 'offset'").collect()}
+    assert got == {0: (7, 8), 1: (3, 4)}       # the tombstone still advances its partition
