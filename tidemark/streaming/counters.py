@@ -55,11 +55,15 @@ def update_to_log(result: DataFrame, path: str):
     Unlike complete mode, the output per batch is bounded by the batch, not by
     the whole key space.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
-    return result.writeStream.outputMode("update").foreachBatch(write)
+    return result.writeStream.outputMode("update").foreachBatch(
+        lambda batch, batch_id: write_update_batch(batch, batch_id, path))
+
+
+def write_update_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """One update-mode batch into its ``batch_id`` partition (replaced on replay)."""
+    (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
 
 
 def read_update_log(spark, path: str, result_schema: StructType) -> DataFrame:
