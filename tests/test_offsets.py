@@ -252,3 +252,13 @@ def test_kafka_decode_on_source_shaped_rows(spark):
     got = {r["partition"]: (r["from_offset"], r["until_offset"]) for r in
            rows.where("metric = 'offset'").collect()}
     assert got == {0: (7, 8), 1: (3, 4)}       # the tombstone still advances its partition
+
+
+def test_ranges_reader_options(spark):
+    ranges = spark.createDataFrame([("t", 1, 5, 9), ("t", 0, 0, 3), ("u", 2, 4, 4)],
+                                   "topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT")
+    o = kafka.ranges_reader_options("h:9092", ranges)
+    assert json.loads(o["assign"]) == {"t": [0, 1], "u": [2]}
+    assert json.loads(o["startingOffsets"]) == {"t": {"0": 0, "1": 5}, "u": {"2": 4}}
+    assert json.loads(o["endingOffsets"]) == {"t": {"0": 3, "1": 9}, "u": {"2": 4}}
+    assert o["failOnDataLoss"] == "true" and "subscribe" not in o

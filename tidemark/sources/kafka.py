@@ -99,6 +99,24 @@ def read_batch(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return decode(spark.read.format("kafka").options(**options).load())
 
 
+def ranges_reader_options(bootstrap_servers: str, ranges: DataFrame) -> dict[str, str]:
+    """Options for a positioned batch read of planned ``[from, until)`` ranges
+    (``assign`` lists exactly the planned partitions)."""
+    from tidemark.operators.offsets import range_offsets_options
+    start, end = range_offsets_options(ranges)
+    parts: dict[str, list[int]] = {}
+    for topic, offsets_by_partition in json.loads(start).items():
+        parts[topic] = [int(p) for p in offsets_by_partition]
+    return reader_options(bootstrap_servers, assign=parts, starting_offsets=start,
+                          ending_offsets=end)
+
+
+def read_ranges(spark: SparkSession, bootstrap_servers: str, ranges: DataFrame) -> DataFrame:
+    """The records of planned ranges, read from the topic (live form of
+    :func:`tidemark.operators.offsets.positioned_read`)."""
+    return read_batch(spark, ranges_reader_options(bootstrap_servers, ranges))
+
+
 def writer_options(bootstrap_servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic}
 
