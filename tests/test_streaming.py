@@ -293,3 +293,18 @@ def test_sinks_are_idempotent_under_replay(spark, scratch):
     for _ in range(2):
         traffic.write_rejects(recs, rej, 0, 7)
     assert traffic.read_rejects(spark, rej).count() == parse.parse_rejects(recs).count()
+
+
+def test_counters_job_compacts_its_ledger(spark, scratch):
+    topic = _topic(spark, scratch)
+    path, snap = scratch("ledger"), scratch("snapshot")
+    cp = scratch("cp")
+    _crash_resume(lambda c: traffic.start_traffic_job(
+        spark, _stream(spark, topic), path, cp, crash_after_batch=c,
+        snapshot_path=snap, compact_every=2))
+    snaps = spark.read.parquet(snap)
+    assert snaps.select("generation").distinct().count() >= 2
+    full, folded = ledger.read_ledger(spark, path), ledger.read_compacted(spark, path, snap)
+    for view in (ledger.ledger_pv, ledger.ledger_uv, ledger.ledger_positions):
+        a, b = view(full), view(folded)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

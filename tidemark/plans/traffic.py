@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.parse import parse_rejects
 from tidemark.sources.files import read_parquet_or_empty
 
-from tidemark.streaming.ledger import batch_ledger_rows, max_epoch, write_ledger
+from tidemark.streaming.ledger import batch_ledger_rows, compact_ledger, max_epoch, write_ledger
 from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
 
 
@@ -39,7 +39,8 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def traffic_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int | None = None,
-                         rejects_path: str | None = None):
+                         rejects_path: str | None = None, snapshot_path: str | None = None,
+                         compact_every: int | None = None):
     """``foreachBatch`` body.  ``crash_after_batch`` raises right after that
     batch's write (before the checkpoint commits it): for replay tests."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -54,6 +55,10 @@ def traffic_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int |
                 write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path)
             finally:
                 batch.unpersist()
+        if (compact_every and snapshot_path is not None
+                and (batch_id + 1) % int(compact_every) == 0):
+            # Fold the ledger so readers (read_compacted) stay bounded.
+            compact_ledger(batch.sparkSession, ledger_path, snapshot_path)
         if crash_after_batch is not None and batch_id == crash_after_batch:
             raise InjectedFailure(f"injected failure after batch {batch_id}")
     return write
@@ -62,7 +67,8 @@ def traffic_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int |
 def start_traffic_job(spark: SparkSession, records: DataFrame, ledger_path: str,
                       checkpoint: str, crash_after_batch: int | None = None,
                       processing_time: str | None = None,
-                      rejects_path: str | None = None) -> StreamingQuery:
+                      rejects_path: str | None = None, snapshot_path: str | None = None,
+                      compact_every: int | None = None) -> StreamingQuery:
     """Run the counters job over a decoded record stream.
 
     Resuming ``checkpoint`` keeps its epoch; a new checkpoint gets the next one.
@@ -70,6 +76,6 @@ def start_traffic_job(spark: SparkSession, records: DataFrame, ledger_path: str,
     epoch = resolve_epoch(spark, checkpoint, max_epoch(spark, ledger_path))
     writer = (records.writeStream
               .foreachBatch(traffic_batch_writer(ledger_path, epoch, crash_after_batch,
-                                                 rejects_path))
+                                                 rejects_path, snapshot_path, compact_every))
               .option("checkpointLocation", checkpoint))
     return run_available(writer, processing_time)
