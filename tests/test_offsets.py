@@ -226,8 +226,9 @@ def test_launcher_arguments():
     assert (a.job, a.brokers, a.topic, a.database, a.table, a.date_mode) == \
         ("ingest", "b1:9092,b2:9092", "events", "kafka_db", "landing", "batch")
     assert a.max_rate_per_partition == 10 and a.partitions == 3
-    c = parse_args(["counters", "b:9092", "access_log", "--trigger", "10 seconds"])
-    assert (c.job, c.trigger) == ("counters", "10 seconds")
+    c = parse_args(["counters", "b:9092", "access_log", "--trigger", "10 seconds",
+                    "--compact-every", "720"])
+    assert (c.job, c.trigger, c.compact_every) == ("counters", "10 seconds", 720)
     with pytest.raises(SystemExit):
         parse_args(["ingest", "b:9092", "events"])          # database and table required
 

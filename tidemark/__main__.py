@@ -38,6 +38,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ing.add_argument("--date-mode", choices=("batch", "row"), default="batch")
     cnt = sub.add_parser("counters", help="page views, site page views, daily users")
     common(cnt)
+    cnt.add_argument("--compact-every", type=int, default=None,
+                     help="fold the ledger into a snapshot every N batches")
     pos = sub.add_parser("positions", help="record what every batch read")
     common(pos)
     return p.parse_args(argv)
@@ -78,7 +80,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "counters":
         q = live.start_live_counters(spark, args.brokers, args.topic, led, cp,
                                      rejects_path=f"{root}/rejects/{args.topic}",
-                                     max_offsets_per_trigger=max_offsets, processing_time=trigger)
+                                     max_offsets_per_trigger=max_offsets, processing_time=trigger,
+                                     snapshot_path=f"{root}/snapshot/{args.job}/{args.topic}",
+                                     compact_every=args.compact_every)
     else:
         opts = live.source_options(spark, args.brokers, args.topic, led, cp,
                                    max_offsets_per_trigger=max_offsets)

@@ -105,11 +105,15 @@ def start_live_counters(spark: SparkSession, bootstrap_servers: str, topic: str,
                         ledger_path: str, checkpoint: str, bounds: DataFrame | None = None,
                         rejects_path: str | None = None,
                         max_offsets_per_trigger: int | None = None,
-                        processing_time: str | None = "10 seconds") -> StreamingQuery:
+                        processing_time: str | None = "10 seconds",
+                        snapshot_path: str | None = None,
+                        compact_every: int | None = None) -> StreamingQuery:
     """Topic -> page views, site page views, daily users and positions, one
-    ledger write per micro-batch."""
+    ledger write per micro-batch; optionally compacting the ledger every
+    ``compact_every`` batches into ``snapshot_path``."""
     opts = source_options(spark, bootstrap_servers, topic, ledger_path, checkpoint, bounds,
                           reset_policy="earliest", max_offsets_per_trigger=max_offsets_per_trigger)
     return traffic.start_traffic_job(spark, kafka.read_stream(spark, opts), ledger_path,
                                      checkpoint, processing_time=processing_time,
-                                     rejects_path=rejects_path)
+                                     rejects_path=rejects_path, snapshot_path=snapshot_path,
+                                     compact_every=compact_every)
