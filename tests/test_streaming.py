@@ -308,3 +308,25 @@ def test_counters_job_compacts_its_ledger(spark, scratch):
     for view in (ledger.ledger_pv, ledger.ledger_uv, ledger.ledger_positions):
         a, b = view(full), view(folded)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_landing_compaction_is_incremental_and_whole(spark, scratch):
+    topic = _topic(spark, scratch)
+    land, path, comp = scratch("landing"), scratch("ledger"), scratch("compacted")
+    cp = scratch("cp")
+    assert ingest.compact_landing(spark, land, comp) is None
+    try:
+        ingest.start_ingest_job(spark, _stream(spark, topic), land, path, cp, crash_after_batch=2)
+    except Exception as e:  # noqa: BLE001
+        assert "injected failure" in str(e)
+    first = ingest.compact_landing(spark, land, comp)       # covers batches 0..2
+    ingest.start_ingest_job(spark, _stream(spark, topic), land, path, cp)   # replays 2, then 3, 4
+    second = ingest.compact_landing(spark, land, comp)
+    assert first[1] == 2 and second[1] > first[1]
+    assert ingest.compact_landing(spark, land, comp) == second            # nothing new
+    gens = spark.read.schema(ingest.COMPACTED_SCHEMA).parquet(comp)
+    assert gens.select("generation").distinct().count() == 2
+    want = ingest.read_landing(spark, land)
+    got = ingest.read_landing_compacted(spark, land, comp)
+    assert got.count() == q._access_log(spark, SF).count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

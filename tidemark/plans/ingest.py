@@ -152,3 +152,59 @@ def register_landing(spark: SparkSession, table: str, landing_path: str) -> str:
 def read_landing(spark: SparkSession, landing_path: str) -> DataFrame:
     """The landing table as ``(record, pd)``; a ``pd`` predicate prunes directories."""
     return read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path).select("record", "pd")
+
+
+# ------------------------------------------------------------ landing compaction
+#
+# Micro-batches leave many small files: one (pd, epoch, batch_id) folder per
+# batch.  Compaction copies the batches landed since the previous watermark into
+# a new generation, rebalanced by pd into right-sized files; it never rewrites
+# earlier generations (each compaction costs what was landed since the last
+# one).  Readers take every generation plus the batches after the newest
+# watermark; covered batch folders can go by retention.
+
+COMPACTED_SCHEMA = ("record STRING, through_epoch INT, through_batch BIGINT, "
+                    "generation BIGINT, pd STRING")
+
+
+def _landing_watermark(compacted: DataFrame):
+    top = compacted.agg(F.max(F.struct("through_epoch", "through_batch", "generation"))
+                        .alias("m")).collect()[0]["m"]
+    return None if top is None else (top["through_epoch"], top["through_batch"], top["generation"])
+
+
+def _after(e, b):
+    return (F.col("epoch") > e) | ((F.col("epoch") == e) & (F.col("batch_id") > b))
+
+
+def compact_landing(spark: SparkSession, landing_path: str, compacted_path: str):
+    """Copy the batches landed since the last compaction into a new generation;
+    returns the watermark ``(epoch, batch_id)`` (``None`` when nothing landed)."""
+    landed = read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path)
+    mark = _landing_watermark(read_parquet_or_empty(spark, COMPACTED_SCHEMA, compacted_path))
+    fresh = landed if mark is None else landed.where(_after(mark[0], mark[1]))
+    top = fresh.agg(F.max(F.struct("epoch", "batch_id")).alias("m")).collect()[0]["m"]
+    if top is None:
+        return None if mark is None else (mark[0], mark[1])
+    e, b = int(top["epoch"]), int(top["batch_id"])
+    generation = 0 if mark is None else int(mark[2]) + 1
+    (fresh.where(~_after(e, b)).select("record", "pd")
+     .hint("rebalance", "pd")
+     .withColumn("through_epoch", F.lit(e))
+     .withColumn("through_batch", F.lit(b).cast("bigint"))
+     .withColumn("generation", F.lit(generation).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("generation", "pd").parquet(compacted_path))
+    return e, b
+
+
+def read_landing_compacted(spark: SparkSession, landing_path: str, compacted_path: str) -> DataFrame:
+    """``(record, pd)``: every compacted generation plus the batches landed
+    after the newest watermark."""
+    compacted = read_parquet_or_empty(spark, COMPACTED_SCHEMA, compacted_path)
+    mark = _landing_watermark(compacted)
+    landed = read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path)
+    if mark is None:
+        return landed.select("record", "pd")
+    return (compacted.select("record", "pd")
+            .unionByName(landed.where(_after(mark[0], mark[1])).select("record", "pd")))

@@ -412,6 +412,29 @@ def q_stream_batch_total(spark, sf_dir):
     return totals.agg(F.sum("records").alias("records"), F.sum("events").alias("events"))
 
 
+def q_landing_compacted(spark, sf_dir):
+    """Landing ingest with a crash after batch 2's write, a compaction of the
+    landed small files (covering the not-yet-committed batch 2), a resume and a
+    second compaction; read through the compacted generations: every record
+    exactly once."""
+    topic = _landed_topic(spark, sf_dir)
+    land, comp = scratch_path(spark, "landing"), scratch_path(spark, "landing_compacted")
+    path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "ingest_checkpoint")
+
+    def start(crash):
+        return ingest.start_ingest_job(spark, _topic_stream(spark, topic), land, path, cp,
+                                       date_mode="row", crash_after_batch=crash)
+    try:
+        start(CRASH_AFTER_BATCH)
+    except Exception as e:  # noqa: BLE001
+        if "injected failure" not in str(e):
+            raise
+    ingest.compact_landing(spark, land, comp)
+    start(None)
+    ingest.compact_landing(spark, land, comp)
+    return ingest.read_landing_compacted(spark, land, comp)
+
+
 def q_stream_saved_offsets(spark, sf_dir):
     """Positions-only job, crash after a batch's write, restart: the saved
     position of every partition is its end."""
@@ -456,6 +479,7 @@ QUERIES: dict[str, QueryFn] = {
     "ledger_uv_members": q_ledger_uv_members,
     "ledger_pv_compacted": q_ledger_pv_compacted,
     "resume_exactly_once": q_resume_exactly_once,
+    "landing_compacted": q_landing_compacted,
     "stream_saved_offsets": q_stream_saved_offsets,
     "stream_offset_audit": q_stream_offset_audit,
     "stream_batch_total": q_stream_batch_total,
@@ -616,5 +640,6 @@ WHERE (CASE WHEN length(f[1]) >= 13 THEN replace(substr(f[1], 1, 13), 'T', '-')
 ORACLE_SQL["ledger_uv"] = ORACLE_SQL["uv_by_day"]
 ORACLE_SQL["ledger_uv_members"] = ORACLE_SQL["uv_members_by_day"]
 ORACLE_SQL["ledger_pv_compacted"] = ORACLE_SQL["pv_by_hour"]
+ORACLE_SQL["landing_compacted"] = ORACLE_SQL["resume_exactly_once"]
 ORACLE_SQL["stream_batch_total"] = _WITH_PARSED + """
 SELECT (SELECT count(*) FROM access_log) AS records, (SELECT count(*) FROM parsed) AS events"""
