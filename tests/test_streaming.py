@@ -330,3 +330,19 @@ def test_landing_compaction_is_incremental_and_whole(spark, scratch):
     got = ingest.read_landing_compacted(spark, land, comp)
     assert got.count() == q._access_log(spark, SF).count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("crash_after", [0, 4])
+def test_ingest_exact_for_crash_at_first_and_last_batch(spark, scratch, crash_after):
+    topic = _topic(spark, scratch)
+    land, path, cp = scratch("landing"), scratch("ledger"), scratch("cp")
+    try:
+        ingest.start_ingest_job(spark, _stream(spark, topic), land, path, cp, crash_after_batch=crash_after)
+        raise AssertionError("no crash happened")
+    except Exception as e:  # noqa: BLE001
+        assert "injected failure" in str(e)
+    ingest.start_ingest_job(spark, _stream(spark, topic), land, path, cp)
+    got = ingest.read_landing(spark, land)
+    want = q._access_log(spark, SF).select(F.col("value").alias("record"),
+                                           F.date_format("ts", "yyyy-MM-dd").alias("pd"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
