@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import lines, mixing
+from tidemark.llm import decontaminate, language, licenses, lines, mixing, pii, secrets, simhash, substrings, topk
 from tidemark.sources.tables import load
 
 
@@ -20,12 +20,62 @@ def op2_line_dedup(spark, sf_dir):
     return lines.digest(_documents(spark, sf_dir))
 
 
+def op3_pii(spark, sf_dir):
+    """Personal data by candidates, boosted trees and calibrated thresholds."""
+    return pii.digest(_documents(spark, sf_dir))
+
+
+def op4_language_id(spark, sf_dir):
+    """Languages by a bidirectional recurrent network over bytes."""
+    return language.digest(_documents(spark, sf_dir))
+
+
+def op5_simhash(spark, sf_dir):
+    """SimHash fingerprints and groups of near duplicates."""
+    return simhash.digest(_documents(spark, sf_dir))
+
+
+def op6_decontaminate(spark, sf_dir):
+    """Documents and the benchmark items found in them."""
+    return decontaminate.digest(_documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
+
+
+def op7_substring_dedup(spark, sf_dir):
+    """Words of 13-word windows that smaller documents hold, removed."""
+    return substrings.digest(_documents(spark, sf_dir))
+
+
+def op8_license_scan(spark, sf_dir):
+    """License phrases and notices by diagonal voting."""
+    return licenses.digest(_documents(spark, sf_dir))
+
+
+def op9_secret_scan(spark, sf_dir):
+    """Secrets that a random forest keeps among candidate tokens."""
+    return secrets.digest(_documents(spark, sf_dir))
+
+
+def op10_top_k(spark, sf_dir):
+    """The 20 best inner products of each twentieth vector."""
+    return topk.digest(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
+    "op3_pii": op3_pii,
+    "op4_language_id": op4_language_id,
+    "op5_simhash": op5_simhash,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_license_scan": op8_license_scan,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_top_k": op10_top_k,
 }
 
 ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE,
     "op2_line_dedup": lines.ORACLE,
+    "op7_substring_dedup": substrings.ORACLE,
+    "op10_top_k": topk.ORACLE,
 }
