@@ -54,7 +54,7 @@ NOTICES = {
 SLACK = 3
 #: A span holds at least this share of its template's pairs, within this
 #: multiple of its words.
-COVERAGE, STRETCH = 0.8, 1.5
+COVERAGE, STRETCH = 0.85, 1.5
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -66,8 +66,8 @@ def template_words(text: str) -> list[str]:
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased.  ``lower`` also maps two other characters to ASCII
     letters; where a text holds them they are first made others."""
-    odd = text.contains("K") | text.contains("İ")
-    return F.lower(F.when(odd, F.translate(text, "Kİ", "ĸı")).otherwise(text))
+    odd = text.contains("\u212a") | text.contains("\u0130")
+    return F.lower(F.when(odd, F.translate(text, "\u212a\u0130", "\u0138\u0131")).otherwise(text))
 
 
 def words(text: Column) -> Column:
@@ -91,7 +91,7 @@ def hits(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
     spark = docs.sparkSession
     split = docs.select(*row_key(), words(F.col("text")).alias("w"))
     pairs = split.select("k1", "k2", F.posexplode(F.zip_with(
-        "w", F.slice("w", 2, 2**31 - 1), lambda a, b: F.concat(a, F.lit(" "), b))).alias("pos", "pair"))
+        "w", F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))).alias("pos", "pair"))
     pairs = pairs.withColumn("h", F.xxhash64("pair"))
     table = F.broadcast(template_pairs(spark, templates))
     met = pairs.join(table, (pairs["h"] == table["h"]) & (pairs["pair"] == table["pair"]))

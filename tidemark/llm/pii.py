@@ -102,6 +102,10 @@ class Span:
     base: bool
 
 
+def overlap(a: Span, b: Span) -> bool:
+    return a.start < b.end and b.start < a.end
+
+
 def candidates(text: str) -> list[Span]:
     """All proposed spans; ``base`` marks those of the base rules."""
     if not _TRIGGER.search(text):
@@ -286,9 +290,11 @@ def rewritten(kind: int, span: str, rng: np.random.Generator) -> list[tuple[str,
 def training_rows(text: str, seed: int) -> tuple[list[list[float]], list[int]]:
     rng = np.random.default_rng(seed)
     xs, ys = [], []
-    for s in candidates(text):
-        if not s.base and s.kind != KINDS.index("card") and s.kind != KINDS.index("ip"):
-            continue  # neither passed nor failed a check
+    found = candidates(text)
+    firm = [s for s in found if s.base]
+    for s in found:
+        if not s.base and KINDS[s.kind] not in ("card", "ip") and not any(overlap(s, b) for b in firm):
+            continue  # neither passed nor failed a check, nor part of another kind's span
         xs.append(features(text, s))
         ys.append(int(s.base))
         if s.base:
@@ -332,7 +338,7 @@ def trained(docs: DataFrame, most_docs: int = TRAIN_DOCS, most_spans: int = TRAI
 
 def selected(text: str, model: Model | None) -> tuple[list[Span], list[Span]]:
     """The base spans and all selected spans, by kind and start.  A span of the
-    trees gives way to a base span, or a likelier one, of its kind."""
+    trees gives way to any base span and to a likelier span that it overlaps."""
     found = candidates(text)
     base = [s for s in found if s.base]
     more = [s for s in found if not s.base]
@@ -341,7 +347,7 @@ def selected(text: str, model: Model | None) -> tuple[list[Span], list[Span]]:
         p = model.probability(np.array([features(text, s) for s in more]))
         for i in np.argsort(-p, kind="stable"):
             s = more[i]
-            if p[i] >= model.limits[s.kind] and all(s.kind != c.kind or s.end <= c.start or c.end <= s.start for c in chosen):
+            if p[i] >= model.limits[s.kind] and not any(overlap(s, c) for c in chosen):
                 chosen.append(s)
     order = lambda s: (s.kind, s.start, s.end)
     return sorted(base, key=order), sorted(chosen, key=order)

@@ -82,7 +82,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     parts = F.when(F.size("m") > 0, F.split("text", PATTERN, -1))
     rows = (found.withColumn("p", parts)
             .select("k1", "k2", "doc_id", "path", F.posexplode(F.zip_with(
-                F.arrays_zip("m", "p"), F.slice("p", 2, 2**31 - 1), lambda a, b: F.struct(
+                F.arrays_zip("m", "p"), F.slice("p", F.lit(2), F.size("p")), lambda a, b: F.struct(
                     a["m"].alias("token"), F.length(a["p"]).alias("gap"), F.right(a["p"], F.lit(CONTEXT)).alias("before"),
                     F.left(b, F.lit(CONTEXT)).alias("after")))).alias("i", "x"))
             .select("k1", "k2", "doc_id", "path", "i", "x.*").where(F.col("token").isNotNull()))
