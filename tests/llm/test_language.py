@@ -27,7 +27,11 @@ def test_gradient_is_that_of_the_loss():
 def test_fast_states_equal_the_recorded_ones():
     net = language.Network.fresh(["a", "b"], hidden=6, seed=3)
     x = np.random.default_rng(1).integers(0, 256, (20, 9))
-    assert np.allclose(net.ahead.states(x), net.ahead.forward(x)[0], atol=1e-5)
+    for back in (False, True):
+        want = net.ahead.forward(x[::-1] if back else x)[0]
+        want = want[::-1] if back else want
+        for t, h in net.ahead.states(x, back):
+            assert np.allclose(h.T, want[t], atol=1e-5)
 
 
 def test_bytes_are_folded():

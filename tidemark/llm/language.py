@@ -19,6 +19,7 @@ result; other columns are carried unread.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +38,7 @@ TRAIN_DOCS, TRAIN_SEGMENTS = 600, 4
 STEPS, BATCH = 300, 128
 SEED = 5
 #: Segments that the network reads at once; bounds memory for long texts.
-READ = 4096
+READ = 1024
 #: A pipeline keeps a document from this score on.
 MIN_SCORE = 0.4
 
@@ -83,33 +84,33 @@ class Gru:
     u: np.ndarray
     b: np.ndarray
 
-    def states(self, x: np.ndarray) -> np.ndarray:
-        """States after each step for ``x`` (steps, segments)."""
-        size = len(self.b)
-        h = np.zeros((x.shape[1], size), np.float32)
-        out = np.empty((*x.shape, size), np.float32)
+    def states(self, x: np.ndarray, back: bool = False) -> Iterator[tuple[int, np.ndarray]]:
+        """Steps and states after them for ``x`` (steps, segments), from the
+        end if ``back``.  States are (units, segments), so that each gate is
+        one run of memory; the array is used again by the next step."""
+        size, n = len(self.b), x.shape[1]
         # gates by tanh of half the sum: the half is taken into the weights
         half = np.concatenate((np.full(2 * size, 0.5), np.ones(size))).astype(np.float32)
-        w, u = self.w * half, self.u * half
-        a, s = np.empty((x.shape[1], 3 * size), np.float32), np.empty((x.shape[1], 3 * size), np.float32)
-        for t in range(len(x)):
-            np.take(w, x[t], axis=0, out=a, mode="clip")
-            np.matmul(h, u, out=s)
-            zr = a[:, :2 * size]
-            zr += s[:, :2 * size]
+        w, u = (np.ascontiguousarray((m * half).T.astype(np.float32)) for m in (self.w, self.u))
+        b = self.b[:, None].astype(np.float32)
+        h, a, s = np.zeros((size, n), np.float32), np.empty((3 * size, n), np.float32), np.empty((3 * size, n), np.float32)
+        for t in range(len(x) - 1, -1, -1) if back else range(len(x)):
+            np.take(w, x[t], axis=1, out=a, mode="clip")
+            np.matmul(u, h, out=s)
+            zr = a[:2 * size]
+            zr += s[:2 * size]
             np.tanh(zr, out=zr)
             zr += 1
             zr *= 0.5
-            new = s[:, 2 * size:]
-            new += self.b
-            new *= zr[:, size:]
-            new += a[:, 2 * size:]
+            new = s[2 * size:]
+            new += b
+            new *= zr[size:]
+            new += a[2 * size:]
             np.tanh(new, out=new)
             h -= new
-            h *= zr[:, :size]
+            h *= zr[:size]
             h += new
-            out[t] = h
-        return out
+            yield t, h
 
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, list]:
         """``states`` with what the backward pass needs."""
@@ -167,14 +168,17 @@ class Network:
 
     def label(self, x: np.ndarray) -> np.ndarray:
         """Probabilities of the languages at each byte of ``x`` (segments, bytes)."""
-        steps = np.ascontiguousarray(x.T)
-        both = self.ahead.states(steps) @ self.v[:len(self.ahead.b)]
-        both += self.back.states(steps[::-1])[::-1] @ self.v[len(self.ahead.b):]
-        both += self.c
-        both -= both.max(axis=2, keepdims=True)
-        np.exp(both, out=both)
-        both /= both.sum(axis=2, keepdims=True)
-        return both.transpose(1, 0, 2)
+        steps, size = np.ascontiguousarray(x.T), len(self.ahead.b)
+        p = np.empty((x.shape[1], len(self.c), len(x)), np.float32)
+        p[:] = self.c[None, :, None]
+        for gru, v, back in ((self.ahead, self.v[:size], False), (self.back, self.v[size:], True)):
+            v = np.ascontiguousarray(v.T)
+            for t, h in gru.states(steps, back):
+                p[t] += v @ h
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True)
+        return p.transpose(2, 0, 1)
 
     def gradient(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Loss at the weighted bytes of ``x`` and its gradient by ``parts``."""
