@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import column, column_bytes, fields, in_arrow, small_batches
+from tidemark.operators.joins import join_small
 
 UNKNOWN = "und"
 HELD_OUT_OF = 3
@@ -257,7 +258,8 @@ def fit(docs: DataFrame, most_docs: int = TRAIN_DOCS, pieces: int = TRAIN_SEGMEN
     counts = usable.groupBy(F.col("lang").cast("string").alias("lang")).count()
     share = counts.select("lang", F.least(F.lit(1.0), F.lit(float(most_docs)) / F.col("count")).alias("share"))
     rank = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30))
-    some = (usable.select(F.col("lang").cast("string").alias("lang"), rank.alias("rank"), "text").join(share, "lang")
+    # a row a language: broadcast after a check of its size, so that no text is moved by its language
+    some = (join_small(usable.select(F.col("lang").cast("string").alias("lang"), rank.alias("rank"), "text"), share, "lang")
             .where(F.col("rank") < F.col("share") * (1 << 30)).select("lang", "rank", "text"))
 
     def cut(batch: pa.RecordBatch) -> dict:
