@@ -57,6 +57,7 @@ SLACK = 3
 COVERAGE, STRETCH = 0.85, 1.5
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def template_words(text: str) -> list[str]:
@@ -71,7 +72,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(_WORD), F.lit(0))
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), _BETWEEN), "")
 
 
 def template_pairs(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
@@ -86,18 +87,22 @@ def template_pairs(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 
 
 def hits(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
-    """``(k1, k2, template, pairs, diagonal, votes, low, high)``: the votes of
-    each diagonal and the first and last template pair among them."""
+    """``(k1, k2, template, pairs, diagonal, votes, low, high, ats, n_words)``:
+    the votes of each diagonal and which pairs of the template they are; and
+    for each document with words a row without template with their number."""
     spark = docs.sparkSession
     split = docs.select(*row_key(), words(F.col("text")).alias("w"))
+    # the pair of the last word is null and stands for the document's end
     pairs = split.select("k1", "k2", F.posexplode(F.zip_with(
         "w", F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))).alias("pos", "pair"))
     pairs = pairs.withColumn("h", F.xxhash64("pair"))
-    table = F.broadcast(template_pairs(spark, templates))
-    met = pairs.join(table, (pairs["h"] == table["h"]) & (pairs["pair"] == table["pair"]))
+    table = F.broadcast(template_pairs(spark, templates).withColumnRenamed("pair", "own"))
+    met = (pairs.join(table, (pairs["h"] == table["h"]) & (F.col("pair") == F.col("own")), "left")
+           .where(F.col("template").isNotNull() | F.col("pair").isNull()))
+    # equal documents share a key and give each vote again: a set counts it once
     return (met.groupBy("k1", "k2", "template", "pairs", (F.col("pos") - F.col("at")).alias("diagonal"))
-            .agg(F.count("*").alias("votes"), F.min("at").alias("low"), F.max("at").alias("high"),
-                 F.collect_set("at").alias("ats")))
+            .agg(F.collect_set("at").alias("ats"), F.max(F.when(F.col("pair").isNull(), F.col("pos") + 1)).alias("n_words"))
+            .select("*", F.size("ats").alias("votes"), F.array_min("ats").alias("low"), F.array_max("ats").alias("high")))
 
 
 def spans(found: DataFrame) -> DataFrame:
@@ -116,28 +121,28 @@ def spans(found: DataFrame) -> DataFrame:
             .select("k1", "k2", "template", "first", "last", "coverage"))
 
 
-def scanned(docs: DataFrame, notices: dict[str, str] = NOTICES) -> tuple[DataFrame, DataFrame]:
-    """The places of base phrases ``(k1, k2, label, word)`` and the verified
-    spans of all templates."""
+def scanned(docs: DataFrame, notices: dict[str, str] = NOTICES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The places of base phrases ``(k1, k2, label, word)``, the verified spans
+    of all templates, and ``(k1, k2, n_words)`` of the documents with words."""
     base = {f"base:{label}": phrase for label, phrase in BASE.items()}
     found = written(hits(docs, base | notices), "license-hits")
     places = (found.where(F.col("template").startswith("base:") & (F.col("votes") == F.col("pairs")))
               .select("k1", "k2", F.expr("substring(template, 6)").alias("label"), F.col("diagonal").alias("word")))
-    return places, spans(found)
+    return places, spans(found.where(F.col("template").isNotNull())), found.where(F.col("template").isNull()).select("k1", "k2", "n_words")
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's row for each document."""
-    places, verified = scanned(docs)
+    places, verified, sizes = scanned(docs)
     base = (places.groupBy("k1", "k2").agg(F.count("*").alias("n_base"), F.min("word").alias("first_word"), F.max("word").alias("last_word"),
                                            F.array_sort(F.collect_set("label")).alias("base_labels")))
     label = F.regexp_replace("template", "^base:", "")
     more = verified.groupBy("k1", "k2").agg(F.collect_set(label).alias("labels"), F.max("coverage").alias("score"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    both = base.join(more, ["k1", "k2"], "full")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key())
+    both = sizes.join(base, ["k1", "k2"], "left").join(more, ["k1", "k2"], "left")
     none = F.array().cast("array<string>")
     return (rows.join(both, ["k1", "k2"], "left")
-            .select("doc_id", "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"),
+            .select("doc_id", F.coalesce(F.col("n_words").cast("long"), F.lit(0).cast("long")).alias("n_words"), F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"),
                     F.col("first_word").cast("long").alias("first_word"), F.col("last_word").cast("long").alias("last_word"),
                     F.array_join(F.coalesce("base_labels", none), ",").alias("base_labels"),
                     F.array_join(F.array_sort(F.array_union(F.coalesce("base_labels", none), F.coalesce("labels", none))), ",").alias("labels"),
