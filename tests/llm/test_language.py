@@ -48,11 +48,12 @@ def small_net():
 
 def test_every_position_gets_a_label():
     net = small_net()
-    text = b"sol luna mar sol luna mar sol werk kraft zug werk kraft zug werk"
-    spans = language.language_spans(net, text)
-    assert spans[0][0] == 0 and spans[-1][1] == len(text)
-    assert all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
-    assert spans[0][2] == "aa" and spans[-1][2] == "bb"
+    a, b = b"sol luna mar " * 40, b"werk kraft zug " * 40
+    spans = language.language_spans(net, a + b)
+    assert spans[0][0] == 0 and spans[-1][1] == len(a + b)
+    assert all(x[1] == y[0] for x, y in zip(spans, spans[1:], strict=False))
+    labels = [name for x, y, name in spans for _ in range(y - x)]
+    assert labels[:len(a)].count("aa") > 0.9 * len(a) and labels[len(a):].count("bb") > 0.9 * len(b)
 
 
 def test_pooling_reads_whole_texts():
