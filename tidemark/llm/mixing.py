@@ -42,6 +42,8 @@ BUCKET_DIGITS = 3
 #: of blocks is used, and their product exceeds any number of blocks.
 PRIMES = (1_000_000_007, 998_244_353)
 SEED = 7
+#: Nodes of the splitting tree from which on tasks share them.
+SPREAD = 16
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -117,8 +119,16 @@ def _log_choose(n: str, k: str) -> str:
 
 def _draw(own: str, others: str, take: str, u: str) -> str:
     """SQL: how many of ``take`` draws without replacement come from ``own``
-    blocks rather than ``others``, by the inverse of the distribution at ``u``."""
-    low, high = f"greatest(0L, {take} - {others})", f"least({own}, {take})"
+    blocks rather than ``others``, by the inverse of the distribution at ``u``.
+
+    Terms are summed within 12 deviations of the mean.  What lies outside has
+    a probability below 1e-30, which a double can't add to the sum of 1.
+    """
+    all_ = f"double({own} + {others})"
+    mean = f"({take} * {own} / greatest({all_}, 1D))"
+    deviation = f"sqrt({mean} * (1 - {own} / greatest({all_}, 1D)) * (1 - {take} / greatest({all_}, 1D)) * {all_} / greatest({all_} - 1, 1D))"
+    low = f"greatest(0L, {take} - {others}, bigint(floor({mean} - 12 * {deviation})) - 12)"
+    high = f"least({own}, {take}, bigint(ceil({mean} + 12 * {deviation})) + 12)"
     log_p = f"{_log_choose(f'double({own})', 'double(k)')} + {_log_choose(f'double({others})', f'double({take} - k)')}"
     logs = f"transform(sequence({low}, {high}), k -> struct(k AS k, {log_p} AS p))"
     # shares of the largest term, then the first k whose running sum reaches u
@@ -135,6 +145,8 @@ def quotas(sources: DataFrame, block_words: int, shards: int, seed: int) -> Data
     nodes = (sources.select(F.struct("s", blocks.alias("n")).alias("x")).agg(F.sort_array(F.collect_list("x")).alias("x"))
              .select(F.lit(0).cast("long").alias("shard"), F.col("x.n").alias("quota")))
     for level in range(int(log2(shards))):
+        if 1 << level == SPREAD:
+            nodes = nodes.repartition(SPREAD, "shard")
         uniform = f"(pmod(xxhash64({seed}, {level}, shard, s), 9007199254740992) + 0.5D) / 9007199254740992"
         # source by source: what is left of the node's blocks and of the left child's half
         split = (f"aggregate(sequence(0, size(quota) - 1), named_struct('rest', all, 'take', half, 'got', slice(quota, 1, 0)), (a, s) -> "
@@ -188,7 +200,8 @@ def slices(places: DataFrame, deal: DataFrame, block_words: int, most: float, se
              .withColumn("at", (F.col("block") * prime + F.lit(seed)) % F.col("blocks"))
              .withColumn("begin", F.greatest(F.col("from"), F.col("block") * block_words))
              .withColumn("words", F.least(F.col("to"), (F.col("block") + 1) * block_words) - F.col("begin")))
-    out = whole.join(deal, ["s", "at"])
+    # one row a block, which grows with the words: never broadcast
+    out = whole.join(deal.hint("merge"), ["s", "at"])
     local = F.xxhash64(F.lit(seed), "shard", "s", "block")
     return out.select("s", "bucket", "rn", "epoch", (F.col("begin") - F.col("from")).alias("from_word"), "words", "shard",
                       local.alias("position"), (F.col("begin") - F.col("block") * block_words).alias("offset"))
