@@ -40,11 +40,13 @@ K = 20
 EVERY = 20
 SCALE = 64
 #: Segments of the resolutions, coarse to fine.
-RESOLUTIONS = (4, 8, 16, 32)
+RESOLUTIONS = (8, 32)
 #: Rows of a block of queries and of candidates.
 QUERY_BLOCK, BLOCK = 1024, 8192
 #: Queries compared at once in a tile; bounds a group's memory.
-STEP = 128
+STEP = 32
+#: Above this share of surviving pairs a bound is taken of all pairs at once.
+DENSE = 0.02
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -71,7 +73,7 @@ class Segments:
             square = np.add.reduceat(x * x, edges[:-1], axis=1) / width
             dev = np.sqrt(np.maximum(square - mean * mean, 0))
             # scaled by the root of the width, the bound is a plain distance
-            self.levels.append(np.concatenate((mean, dev), axis=1) * np.sqrt(np.concatenate((width, width))))
+            self.levels.append((np.concatenate((mean, dev), axis=1) * np.sqrt(np.concatenate((width, width)))).astype(np.float32))
 
     def at(self, rows: np.ndarray) -> Segments:
         out = object.__new__(Segments)
@@ -79,46 +81,81 @@ class Segments:
         return out
 
 
+def margin(norms: np.ndarray) -> np.ndarray:
+    """More than the rounding of a bound (single precision, a few hundred
+    terms), from the product of squared norms."""
+    return 1e-4 * (1 + np.sqrt(norms)).astype(np.float32)
+
+
 def score_bounds(q: Segments, x: Segments, level: int) -> np.ndarray:
     """Upper bounds of the inner products of the rows of ``q`` and ``x``.  The
     margin covers rounding, so that no candidate is lost to it."""
     # (|q|^2 + |x|^2 - |a - b|^2) / 2 where |a|^2 = |q|^2 and |b|^2 = |x|^2
-    product = q.levels[level] @ x.levels[level].T
-    return product + 1e-6 * (1 + np.sqrt(q.norm[:, None] * x.norm[None, :]))
+    return q.levels[level] @ x.levels[level].T + margin(q.norm[:, None] * x.norm[None, :])
+
+
+def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Integer inner products of all rows.  In doubles where they are exact
+    there (all sums below 2**53), as those use the fast matrix product."""
+    most = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * q.shape[1]
+    if most < 1 << 53:
+        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
+    return q @ x.T
 
 
-def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:k]
+def pair_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Integer inner products of rows in pairs."""
+    return np.einsum("ij,ij->i", q, x)
 
 
 def tile_best(q_ids: np.ndarray, qs: np.ndarray, ids: np.ndarray, xs: np.ndarray, k: int,
-              resolutions: tuple[int, ...] = RESOLUTIONS) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query of a tile its index and the ids and scores of its k best."""
-    out = []
+              resolutions: tuple[int, ...] = RESOLUTIONS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best candidates of each query of a tile, as rows ``(query's index,
+    id, score)``."""
     of_q, of_x = Segments(qs, resolutions), Segments(xs, resolutions)
+    by_id = np.argsort(ids, kind="stable")
+    first, last = (np.searchsorted(ids[by_id], q_ids, side) for side in ("left", "right"))
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for a in range(0, len(qs), STEP):
         rows = np.arange(a, min(a + STEP, len(qs)))
-        part = of_q.at(rows)
-        coarse = score_bounds(part, of_x, 0)
-        own = q_ids[rows][:, None] == ids[None, :]
-        coarse[own] = -np.inf
-        for i, q in enumerate(rows):
-            live = np.flatnonzero(~own[i])
-            if not len(live):
-                continue
-            # the k most promising by the coarse bound set the score to beat
-            m = min(k, len(live))
-            top = live[np.argpartition(coarse[i, live], len(live) - m)[len(live) - m:]]
-            floor = np.sort(xs[top] @ qs[q])[0] if m == k else None
-            one = of_q.at(np.array([q]))
-            if floor is not None:
-                live = live[coarse[i, live] >= floor]
-                for level in range(1, len(resolutions)):
-                    live = live[score_bounds(one, of_x.at(live), level)[0] >= floor]
-            scores = xs[live] @ qs[q]
-            pick = best_of(scores, ids[live], k)
-            out.append((int(q), ids[live][pick], scores[pick]))
-    return out
+        part, q = of_q.at(rows), qs[rows]
+        live = np.ones((len(rows), len(xs)), bool)
+        for n, r in enumerate(rows):
+            live[n, by_id[first[r]:last[r]]] = False  # the query's own rows
+        m = min(k, len(xs))
+        full = live.sum(axis=1) >= k  # others have no score to beat
+        floor = np.full(len(rows), -np.inf)
+        for level in range(len(resolutions)):
+            if live.mean() > DENSE:
+                bound = score_bounds(part, of_x, level)
+                if not level:
+                    # the score to beat: the least of any k candidates, here those of the best bounds
+                    bound[~live] = -np.inf
+                    top = np.argpartition(bound, len(xs) - m, axis=1)[:, len(xs) - m:]
+                    best = pair_scores(np.repeat(q, m, axis=0), xs[top.ravel()]).reshape(top.shape)
+                    floor[full] = best.min(axis=1)[full]
+                live &= bound >= floor[:, None]
+            else:
+                i, c = np.nonzero(live)
+                own = part.levels[level][i] * of_x.levels[level][c]
+                near = own.sum(axis=1) + margin(part.norm[i] * of_x.norm[c]) >= floor[i]
+                live[i[~near], c[~near]] = False
+        if live.mean() > DENSE:
+            scores = exact_scores(q, xs)
+            kth = np.where(live, scores, np.iinfo(np.int64).min)
+            kth = np.partition(kth, len(xs) - m, axis=1)[:, len(xs) - m]
+            live &= scores >= kth[:, None]
+            i, c = np.nonzero(live)
+            scores = scores[i, c]
+        else:
+            i, c = np.nonzero(live)
+            scores = pair_scores(q[i], xs[c])
+        order = np.lexsort((ids[c], -scores, i))
+        i, c, scores = i[order], c[order], scores[order]
+        nth = np.arange(len(i)) - np.searchsorted(i, i)
+        keep = nth < k
+        found.append((rows[i[keep]], ids[c[keep]], scores[keep]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE,
@@ -141,13 +178,11 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     rows = copied(dealt(x, "bx", n_x), "bq", n_q)
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(q) and len(c):
-            qs, xs = (np.array(f["v"].tolist(), np.int64) for f in (q, c))
-            ids = q["vec_id"].to_numpy()
-            for i, at, scores in tile_best(ids, qs, c["vec_id"].to_numpy(), xs, k):
-                found.append(pd.DataFrame({"query_id": ids[i], "qh": q["qh"].iloc[i], "vec_id": at, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "qh", "vec_id", "score")})
+        if not len(q) or not len(c):
+            return pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "qh", "vec_id", "score")})
+        qs, xs = (np.array(f["v"].tolist(), np.int64) for f in (q, c))
+        i, at, scores = tile_best(q["vec_id"].to_numpy(), qs, c["vec_id"].to_numpy(), xs, k)
+        return pd.DataFrame({"query_id": q["vec_id"].to_numpy()[i], "qh": q["qh"].to_numpy()[i], "vec_id": at, "score": scores})
 
     keys = ["dim", "bq", "bx"]
     found = queries.groupBy(keys).cogroup(rows.groupBy(keys)).applyInPandas(search, "query_id long, qh long, vec_id long, score long")
