@@ -62,6 +62,9 @@ def test_dense_offsets_shuffle_the_records_once(spark, capsys, static_plans):
 def test_positioned_read_broadcasts_the_checked_range_table(spark, capsys):
     plan = _plan(q.q_positioned_read(spark, SF), capsys)
     assert "BroadcastHashJoin" in plan
+    # the planned offsets reach the scan of the topic
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "offset" in line]
+    assert any("GreaterThanOrEqual(offset," in line and "LessThan(offset," in line for line in pushed), plan
 
 
 def _outside_codegen(plan: str) -> set[str]:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
+from tidemark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize_small
 
 KEY = ["topic", "partition"]
 
@@ -159,10 +159,19 @@ def positioned_read(records: DataFrame, ranges: DataFrame,
 
     The range table (one row per partition) is broadcast after a size check,
     so the records are filtered where they are read, without a shuffle, even
-    when one partition holds most of them.
+    when one partition holds most of them.  The span of its offsets goes to
+    the records as plain predicates, so that a scan sorted by offset skips the
+    row groups outside.
     """
-    r = ranges.select(*KEY, "from_offset", "until_offset")
-    return (join_small(records, r, KEY, "inner", max_broadcast_rows)
+    r, n = materialize_small(ranges.select(*KEY, "from_offset", "until_offset").where("from_offset < until_offset"))
+    span = r.agg(F.min("from_offset").alias("a"), F.max("until_offset").alias("b"),
+                 F.min("partition").alias("p"), F.max("partition").alias("q")).first()
+    if span["a"] is None:
+        return records.where(F.lit(False))
+    records = records.where((F.col("offset") >= span["a"]) & (F.col("offset") < span["b"])
+                            & F.col("partition").between(span["p"], span["q"]))
+    r = F.broadcast(r) if n <= max_broadcast_rows else r
+    return (records.join(r, KEY)
             .where((F.col("offset") >= F.col("from_offset")) & (F.col("offset") < F.col("until_offset")))
             .drop("from_offset", "until_offset"))
 

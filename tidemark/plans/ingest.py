@@ -2,10 +2,10 @@
 positions in the ledger.
 
 Each micro-batch is written to the partitions ``(pd, epoch, batch_id)`` with
-dynamic overwrite, then its positions to the ledger.  A replay of the batch
-(crash before the checkpoint commit) rewrites the same partitions, so the
-landing table holds every record exactly once; :func:`read_landing` exposes it
-as ``(record, pd)``.
+dynamic overwrite, then its positions to the ledger, then the batch's marker.
+A replay before the marker rewrites the same partitions, one after it is
+skipped, so the landing table holds every record exactly once;
+:func:`read_landing` exposes its whole batches as ``(record, pd)``.
 
 Partition date:
 * ``date_mode="row"``: ``pd`` from each record's own timestamp (deterministic;
@@ -22,7 +22,6 @@ checkpoint (the source's own commit log).
 from __future__ import annotations
 
 import datetime as _dt
-import re
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +30,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.landing import quote_ident, quote_path, stamp_batch_date, stamp_row_date
 from tidemark.plans.positions import position_rows
+from tidemark.sources import fs
 from tidemark.sources.files import read_parquet_or_empty
-from tidemark.streaming.ledger import ledger_rows, max_epoch, read_ledger, write_ledger
-from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
+from tidemark.streaming import commits
+from tidemark.streaming.ledger import ledger_rows, max_epoch, write_ledger
+from tidemark.streaming.runner import BatchFn, resolve_epoch, run_batches
 
 LANDED_SCHEMA = "record STRING, pd STRING, epoch INT, batch_id BIGINT"
-_DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 LANDED_PARTITIONS = ("pd", "epoch", "batch_id")
 
 
@@ -45,44 +45,29 @@ def utc_today() -> str:
 
 
 def recorded_batch_date(spark: SparkSession, ledger_path: str, epoch: int, batch_id: int) -> str | None:
-    """The processing date an earlier attempt of this batch recorded, if any
-    (partition-pruned read of one tiny ledger partition)."""
-    try:
-        rows = (read_ledger(spark, ledger_path)
-                .where((F.col("metric") == "batch_date") & (F.col("epoch") == epoch)
-                       & (F.col("batch_id") == batch_id))
-                .select("k").limit(1).collect())
-    except Exception:  # noqa: BLE001 - no ledger yet
-        return None
+    """The processing date an earlier attempt of this batch recorded, if any.
+    Only that batch's own folder is listed and read."""
+    at = f"{ledger_path.rstrip('/')}/metric=batch_date/epoch={int(epoch)}/batch_id={int(batch_id)}"
+    rows = read_parquet_or_empty(spark, "k STRING", at).take(1)
     return rows[0]["k"] if rows else None
 
 
-def add_batch_partitions(spark: SparkSession, table: str, days: list[str], epoch: int,
-                         batch_id: int) -> None:
-    """Make one batch's landed partitions visible in the catalog table."""
-    t = quote_ident(table)
-    for day in days:
-        if not _DAY.match(day):
-            raise ValueError(f"unexpected partition date {day!r}")
-        spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS PARTITION "
-                  f"(pd = '{day}', epoch = {int(epoch)}, batch_id = {int(batch_id)})")
-
-
 def ingest_batch_writer(landing_path: str, ledger_path: str, epoch: int,
                         date_mode: str = "row", clock=utc_today,
-                        write_positions: bool = True, crash_after_batch: int | None = None,
-                        table: str | None = None):
+                        write_positions: bool = True) -> BatchFn:
+    """``foreachBatch`` body: records, then positions, then the markers.  A
+    batch that has its marker is whole and is not written again."""
     if date_mode not in ("row", "batch"):
         raise ValueError("date_mode must be 'row' or 'batch'")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if commits.is_committed(spark, landing_path, epoch, batch_id):
+            return
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            days: list[str] = []
             if date_mode == "batch":
                 day = recorded_batch_date(spark, ledger_path, epoch, batch_id) or clock()
-                days = [day]
                 intent = ledger_rows(spark.range(1), "batch_date", k=F.lit(day))
                 write_ledger(intent.withColumn("epoch", F.lit(epoch))
                              .withColumn("batch_id", F.lit(batch_id).cast("bigint")), ledger_path)
@@ -93,118 +78,156 @@ def ingest_batch_writer(landing_path: str, ledger_path: str, epoch: int,
              .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*LANDED_PARTITIONS).parquet(landing_path))
-            if table is not None:
-                if date_mode == "row":   # the batch's dates: a handful of values
-                    days = [r["pd"] for r in landed.select("pd").distinct().collect()]
-                add_batch_partitions(spark, table, days, epoch, batch_id)
             if write_positions:
                 write_ledger(position_rows(batch, epoch, batch_id), ledger_path)
+                commits.mark_committed(spark, ledger_path, epoch, batch_id)
+            commits.mark_committed(spark, landing_path, epoch, batch_id)
         finally:
             batch.unpersist()
-        if crash_after_batch is not None and batch_id == crash_after_batch:
-            raise InjectedFailure(f"injected failure after batch {batch_id}")
     return write
 
 
+def landed_max_epoch(spark: SparkSession, landing_path: str, compacted_path: str | None = None) -> int | None:
+    """Newest epoch of the landed data, its markers or its compaction."""
+    root = landing_path.rstrip("/")
+    known = fs.partition_values(spark, f"{root}/pd=*/epoch=*", "epoch")
+    known += fs.partition_values(spark, f"{commits.commits_path(root)}/epoch=*", "epoch")
+    if compacted_path is not None and (newest := _newest_compaction(spark, compacted_path)) is not None:
+        known.append(newest[1][0])
+    return max(known) if known else None
+
+
+def newest_epoch(spark: SparkSession, landing_path: str, ledger_path: str,
+                 compacted_path: str | None = None, snapshot_path: str | None = None) -> int | None:
+    """Newest epoch in any output of the job: a new checkpoint must not reuse
+    it, or its batches would replace those of an older run."""
+    known = [e for e in (max_epoch(spark, ledger_path, snapshot_path),
+                         landed_max_epoch(spark, landing_path, compacted_path)) if e is not None]
+    return max(known) if known else None
+
+
+def ingest_job(spark: SparkSession, landing_path: str, ledger_path: str, checkpoint: str,
+               date_mode: str = "row", clock=utc_today, write_positions: bool = True,
+               compacted_path: str | None = None, snapshot_path: str | None = None) -> BatchFn:
+    """The batch writer of ``checkpoint``, on its epoch."""
+    newest = newest_epoch(spark, landing_path, ledger_path, compacted_path, snapshot_path)
+    epoch = resolve_epoch(spark, checkpoint, newest)
+    return ingest_batch_writer(landing_path, ledger_path, epoch, date_mode, clock, write_positions)
+
+
 def start_ingest_job(spark: SparkSession, records: DataFrame, landing_path: str,
                      ledger_path: str, checkpoint: str, date_mode: str = "row",
                      clock=utc_today, write_positions: bool = True,
-                     crash_after_batch: int | None = None,
-                     processing_time: str | None = None,
-                     table: str | None = None) -> StreamingQuery:
+                     processing_time: str | None = None, table: str | None = None,
+                     compacted_path: str | None = None, snapshot_path: str | None = None) -> StreamingQuery:
     """Run the landing ingest.  With ``table``, the landing output is
-    registered in the catalog (:func:`register_landing`) and every batch adds
-    its partitions there as it lands."""
+    registered in the catalog (:func:`register_landing`)."""
     if table is not None:
-        register_landing(spark, table, landing_path)
-    # A new checkpoint must not reuse an epoch present in either output, or its
-    # (epoch, batch_id) overwrites could replace partitions of an older run.
-    known = [e for e in (max_epoch(spark, ledger_path),
-                         max_epoch(spark, landing_path, LANDED_SCHEMA)) if e is not None]
-    epoch = resolve_epoch(spark, checkpoint, max(known) if known else None)
-    writer = (records.writeStream
-              .foreachBatch(ingest_batch_writer(landing_path, ledger_path, epoch, date_mode,
-                                                clock, write_positions, crash_after_batch,
-                                                table))
-              .option("checkpointLocation", checkpoint))
-    return run_available(writer, processing_time)
-
-
-def register_landing(spark: SparkSession, table: str, landing_path: str) -> str:
-    """Expose the landing output in the catalog for SQL users.
-
-    ``table`` becomes an external Parquet table over ``landing_path``
-    partitioned by ``(pd, epoch, batch_id)`` (partitions recovered from the
-    directories; call again to pick up new batches), and ``<table>_v`` a view
-    ``(record, pd)`` without the replay columns.  Returns the view name.
+        register_landing(spark, table, landing_path, compacted_path)
+    write = ingest_job(spark, landing_path, ledger_path, checkpoint, date_mode, clock, write_positions,
+                       compacted_path, snapshot_path)
+    return run_batches(records, write, checkpoint, processing_time)
+
+
+def _path_table(spark: SparkSession, name: str, columns: str, path: str) -> str:
+    """A table over a folder whose partitions are found when it is read, so
+    that no batch needs a statement of its own."""
+    t = quote_ident(name)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {t} ({columns}) USING parquet OPTIONS (path {quote_path(path)})")
+    spark.catalog.refreshTable(name)
+    return t
+
+
+def register_landing(spark: SparkSession, table: str, landing_path: str, compacted_path: str | None = None) -> str:
+    """Expose the landing output in the catalog for SQL users as the view
+    ``table`` ``(record, pd)``: the compacted generations and the whole
+    batches after them.  Call it again after a compaction (the view holds its
+    watermark) or retention.  Returns the view's name.
+
+    Underneath are path tables ``<table>_batches`` and ``<table>_commits`` (and
+    ``<table>_compacted``): partitions are found when they are read.
     """
-    t = quote_ident(table)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {t} (record STRING, pd STRING, epoch INT, "
-              f"batch_id BIGINT) USING parquet PARTITIONED BY (pd, epoch, batch_id) "
-              f"LOCATION {quote_path(landing_path)}")
-    if read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path).inputFiles():
-        spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
-    view = f"{table}_v"
-    spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(view)} AS SELECT record, pd FROM {t}")
-    return view
+    folders = [(landing_path, LANDED_SCHEMA), (commits.commits_path(landing_path), commits.SCHEMA)]
+    newest = None if compacted_path is None else _newest_compaction(spark, compacted_path)
+    if newest is not None:
+        folders.append((f"{compacted_path.rstrip('/')}/rows", COMPACTED_SCHEMA))
+    names = [f"{table}_{x}" for x in ("batches", "commits", "compacted")]
+    batches, done, *rest = [_path_table(spark, n, columns, path) for n, (path, columns) in zip(names, folders)]
+    later, compacted = "true", ""
+    if newest is not None:
+        generation, (e, b) = newest
+        later = f"(epoch > {e} OR (epoch = {e} AND batch_id > {b}))"
+        compacted = f"SELECT record, pd FROM {rest[0]} WHERE generation <= {generation} UNION ALL "
+    spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(table)} AS {compacted}"
+              f"SELECT record, pd FROM {batches} LEFT SEMI JOIN {done} USING (epoch, batch_id) WHERE {later}")
+    return table
 
 
 def read_landing(spark: SparkSession, landing_path: str) -> DataFrame:
-    """The landing table as ``(record, pd)``; a ``pd`` predicate prunes directories."""
-    return read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path).select("record", "pd")
+    """The whole batches of the landing table as ``(record, pd)``; a ``pd``
+    predicate prunes directories."""
+    landed = read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path)
+    return commits.only_committed(spark, landed, landing_path).select("record", "pd")
 
 
 # ------------------------------------------------------------ landing compaction
 #
 # Micro-batches leave many small files: one (pd, epoch, batch_id) folder per
-# batch.  Compaction copies the batches landed since the previous watermark into
+# batch.  Compaction copies the whole batches since the previous watermark into
 # a new generation, rebalanced by pd into right-sized files; it never rewrites
 # earlier generations (each compaction costs what was landed since the last
-# one).  Readers take every generation plus the batches after the newest
-# watermark; covered batch folders can go by retention.
-
-COMPACTED_SCHEMA = ("record STRING, through_epoch INT, through_batch BIGINT, "
-                    "generation BIGINT, pd STRING")
-
+# one).  Readers take the generations that the manifest names - it is written
+# last - and the whole batches after its watermark.
+#
+# Layout: <compacted>/rows/generation=<g>/pd=<d> and <compacted>/manifest.
 
-def _landing_watermark(compacted: DataFrame):
-    top = compacted.agg(F.max(F.struct("through_epoch", "through_batch", "generation"))
-                        .alias("m")).collect()[0]["m"]
-    return None if top is None else (top["through_epoch"], top["through_batch"], top["generation"])
+COMPACTED_SCHEMA = "record STRING, generation BIGINT, pd STRING"
+COMPACTIONS_SCHEMA = "through_epoch INT, through_batch BIGINT, generation BIGINT"
 
 
-def _after(e, b):
-    return (F.col("epoch") > e) | ((F.col("epoch") == e) & (F.col("batch_id") > b))
+def _newest_compaction(spark: SparkSession, compacted_path: str) -> tuple[int, tuple[int, int]] | None:
+    """Generation and watermark of the newest compaction."""
+    done = read_parquet_or_empty(spark, COMPACTIONS_SCHEMA, f"{compacted_path.rstrip('/')}/manifest")
+    top = done.agg(F.max(F.struct("generation", "through_epoch", "through_batch")).alias("m")).first()["m"]
+    return None if top is None else (int(top["generation"]), (int(top["through_epoch"]), int(top["through_batch"])))
 
 
-def compact_landing(spark: SparkSession, landing_path: str, compacted_path: str):
-    """Copy the batches landed since the last compaction into a new generation;
-    returns the watermark ``(epoch, batch_id)`` (``None`` when nothing landed)."""
-    landed = read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path)
-    mark = _landing_watermark(read_parquet_or_empty(spark, COMPACTED_SCHEMA, compacted_path))
-    fresh = landed if mark is None else landed.where(_after(mark[0], mark[1]))
-    top = fresh.agg(F.max(F.struct("epoch", "batch_id")).alias("m")).collect()[0]["m"]
+def compact_landing(spark: SparkSession, landing_path: str, compacted_path: str) -> tuple[int, int] | None:
+    """Copy the whole batches landed since the last compaction into a new
+    generation; returns the watermark ``(epoch, batch_id)`` (``None`` when
+    nothing landed).  Batches without their marker stay for a later one."""
+    newest = _newest_compaction(spark, compacted_path)
+    generation, mark = newest if newest is not None else (-1, None)
+    top = commits.newest_after(spark, landing_path, mark)
     if top is None:
-        return None if mark is None else (mark[0], mark[1])
-    e, b = int(top["epoch"]), int(top["batch_id"])
-    generation = 0 if mark is None else int(mark[2]) + 1
-    (fresh.where(~_after(e, b)).select("record", "pd")
-     .hint("rebalance", "pd")
-     .withColumn("through_epoch", F.lit(e))
-     .withColumn("through_batch", F.lit(b).cast("bigint"))
-     .withColumn("generation", F.lit(generation).cast("bigint"))
+        return mark
+    landed = read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path)
+    fresh = commits.only_committed(spark, landed, landing_path).where(commits.after(mark) & ~commits.after(top))
+    root = compacted_path.rstrip("/")
+    stamp = F.lit(generation + 1).cast("bigint").alias("generation")
+    (fresh.select("record", "pd").hint("rebalance", "pd").select("record", "pd", stamp)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("generation", "pd").parquet(compacted_path))
-    return e, b
+     .partitionBy("generation", "pd").parquet(f"{root}/rows"))
+    (spark.range(1).select(F.lit(top[0]).alias("through_epoch"), F.lit(top[1]).cast("bigint").alias("through_batch"), stamp)
+     .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("generation").parquet(f"{root}/manifest"))
+    return top
+
+
+def retain_landing(spark: SparkSession, landing_path: str, compacted_path: str) -> int:
+    """Remove the landed batches that a compaction covers; returns how many
+    folders.  Refresh a registered view first (:func:`register_landing`)."""
+    newest = _newest_compaction(spark, compacted_path)
+    return commits.remove_covered(spark, landing_path, "pd=*", None if newest is None else newest[1])
 
 
 def read_landing_compacted(spark: SparkSession, landing_path: str, compacted_path: str) -> DataFrame:
-    """``(record, pd)``: every compacted generation plus the batches landed
-    after the newest watermark."""
-    compacted = read_parquet_or_empty(spark, COMPACTED_SCHEMA, compacted_path)
-    mark = _landing_watermark(compacted)
-    landed = read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path)
-    if mark is None:
-        return landed.select("record", "pd")
-    return (compacted.select("record", "pd")
-            .unionByName(landed.where(_after(mark[0], mark[1])).select("record", "pd")))
+    """``(record, pd)``: every compacted generation plus the whole batches
+    landed after the newest watermark."""
+    newest = _newest_compaction(spark, compacted_path)
+    if newest is None:
+        return read_landing(spark, landing_path)
+    rows = read_parquet_or_empty(spark, COMPACTED_SCHEMA, f"{compacted_path.rstrip('/')}/rows")
+    landed = read_parquet_or_empty(spark, LANDED_SCHEMA, landing_path).where(commits.after(newest[1]))
+    return (rows.where(F.col("generation") <= newest[0]).select("record", "pd")
+            .unionByName(commits.only_committed(spark, landed, landing_path).select("record", "pd")))

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.offsets import offset_range_audit
+from tidemark.streaming import commits
 from tidemark.streaming.ledger import ledger_rows, max_epoch, write_ledger
-from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
+from tidemark.streaming.runner import BatchFn, resolve_epoch, run_batches
 
 
 def position_rows(batch: DataFrame, epoch: int, batch_id: int) -> DataFrame:
@@ -28,19 +29,25 @@ def position_rows(batch: DataFrame, epoch: int, batch_id: int) -> DataFrame:
             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
 
 
-def positions_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int | None = None):
+def positions_batch_writer(ledger_path: str, epoch: int) -> BatchFn:
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if commits.is_committed(spark, ledger_path, epoch, batch_id):
+            return
         write_ledger(position_rows(batch, epoch, batch_id), ledger_path)
-        if crash_after_batch is not None and batch_id == crash_after_batch:
-            raise InjectedFailure(f"injected failure after batch {batch_id}")
+        commits.mark_committed(spark, ledger_path, epoch, batch_id)
     return write
 
 
+def positions_job(spark: SparkSession, ledger_path: str, checkpoint: str,
+                  snapshot_path: str | None = None) -> BatchFn:
+    """The batch writer of ``checkpoint``, on its epoch."""
+    epoch = resolve_epoch(spark, checkpoint, max_epoch(spark, ledger_path, snapshot_path))
+    return positions_batch_writer(ledger_path, epoch)
+
+
 def start_positions_job(spark: SparkSession, records: DataFrame, ledger_path: str,
-                        checkpoint: str, crash_after_batch: int | None = None,
-                        processing_time: str | None = None) -> StreamingQuery:
-    epoch = resolve_epoch(spark, checkpoint, max_epoch(spark, ledger_path))
-    writer = (records.select("topic", "partition", "offset").writeStream
-              .foreachBatch(positions_batch_writer(ledger_path, epoch, crash_after_batch))
-              .option("checkpointLocation", checkpoint))
-    return run_available(writer, processing_time)
+                        checkpoint: str, processing_time: str | None = None,
+                        snapshot_path: str | None = None) -> StreamingQuery:
+    write = positions_job(spark, ledger_path, checkpoint, snapshot_path)
+    return run_batches(records.select("topic", "partition", "offset"), write, checkpoint, processing_time)

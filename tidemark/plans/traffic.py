@@ -15,10 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.parse import parse_rejects
 from tidemark.sources.files import read_parquet_or_empty
-
+from tidemark.streaming import commits
 from tidemark.streaming.ledger import batch_ledger_rows, compact_ledger, max_epoch, write_ledger
-from tidemark.streaming.runner import InjectedFailure, resolve_epoch, run_available
-
+from tidemark.streaming.runner import BatchFn, resolve_epoch, run_batches
 
 REJECTS_SCHEMA = ("topic STRING, partition INT, offset BIGINT, value STRING, "
                   "epoch INT, batch_id BIGINT")
@@ -38,44 +37,43 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet_or_empty(spark, REJECTS_SCHEMA, path)
 
 
-def traffic_batch_writer(ledger_path: str, epoch: int, crash_after_batch: int | None = None,
-                         rejects_path: str | None = None, snapshot_path: str | None = None,
-                         compact_every: int | None = None):
-    """``foreachBatch`` body.  ``crash_after_batch`` raises right after that
-    batch's write (before the checkpoint commits it): for replay tests."""
+def traffic_batch_writer(ledger_path: str, epoch: int, rejects_path: str | None = None,
+                         snapshot_path: str | None = None, compact_every: int | None = None) -> BatchFn:
+    """``foreachBatch`` body: rejects, ledger rows, then the marker.  A batch
+    that has its marker is whole and is not written again."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if commits.is_committed(spark, ledger_path, epoch, batch_id):
+            return
         if rejects_path is None:
             # One aggregation (grouping sets) reads the batch once: no cache needed.
             write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path)
         else:
             batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                # Rejects first: the ledger is what outside readers treat as done.
                 write_rejects(batch, rejects_path, epoch, batch_id)
                 write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path)
             finally:
                 batch.unpersist()
-        if (compact_every and snapshot_path is not None
-                and (batch_id + 1) % int(compact_every) == 0):
+        commits.mark_committed(spark, ledger_path, epoch, batch_id)
+        if compact_every and snapshot_path is not None and (batch_id + 1) % int(compact_every) == 0:
             # Fold the ledger so readers (read_compacted) stay bounded.
-            compact_ledger(batch.sparkSession, ledger_path, snapshot_path)
-        if crash_after_batch is not None and batch_id == crash_after_batch:
-            raise InjectedFailure(f"injected failure after batch {batch_id}")
+            compact_ledger(spark, ledger_path, snapshot_path)
     return write
 
 
+def traffic_job(spark: SparkSession, ledger_path: str, checkpoint: str, rejects_path: str | None = None,
+                snapshot_path: str | None = None, compact_every: int | None = None) -> BatchFn:
+    """The batch writer of ``checkpoint``: resuming keeps its epoch, a new
+    checkpoint gets the next one of ledger and snapshot."""
+    epoch = resolve_epoch(spark, checkpoint, max_epoch(spark, ledger_path, snapshot_path))
+    return traffic_batch_writer(ledger_path, epoch, rejects_path, snapshot_path, compact_every)
+
+
 def start_traffic_job(spark: SparkSession, records: DataFrame, ledger_path: str,
-                      checkpoint: str, crash_after_batch: int | None = None,
-                      processing_time: str | None = None,
+                      checkpoint: str, processing_time: str | None = None,
                       rejects_path: str | None = None, snapshot_path: str | None = None,
                       compact_every: int | None = None) -> StreamingQuery:
-    """Run the counters job over a decoded record stream.
-
-    Resuming ``checkpoint`` keeps its epoch; a new checkpoint gets the next one.
-    """
-    epoch = resolve_epoch(spark, checkpoint, max_epoch(spark, ledger_path))
-    writer = (records.writeStream
-              .foreachBatch(traffic_batch_writer(ledger_path, epoch, crash_after_batch,
-                                                 rejects_path, snapshot_path, compact_every))
-              .option("checkpointLocation", checkpoint))
-    return run_available(writer, processing_time)
+    """Run the counters job over a decoded record stream."""
+    write = traffic_job(spark, ledger_path, checkpoint, rejects_path, snapshot_path, compact_every)
+    return run_batches(records, write, checkpoint, processing_time)

@@ -7,19 +7,21 @@ them, whole: no id subsets, prefixes or row caps.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.encode import action_of, record_key, user_log_value
+from tidemark.functions.logparse import parse_ok
 from tidemark.operators import landing, metrics, offsets, parse
 from tidemark.operators.joins import checkpointed
 from tidemark.plans import ingest, positions, traffic
 from tidemark.session import scratch_path
-from tidemark.sources import derive, files, scenarios, tables
+from tidemark.sources import derive, files, fs, scenarios, tables
 from tidemark.streaming import counters, ledger
-from tidemark.streaming.runner import default_state_partitions, run_available
+from tidemark.streaming.runner import default_state_partitions, resolve_epoch, run_available, run_batches
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -114,9 +116,14 @@ def q_saved_offsets(spark, sf_dir):
 
 
 def q_saved_offsets_default(spark, sf_dir):
+    """Positions kept as text, typed strictly, with 0 where none is saved: the
+    store has an entry without a value for every partition nothing was saved
+    for."""
     audit = _audit(spark, sf_dir)
-    return offsets.with_default(scenarios.retained_bounds(audit),
-                                _landing_job_positions(audit), default=0)
+    known = scenarios.retained_bounds(audit)
+    stored = (known.select("topic", "partition").join(_landing_job_positions(audit), ["topic", "partition"], "left")
+              .select("topic", F.col("partition").cast("string").alias("partition"), F.col("offset").cast("string").alias("offset")))
+    return offsets.with_default(known, offsets.typed_offsets(stored), default=0)
 
 
 def q_correct_offsets(spark, sf_dir):
@@ -128,9 +135,10 @@ def q_plan_offset_ranges(spark, sf_dir):
 
 
 def q_positioned_read(spark, sf_dir):
-    records = _records(spark, sf_dir)
-    audit = checkpointed(scenarios.band_audit(records))
-    return offsets.positioned_read(records.drop("ts"), _planned(audit))
+    """Planned ranges read from the landed topic, whose files are sorted by
+    offset: the scan skips what lies outside all ranges."""
+    topic = files.read_records(spark, _landed_topic(spark, sf_dir))
+    return offsets.positioned_read(topic.drop("ts"), _planned(_audit(spark, sf_dir)))
 
 
 def q_starting_offsets_json(spark, sf_dir):
@@ -159,7 +167,7 @@ def q_land_batch_date(spark, sf_dir):
     staged = scratch_path(spark, "bands")
     banded.select("value", "band").write.partitionBy("band").parquet(staged)
     staged_df = spark.read.schema("value STRING, band BIGINT").parquet(staged)
-    for b in range(derive.DEFAULT_LAST_BAND + 1):
+    for b in range(derive.DEFAULT_BANDS):
         landing.insert_batch_partition(staged_df.where(F.col("band") == b), table, _batch_day(b))
     return landing.landing_scan(spark, table)
 
@@ -194,16 +202,17 @@ def q_insert_by_columns(spark, sf_dir):
 
 def q_insert_values(spark, sf_dir):
     """``INSERT INTO t1 (record, pt_date) VALUES (...)`` with bound parameters:
-    one summary row per day (``lines=<count>``), computed by Spark; the literal
-    rows are bounded by the number of dates, not by the data."""
+    two summary rows of the whole log (lines, and lines that parse), computed
+    by Spark."""
     db = landing.create_database(spark)
     table = f"{db}.t1"
     spark.sql(f"CREATE TABLE {landing.quote_ident(table)} (record STRING, pt_date STRING) "
               "USING parquet PARTITIONED BY (pt_date)")
-    daily = (landing.stamp_row_date(_access_log(spark, sf_dir))
-             .groupBy("pd").agg(F.count(F.lit(1)).alias("n")).collect())
+    fields = parse.with_log_fields(landing.stamp_row_date(_access_log(spark, sf_dir)), "record")
+    total = fields.agg(F.count(F.lit(1)).alias("lines"), F.count(F.when(parse_ok(), 1)).alias("events"),
+                       F.min("pd").alias("first"), F.max("pd").alias("last")).first()
     landing.insert_values(spark, table, ["record", "pt_date"],
-                          [(f"lines={r['n']}", r["pd"]) for r in daily])
+                          [(f"lines={total['lines']}", total["first"]), (f"events={total['events']}", total["last"])])
     return spark.table(table)
 
 
@@ -240,30 +249,31 @@ _LANDED_TOPICS: dict[tuple[str, str], str] = {}
 
 
 def _landed_topic(spark, sf_dir) -> str:
-    """The derived topic as band files, one write per band, in band order.
+    """The derived topic as files in offset order, written once.
 
     The topic is input, like a topic that already exists on a broker: it is
     landed once per application and folder and then consumed whole by every
     streaming query (files are never modified after landing).
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key in _LANDED_TOPICS:
-        try:   # still there? (a listing, no data read)
-            spark.read.schema(files.RECORD_SCHEMA).parquet(_LANDED_TOPICS[key]).inputFiles()
-        except Exception:  # noqa: BLE001 - cleaned up: land it again
-            del _LANDED_TOPICS[key]
+    if key in _LANDED_TOPICS and not fs.folders(spark, f"{_LANDED_TOPICS[key]}/slice=*"):
+        del _LANDED_TOPICS[key]   # cleaned up: land it again
     if key not in _LANDED_TOPICS:
         path = scratch_path(spark, "topic")
-        banded = derive.offset_bands(_records(spark, sf_dir))
-        files.land_records(banded, path, list(range(derive.DEFAULT_LAST_BAND + 1)))
+        files.land_records(_records(spark, sf_dir), path)
         _LANDED_TOPICS[key] = path
     return _LANDED_TOPICS[key]
 
 
+def land_topic(spark, sf_dir) -> None:
+    """Land the topic ahead of the streaming queries (so that a timing of the
+    first of them doesn't include it)."""
+    _landed_topic(spark, sf_dir)
+
+
 def _topic_stream(spark, path):
-    """The landed topic as a stream, about one micro-batch per offset band."""
-    per_batch = files.files_per_batch(spark, path, derive.DEFAULT_LAST_BAND + 1)
-    return files.record_stream(spark, path, max_files_per_trigger=per_batch)
+    """The landed topic as a stream, one micro-batch for each offset band."""
+    return files.record_stream(spark, path, max_files_per_trigger=files.FILES_PER_BAND)
 
 
 def _run_complete(spark, result, name, state_store=None):
@@ -272,7 +282,7 @@ def _run_complete(spark, result, name, state_store=None):
         "checkpointLocation", scratch_path(spark, name + "_checkpoint"))
     run_available(writer, spark=spark, state_partitions=default_state_partitions(spark),
                   state_store=state_store)
-    return files.read_parquet_or_empty(spark, result.schema, out)
+    return counters.read_complete(spark, out, result.schema)
 
 
 def q_stream_pv_by_hour(spark, sf_dir):
@@ -298,44 +308,66 @@ def q_stream_site_pv_updates(spark, sf_dir):
     return counters.latest_values(log, ["site_id", "hour"], ["pv"])
 
 
+def q_stream_site_pv_updates_restart(spark, sf_dir):
+    """Two checkpoints on one update log, the second on the whole topic again:
+    its values win although its batches are numbered from 0."""
+    out = scratch_path(spark, "site_pv_updates")
+    for cp in ("first", "second"):
+        result = counters.running_site_pv_by_hour(_topic_stream(spark, _landed_topic(spark, sf_dir)))
+        checkpoint = scratch_path(spark, cp + "_checkpoint")
+        epoch = resolve_epoch(spark, checkpoint, counters.log_epoch(spark, out))
+        writer = counters.update_to_log(result, out, epoch).option("checkpointLocation", checkpoint)
+        run_available(writer, spark=spark, state_partitions=default_state_partitions(spark))
+    return counters.latest_values(counters.read_update_log(spark, out, result.schema), ["site_id", "hour"], ["pv"])
+
+
 def q_stream_uv_by_day(spark, sf_dir):
     stream = _topic_stream(spark, _landed_topic(spark, sf_dir))
     # The per-day member state grows with the data: keep it in RocksDB.
     return _run_complete(spark, counters.running_uv_by_day(stream), "uv", state_store="rocksdb")
 
 
-CRASH_AFTER_BATCH = 2
+CRASH_BATCH = 2
 
 
-def _crash_then_resume(start):
-    """Run with a failure injected after a batch's write, then resume on the
-    same checkpoint."""
-    try:
-        start(CRASH_AFTER_BATCH)
-    except Exception as e:  # noqa: BLE001
-        if "injected failure" not in str(e):
-            raise
-    start(None)
+def _traffic_crash(spark, sf_dir, resume=True, **options):
+    """Counters job that dies in batch 2, between its data and its marker, and
+    (with ``resume``) goes on; returns ledger, checkpoint and the writer."""
+    topic = _landed_topic(spark, sf_dir)
+    path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "traffic_checkpoint")
+
+    def write():
+        return traffic.traffic_job(spark, path, cp, **options)
+
+    def stream():
+        return _topic_stream(spark, topic)
+    scenarios.run_with_crash(stream, write, cp, CRASH_BATCH, path, resume=resume)
+    return path, lambda: run_batches(stream(), write(), cp)
 
 
 def _traffic_ledger(spark, sf_dir):
-    topic = _landed_topic(spark, sf_dir)
-    path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "traffic_checkpoint")
-    _crash_then_resume(lambda crash: traffic.start_traffic_job(
-        spark, _topic_stream(spark, topic), path, cp,
-        crash_after_batch=crash))
+    path, _ = _traffic_crash(spark, sf_dir)
     return ledger.read_ledger(spark, path)
 
 
+def _traffic_compacted(spark, sf_dir):
+    """The counters job's ledger compacted after the crash (its unfinished
+    batch stays out), again at the end, and what is covered removed."""
+    path, go_on = _traffic_crash(spark, sf_dir, resume=False)
+    snap = scratch_path(spark, "snapshot")
+    ledger.compact_ledger(spark, path, snap)
+    ledger.retain_ledger(spark, path, snap)
+    go_on()
+    ledger.compact_ledger(spark, path, snap)
+    ledger.retain_ledger(spark, path, snap)
+    return ledger.read_compacted(spark, path, snap)
+
+
 def q_stream_parse_rejects(spark, sf_dir):
-    """Counters job with a rejects output, crash after a batch's write and a
-    restart: every unparseable line is kept exactly once with its position."""
-    topic = _landed_topic(spark, sf_dir)
-    path, rej = scratch_path(spark, "ledger"), scratch_path(spark, "rejects")
-    cp = scratch_path(spark, "traffic_checkpoint")
-    _crash_then_resume(lambda crash: traffic.start_traffic_job(
-        spark, _topic_stream(spark, topic), path, cp, crash_after_batch=crash,
-        rejects_path=rej))
+    """Counters job with a rejects output, a crash in a batch and a restart:
+    every unparseable line is kept exactly once with its position."""
+    rej = scratch_path(spark, "rejects")
+    _traffic_crash(spark, sf_dir, rejects_path=rej)
     return traffic.read_rejects(spark, rej).select("topic", "partition", "offset", "value")
 
 
@@ -357,92 +389,119 @@ def q_ledger_uv_members(spark, sf_dir):
 
 
 def q_ledger_pv_compacted(spark, sf_dir):
-    """Crash after batch 2's write, compact the ledger (the snapshot covers the
-    not-yet-committed batch 2), resume (batch 2 is replayed and rewritten), then
-    read page views through the snapshot: batch 2 counts once."""
+    """Page views through a snapshot taken after a crash and extended at the
+    end, with what it covers removed from the ledger: batch 2 counts once."""
+    return ledger.ledger_pv(_traffic_compacted(spark, sf_dir))
+
+
+def q_resume_after_retention(spark, sf_dir):
+    """A run, a compaction, retention of all that is covered, and a new
+    checkpoint on the whole topic again: its batches come after the snapshot's,
+    so page views are twice those of one pass."""
     topic = _landed_topic(spark, sf_dir)
     path, snap = scratch_path(spark, "ledger"), scratch_path(spark, "snapshot")
-    cp = scratch_path(spark, "traffic_checkpoint")
-
-    def start(crash):
-        return traffic.start_traffic_job(spark, _topic_stream(spark, topic), path, cp,
-                                         crash_after_batch=crash)
-    try:
-        start(CRASH_AFTER_BATCH)
-    except Exception as e:  # noqa: BLE001
-        if "injected failure" not in str(e):
-            raise
-    ledger.compact_ledger(spark, path, snap)
-    start(None)
+    for cp in ("first", "second"):
+        traffic.start_traffic_job(spark, _topic_stream(spark, topic), path, scratch_path(spark, cp + "_checkpoint"),
+                                  snapshot_path=snap)
+        if cp == "first":
+            ledger.compact_ledger(spark, path, snap)
+            ledger.retain_ledger(spark, path, snap)
     return ledger.ledger_pv(ledger.read_compacted(spark, path, snap))
 
 
-def _ingest(spark, sf_dir):
+def _ingest_crash(spark, sf_dir, resume=True, **options):
+    """Landing ingest that dies in batch 2, between its data and its markers,
+    and (with ``resume``) goes on; returns the landing path and the rest."""
     topic = _landed_topic(spark, sf_dir)
-    land = scratch_path(spark, "landing")
-    path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "ingest_checkpoint")
-    _crash_then_resume(lambda crash: ingest.start_ingest_job(
-        spark, _topic_stream(spark, topic), land, path, cp,
-        date_mode="row", crash_after_batch=crash))
-    return land, path
+    land, path = scratch_path(spark, "landing"), scratch_path(spark, "ledger")
+    cp = scratch_path(spark, "ingest_checkpoint")
+
+    def write():
+        return ingest.ingest_job(spark, land, path, cp, **options)
+
+    def stream():
+        return _topic_stream(spark, topic)
+    scenarios.run_with_crash(stream, write, cp, CRASH_BATCH, land, path, resume=resume)
+    return land, lambda: run_batches(stream(), write(), cp)
 
 
 def q_resume_exactly_once(spark, sf_dir):
-    """Landing ingest with a crash after a batch's write and a restart: every
-    record lands exactly once."""
-    land, _ = _ingest(spark, sf_dir)
+    """Landing ingest with a crash in a batch and a restart: every record
+    lands exactly once."""
+    land, _ = _ingest_crash(spark, sf_dir, date_mode="row")
     return ingest.read_landing(spark, land)
 
 
-def q_stream_offset_audit(spark, sf_dir):
-    """Per-batch read audit of the counters job across a crash and replay,
-    rolled up per partition: every offset of every partition read exactly
-    once (record counts add up, ranges span the partition)."""
-    audit = ledger.ledger_offset_audit(_traffic_ledger(spark, sf_dir))
-    return audit.groupBy("topic", "partition").agg(
+def q_ingest_batch_date(spark, sf_dir):
+    """Landing ingest with one date a batch, from a clock that moves on a day
+    each time it is asked: the batch that is replayed after "midnight" keeps
+    the date it recorded first, so batch b has day b."""
+    days = itertools.count()
+    land, _ = _ingest_crash(spark, sf_dir, date_mode="batch", clock=lambda: _batch_day(next(days)))
+    return ingest.read_landing(spark, land)
+
+
+def _contiguous(audit):
+    """Per partition: what was read, and the batches that did not start where
+    the one before them ended."""
+    before = F.lag("until_offset").over(Window.partitionBy("topic", "partition").orderBy("epoch", "batch_id"))
+    return (audit.withColumn("before", before).groupBy("topic", "partition").agg(
         F.min("from_offset").alias("from_offset"),
         F.max("until_offset").alias("until_offset"),
-        F.sum("records").alias("records"))
+        F.sum("records").alias("records"),
+        F.count(F.when(F.col("before") != F.col("from_offset"), 1)).alias("gaps")))
+
+
+def q_stream_offset_audit(spark, sf_dir):
+    """Per-batch read audit of the counters job across a crash and replay,
+    rolled up per partition: every offset of every partition read exactly once
+    (record counts add up, ranges span the partition, none overlaps another or
+    leaves a gap)."""
+    return _contiguous(ledger.ledger_offset_audit(_traffic_ledger(spark, sf_dir)))
+
+
+def q_stream_offset_audit_compacted(spark, sf_dir):
+    """The same through snapshots and retention: the audit stays complete."""
+    return _contiguous(ledger.ledger_offset_audit(_traffic_compacted(spark, sf_dir)))
+
+
+def _summed(totals):
+    return totals.agg(F.sum("records").alias("records"), F.sum("events").alias("events"),
+                      F.count(F.lit(1)).alias("batches"))
 
 
 def q_stream_batch_total(spark, sf_dir):
     """Per-batch totals of the counters job (lines read, lines parsed) across a
     crash and replay, summed over all batches."""
-    totals = ledger.ledger_batch_totals(_traffic_ledger(spark, sf_dir))
-    return totals.agg(F.sum("records").alias("records"), F.sum("events").alias("events"))
+    return _summed(ledger.ledger_batch_totals(_traffic_ledger(spark, sf_dir)))
 
 
-def q_landing_compacted(spark, sf_dir):
-    """Landing ingest with a crash after batch 2's write, a compaction of the
-    landed small files (covering the not-yet-committed batch 2), a resume and a
-    second compaction; read through the compacted generations: every record
-    exactly once."""
-    topic = _landed_topic(spark, sf_dir)
-    land, comp = scratch_path(spark, "landing"), scratch_path(spark, "landing_compacted")
-    path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "ingest_checkpoint")
+def q_stream_batch_total_compacted(spark, sf_dir):
+    """The same through snapshots and retention: each batch keeps its totals."""
+    return _summed(ledger.ledger_batch_totals(_traffic_compacted(spark, sf_dir)))
 
-    def start(crash):
-        return ingest.start_ingest_job(spark, _topic_stream(spark, topic), land, path, cp,
-                                       date_mode="row", crash_after_batch=crash)
-    try:
-        start(CRASH_AFTER_BATCH)
-    except Exception as e:  # noqa: BLE001
-        if "injected failure" not in str(e):
-            raise
+
+def q_landing_compacted(spark, sf_dir):
+    """Landing ingest with a crash in batch 2, a compaction of the whole
+    batches, a resume, a second compaction and retention; read through the
+    compacted generations: every record exactly once."""
+    land, go_on = _ingest_crash(spark, sf_dir, resume=False, date_mode="row")
+    comp = scratch_path(spark, "landing_compacted")
     ingest.compact_landing(spark, land, comp)
-    start(None)
+    go_on()
     ingest.compact_landing(spark, land, comp)
+    ingest.retain_landing(spark, land, comp)
     return ingest.read_landing_compacted(spark, land, comp)
 
 
 def q_stream_saved_offsets(spark, sf_dir):
-    """Positions-only job, crash after a batch's write, restart: the saved
-    position of every partition is its end."""
+    """Positions-only job, crash in a batch, restart: the saved position of
+    every partition is its end."""
     topic = _landed_topic(spark, sf_dir)
     path, cp = scratch_path(spark, "ledger"), scratch_path(spark, "positions_checkpoint")
-    _crash_then_resume(lambda crash: positions.start_positions_job(
-        spark, _topic_stream(spark, topic), path, cp, crash_after_batch=crash))
-    return ledger.ledger_positions(ledger.read_ledger(spark, path))
+    scenarios.run_with_crash(lambda: _topic_stream(spark, topic).select("topic", "partition", "offset"),
+                             lambda: positions.positions_job(spark, path, cp), cp, CRASH_BATCH, path)
+    return ledger.saved_positions(spark, path)
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -471,6 +530,7 @@ QUERIES: dict[str, QueryFn] = {
     "stream_pv_by_hour": q_stream_pv_by_hour,
     "stream_site_pv_by_hour": q_stream_site_pv_by_hour,
     "stream_site_pv_updates": q_stream_site_pv_updates,
+    "stream_site_pv_updates_restart": q_stream_site_pv_updates_restart,
     "stream_uv_by_day": q_stream_uv_by_day,
     "stream_parse_rejects": q_stream_parse_rejects,
     "ledger_pv": q_ledger_pv,
@@ -483,6 +543,10 @@ QUERIES: dict[str, QueryFn] = {
     "stream_saved_offsets": q_stream_saved_offsets,
     "stream_offset_audit": q_stream_offset_audit,
     "stream_batch_total": q_stream_batch_total,
+    "stream_offset_audit_compacted": q_stream_offset_audit_compacted,
+    "stream_batch_total_compacted": q_stream_batch_total_compacted,
+    "resume_after_retention": q_resume_after_retention,
+    "ingest_batch_date": q_ingest_batch_date,
 }
 
 
@@ -533,8 +597,8 @@ cases AS (
   FROM sizes),
 ledger AS (
   SELECT 'counters' AS job, topic, partition, max("offset") + 1 AS until_offset, 0 AS epoch,
-         least("offset" // 300, 4) AS batch_id
-  FROM records GROUP BY topic, partition, least("offset" // 300, 4)
+         ("offset" * 5) // n AS batch_id
+  FROM records JOIN sizes USING (topic, partition) GROUP BY topic, partition, ("offset" * 5) // n
   UNION ALL
   SELECT 'counters', topic, partition, least(n, n // 4 + 10 * 5), 1, 0 FROM sizes
   UNION ALL
@@ -577,9 +641,9 @@ WHERE hour IS NULL OR user_id IS NULL OR site_id IS NULL""",
 SELECT topic, partition, min("offset") AS earliest, max("offset") + 1 AS latest
 FROM records GROUP BY topic, partition""",
     "offset_range_audit": _WITH_RECORDS + """
-SELECT least("offset" // 300, 4) AS batch_id, topic, partition, min("offset") AS from_offset,
+SELECT ("offset" * 5) // n AS batch_id, topic, partition, min("offset") AS from_offset,
        max("offset") + 1 AS until_offset, count(*) AS records
-FROM records GROUP BY ALL""",
+FROM records JOIN sizes USING (topic, partition) GROUP BY ALL""",
     "saved_offsets": _WITH_RECORDS + 'SELECT job, topic, partition, "offset" FROM saved',
     "saved_offsets_default": _WITH_RECORDS + """
 SELECT b.topic, b.partition, coalesce(s."offset", 0) AS "offset"
@@ -598,17 +662,18 @@ SELECT topic, '{"' || topic || '":{'
 FROM corrected GROUP BY topic""",
     "land_batch_date": _WITH_RECORDS + """
 SELECT value AS record,
-       strftime(DATE '2024-02-01' + CAST(least("offset" // 300, 4) AS INTEGER), '%Y-%m-%d') AS pd
-FROM records""",
+       strftime(DATE '2024-02-01' + CAST(("offset" * 5) // n AS INTEGER), '%Y-%m-%d') AS pd
+FROM records JOIN sizes USING (topic, partition)""",
     "land_row_date": _WITH_ACCESS + "SELECT value AS record, strftime(ts, '%Y-%m-%d') AS pd FROM access_log",
     "landing_partition_counts": _WITH_ACCESS + """
 SELECT strftime(ts, '%Y-%m-%d') AS pd, count(*) AS records FROM access_log GROUP BY 1""",
     "insert_by_columns": _WITH_ACCESS
     + "SELECT value AS record, strftime(ts, '%Y-%m-%d') AS pt_date FROM access_log",
     "landing_scan": _WITH_ACCESS + "SELECT value AS record, '2024-02-01' AS pd FROM access_log",
-    "insert_values": _WITH_ACCESS + """
-SELECT 'lines=' || CAST(count(*) AS VARCHAR) AS record, strftime(ts, '%Y-%m-%d') AS pt_date
-FROM access_log GROUP BY 2""",
+    "insert_values": _WITH_PARSED + """
+SELECT 'lines=' || CAST(count(*) AS VARCHAR) AS record, strftime(min(ts), '%Y-%m-%d') AS pt_date FROM access_log
+UNION ALL
+SELECT 'events=' || CAST((SELECT count(*) FROM parsed) AS VARCHAR), strftime(max(ts), '%Y-%m-%d') FROM access_log""",
     "encode_user_log": """
 SELECT 'key-' || CAST(event_id AS VARCHAR) AS key,
        strftime(ts, '%Y-%m-%d') || CAST(epoch_us(ts) // 1000 AS VARCHAR) || CAST(user_id AS VARCHAR)
@@ -618,7 +683,7 @@ FROM events""",
     "stream_saved_offsets": _WITH_RECORDS + 'SELECT topic, partition, n AS "offset" FROM sizes',
     "stream_offset_audit": _WITH_RECORDS + """
 SELECT topic, partition, min("offset") AS from_offset, max("offset") + 1 AS until_offset,
-       count(*) AS records
+       count(*) AS records, 0 AS gaps
 FROM records GROUP BY topic, partition""",
     "resume_exactly_once": _WITH_ACCESS
     + "SELECT value AS record, strftime(ts, '%Y-%m-%d') AS pd FROM access_log",
@@ -642,4 +707,9 @@ ORACLE_SQL["ledger_uv_members"] = ORACLE_SQL["uv_members_by_day"]
 ORACLE_SQL["ledger_pv_compacted"] = ORACLE_SQL["pv_by_hour"]
 ORACLE_SQL["landing_compacted"] = ORACLE_SQL["resume_exactly_once"]
 ORACLE_SQL["stream_batch_total"] = _WITH_PARSED + """
-SELECT (SELECT count(*) FROM access_log) AS records, (SELECT count(*) FROM parsed) AS events"""
+SELECT (SELECT count(*) FROM access_log) AS records, (SELECT count(*) FROM parsed) AS events, 5 AS batches"""
+ORACLE_SQL["stream_site_pv_updates_restart"] = ORACLE_SQL["site_pv_by_hour"]
+ORACLE_SQL["stream_offset_audit_compacted"] = ORACLE_SQL["stream_offset_audit"]
+ORACLE_SQL["stream_batch_total_compacted"] = ORACLE_SQL["stream_batch_total"]
+ORACLE_SQL["resume_after_retention"] = _WITH_PARSED + "SELECT hour, 2 * count(*) AS pv FROM parsed GROUP BY hour"
+ORACLE_SQL["ingest_batch_date"] = ORACLE_SQL["land_batch_date"]

@@ -40,8 +40,7 @@ URI_SITE = "&sid="
 DEFAULT_TOPIC = "events"
 DEFAULT_TOPIC_PARTITIONS = 8
 DEFAULT_BLOCK_SIZE = 1 << 20
-DEFAULT_BAND_SIZE = 300
-DEFAULT_LAST_BAND = 4
+DEFAULT_BANDS = 5
 
 
 def access_log(events: DataFrame) -> DataFrame:
@@ -59,7 +58,8 @@ def access_log(events: DataFrame) -> DataFrame:
 def topic_records(events: DataFrame, topic: str = DEFAULT_TOPIC,
                   num_partitions: int = DEFAULT_TOPIC_PARTITIONS,
                   block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
-    """``(topic, partition, offset, key, value, ts)`` with dense offsets.
+    """``(topic, partition, offset, key, value, ts, partition_records)`` with
+    dense offsets; the last column is the partition's number of records.
 
     ``offset`` = rank of the event (by ``event_id``, NULL first) inside its
     partition, starting at 0; ``partition`` = ``pmod(user_id, num_partitions)``,
@@ -81,7 +81,8 @@ def topic_records(events: DataFrame, topic: str = DEFAULT_TOPIC,
         Window.unboundedPreceding, -1)
     starts = block_rows.select(
         "partition", "block",
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("block_start"))
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("block_start"),
+        F.sum("n").over(Window.partitionBy("partition")).alias("partition_records"))
 
     in_block = Window.partitionBy("partition", "block").orderBy(F.col("event_id").asc_nulls_first())
     return (lines.join(starts, ["partition", "block"])
@@ -89,15 +90,14 @@ def topic_records(events: DataFrame, topic: str = DEFAULT_TOPIC,
                     (F.col("block_start") + F.row_number().over(in_block) - 1).cast("bigint")
                     .alias("offset"),
                     record_key("event_id").alias("key"),
-                    "value", "ts"))
+                    "value", "ts", "partition_records"))
 
 
-def offset_bands(records: DataFrame, band_size: int = DEFAULT_BAND_SIZE,
-                 last_band: int = DEFAULT_LAST_BAND) -> DataFrame:
-    """Adds ``band`` = ``least(offset div band_size, last_band)``.
+def offset_bands(records: DataFrame, bands: int = DEFAULT_BANDS) -> DataFrame:
+    """Adds ``band`` = ``offset * bands div partition_records``.
 
-    Bands are contiguous offset intervals per partition; replaying them in
-    order reproduces how a topic hands out consecutive micro-batches.
+    Bands are contiguous offset intervals of a partition, equal but for one
+    record at any size; replaying them in order reproduces how a topic hands
+    out consecutive micro-batches.
     """
-    return records.withColumn(
-        "band", F.least(F.expr(f"offset div {int(band_size)}"), F.lit(last_band).cast("bigint")))
+    return records.withColumn("band", F.expr(f"(offset * {int(bands)}) div partition_records"))

@@ -1,7 +1,7 @@
 """File stand-in for a topic: decoded records landed as Parquet files.
 
-:func:`land_records` writes records in offset bands, one write per band in
-band order, so a file stream replays them the way a topic hands out
+:func:`land_records` writes records in slices of their offsets with ordered
+file times, so a file stream replays them the way a topic hands out
 consecutive micro-batches.  :func:`record_stream` reads them back as a
 streaming DataFrame with the decoded Kafka columns.
 """
@@ -10,29 +10,35 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from tidemark.sources import fs
+from tidemark.sources.derive import DEFAULT_BANDS, offset_bands
 
 RECORD_SCHEMA = ("topic STRING, partition INT, offset BIGINT, key STRING, value STRING, "
                  "ts TIMESTAMP_NTZ")
+FILES_PER_BAND = 4
 
 
-def land_records(records: DataFrame, path: str, bands: list[int], band_col: str = "band",
-                 staging: str | None = None) -> list[int]:
-    """Append each band's records under ``path`` (one write per band, in order).
+def land_records(records: DataFrame, path: str, bands: int = DEFAULT_BANDS,
+                 files_per_band: int = FILES_PER_BAND) -> int:
+    """Write the records of a topic under ``path`` as ``bands * files_per_band``
+    slices, once, and return the files of a band.
 
-    The records are computed once into a band-partitioned staging table; each
-    band is then copied with partition pruning, so the derivation is not
-    recomputed per band.  ``bands`` is the small fixed list the band rule
-    produces (e.g. ``range(last_band + 1)``).
+    A slice is a contiguous interval of every partition's offsets, sorted by
+    ``(partition, offset)`` so that row groups can be skipped, in one file.
+    File times follow the slices, so a file stream that takes a band's files
+    at a time reads whole bands in order.
     """
-    staging = staging or path.rstrip("/") + "_staging"
-    records.write.mode("overwrite").partitionBy(band_col).parquet(staging)
-    staged = records.sparkSession.read.schema(
-        RECORD_SCHEMA + f", {band_col} BIGINT").parquet(staging)
-    for b in bands:
-        (staged.where(F.col(band_col) == b).drop(band_col)
-         .write.mode("append").parquet(path))
-    return list(bands)
+    spark = records.sparkSession
+    n = bands * files_per_band
+    sliced = offset_bands(records, n).withColumnRenamed("band", "slice")
+    # a slice's rows are in one task, so it is one file
+    (sliced.drop("partition_records").repartition(n, "slice").sortWithinPartitions("slice", "partition", "offset")
+     .write.mode("overwrite").partitionBy("slice").parquet(path))
+    base = fs.modified(spark, path) - n * 1000
+    for i in range(n):
+        fs.set_modified(spark, f"{path}/slice={i}/part-*", base + i * 1000)
+    return files_per_band
 
 
 def read_parquet_or_empty(spark: SparkSession, schema, path: str) -> DataFrame:
@@ -46,15 +52,14 @@ def read_parquet_or_empty(spark: SparkSession, schema, path: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def files_per_batch(spark: SparkSession, path: str, batches: int) -> int:
-    """``maxFilesPerTrigger`` that replays the files under ``path`` in about
-    ``batches`` micro-batches (driver-side file listing only)."""
-    n = len(spark.read.schema(RECORD_SCHEMA).parquet(path).inputFiles())
-    return max(1, -(-n // max(1, int(batches))))
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The landed topic as a table."""
+    return spark.read.schema(RECORD_SCHEMA + ", slice INT").parquet(path).drop("slice")
 
 
 def record_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(RECORD_SCHEMA).format("parquet")
+    """The landed topic as a stream; oldest files first."""
+    reader = spark.readStream.schema(RECORD_SCHEMA + ", slice INT").format("parquet")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
-    return reader.load(path)
+    return reader.load(path).drop("slice")

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DECODED_COLUMNS = ("topic", "partition", "offset", "key", "value", "ts")
@@ -37,9 +37,14 @@ def assign_json(partitions: dict[str, list[int]]) -> str:
                       separators=(",", ":"))
 
 
-def max_offsets_per_trigger(rate_per_partition: int, batch_seconds: int, num_partitions: int) -> int:
-    """Per-partition rate limit expressed as the source's total per trigger."""
-    return int(rate_per_partition) * int(batch_seconds) * int(num_partitions)
+def max_offsets_per_trigger(rate_per_partition: int, batch_seconds: float, num_partitions: int) -> int:
+    """Per-partition rate limit expressed as the source's total per trigger, at
+    least one record.  The source shares the total out by backlog, so a
+    partition far behind the others may exceed its own rate; for a limit that
+    holds for each partition, plan ranges
+    (:func:`tidemark.operators.offsets.plan_offset_ranges`) and read them with
+    :func:`read_ranges`."""
+    return max(1, int(rate_per_partition * batch_seconds * int(num_partitions)))
 
 
 def reader_options(bootstrap_servers: str, topic: str | None = None,
@@ -80,6 +85,13 @@ def reader_options(bootstrap_servers: str, topic: str | None = None,
     return opts
 
 
+def utc_clock(name: str) -> Column:
+    """An instant as its UTC wall clock, whatever the session's time zone (a
+    cast would use that zone, and so move records to another date)."""
+    since = F.expr(f"make_dt_interval(0, 0, 0, cast(unix_micros({name}) as decimal(18, 0)) / 1000000)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+
+
 def decode(raw: DataFrame) -> DataFrame:
     """Kafka rows -> ``(topic, partition, offset, key, value, ts)`` as strings."""
     return raw.select(
@@ -87,7 +99,7 @@ def decode(raw: DataFrame) -> DataFrame:
         F.col("offset").cast("bigint").alias("offset"),
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-        F.col("timestamp").cast("timestamp_ntz").alias("ts"))
+        utc_clock("timestamp").alias("ts"))
 
 
 def read_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:

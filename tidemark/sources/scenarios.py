@@ -15,6 +15,7 @@ oracle see the same facts:
   topic in offset bands during epoch 0, then restarted from retention in
   epoch 1 with one rate-limited batch (its position moves *backwards*);
   ``landing`` holds the repair cases.
+* :func:`crash_after` - a job that fails in the middle of a batch's writes.
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.offsets import KEY, ledger_offset_rows, offset_range_audit
+from tidemark.sources import fs
 from tidemark.sources.derive import offset_bands
+from tidemark.streaming.commits import commits_path
+from tidemark.streaming.runner import run_batches
 
 # Fixed values of the scenarios (shared with the SQL oracles).
 RETENTION_DIVISOR = 4
@@ -77,3 +81,37 @@ def offset_ledger(audit: DataFrame) -> DataFrame:
         F.lit("landing").alias("job"), *KEY, "until_offset",
         F.lit(0).alias("epoch"), F.lit(0).cast("bigint").alias("batch_id"))
     return epoch0.unionByName(epoch1).unionByName(landing)
+
+
+class InjectedFailure(RuntimeError):
+    """Raised on purpose (crash and replay scenarios)."""
+
+
+def crash_after(write, crash_batch: int, *unmarked: str):
+    """A ``foreachBatch`` body that fails at the end of ``crash_batch``.  The
+    batch's markers in the outputs ``unmarked`` are taken back first, as if
+    the job had died between its data and its marker."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == crash_batch:
+            for output in unmarked:
+                for folder in fs.folders(batch.sparkSession, f"{commits_path(output)}/epoch=*/batch_id={batch_id}"):
+                    fs.remove(batch.sparkSession, folder)
+            raise InjectedFailure(f"injected failure after batch {batch_id}")
+    return run
+
+
+def run_with_crash(records, make_write, checkpoint: str, crash_batch: int, *unmarked: str, resume: bool = True) -> bool:
+    """Run a job until it crashes in ``crash_batch``, then (with ``resume``)
+    once more on the same checkpoint.  ``records`` and ``make_write`` are
+    called for each run.  Returns whether it crashed."""
+    crashed = False
+    try:
+        run_batches(records(), crash_after(make_write(), crash_batch, *unmarked), checkpoint)
+    except Exception as e:  # noqa: BLE001 - the stream wraps the failure
+        if "injected failure" not in str(e):
+            raise
+        crashed = True
+    if resume:
+        run_batches(records(), make_write(), checkpoint)
+    return crashed

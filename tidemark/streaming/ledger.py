@@ -6,8 +6,9 @@ checkpoint lifetime (``epoch``).  The write replaces exactly the partitions
 ``(metric, epoch, batch_id)`` it produces (dynamic partition overwrite), so if a
 crash happens after the write but before the checkpoint commit, the restarted
 query replays the same batch with the same ``batch_id`` and the same records,
-and the rewrite replaces the first attempt instead of adding to it.  Counters
-are sums of deltas over the ledger; distinct users are a union-distinct of the
+and the rewrite replaces the first attempt instead of adding to it.  A marker
+written last (:mod:`tidemark.streaming.commits`) makes the batch visible as a
+whole: readers never see some of its metrics without the others.  Counters are sums of deltas over the ledger; distinct users are a union-distinct of the
 members each batch saw; positions are the last write per partition.
 
 Layout: ``<path>/metric=<m>/epoch=<e>/batch_id=<b>/part-*.parquet``;
@@ -22,12 +23,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.logparse import day_key, parse_ok
 from tidemark.operators import metrics, offsets
 from tidemark.operators.parse import with_log_fields
+from tidemark.sources import fs
 from tidemark.sources.files import read_parquet_or_empty
+from tidemark.streaming import commits
 
 LEDGER_SCHEMA = ("k STRING, site_id STRING, member STRING, delta BIGINT, topic STRING, "
                  "partition INT, until_offset BIGINT, from_offset BIGINT, "
                  "metric STRING, epoch INT, batch_id BIGINT")
 LEDGER_PARTITIONS = ("metric", "epoch", "batch_id")
+_LEDGER_COLUMNS = ("metric", "k", "site_id", "member", "delta", "topic", "partition",
+                   "until_offset", "from_offset", "epoch", "batch_id")
 
 _EMPTY = {"k": "string", "site_id": "string", "member": "string", "delta": "bigint",
           "topic": "string", "partition": "int", "until_offset": "bigint",
@@ -100,12 +105,17 @@ def write_ledger(rows: DataFrame, path: str) -> None:
      .partitionBy(*LEDGER_PARTITIONS).parquet(path))
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger with typed partition columns (explicit schema, no inference);
-    empty when no batch has been written yet."""
+def all_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of the ledger, also of batches that are not whole yet."""
     return read_parquet_or_empty(spark, LEDGER_SCHEMA, path)
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger's whole batches with typed partition columns (explicit
+    schema, no inference); empty when no batch has been committed yet."""
+    return commits.only_committed(spark, all_rows(spark, path), path).select(*_LEDGER_COLUMNS)
+
+
 # ---------------------------------------------------------------- read views
 
 def ledger_pv(ledger: DataFrame) -> DataFrame:
@@ -136,7 +146,7 @@ def ledger_uv(ledger: DataFrame) -> DataFrame:
 def ledger_offset_audit(ledger: DataFrame) -> DataFrame:
     """``(epoch, batch_id, topic, partition, from_offset, until_offset, records)``:
     what every micro-batch read from every partition."""
-    return (ledger.where((F.col("metric") == "offset") & (F.col("batch_id") >= 0))
+    return (ledger.where(F.col("metric") == "offset")
             .select("epoch", "batch_id", "topic", "partition", "from_offset", "until_offset",
                     F.col("delta").alias("records")))
 
@@ -144,119 +154,189 @@ def ledger_offset_audit(ledger: DataFrame) -> DataFrame:
 def ledger_batch_totals(ledger: DataFrame) -> DataFrame:
     """``(epoch, batch_id, records, events)``: lines each micro-batch read and
     how many of them parsed (page views are counted once per parsed line)."""
-    per = ledger.where((F.col("metric").isin("offset", "pv")) & (F.col("batch_id") >= 0))
+    per = ledger.where(F.col("metric").isin("offset", "total")
+                       | ((F.col("metric") == "pv") & (F.col("batch_id") >= 0)))
     return per.groupBy("epoch", "batch_id").agg(
         F.sum(F.when(F.col("metric") == "offset", F.col("delta"))).alias("records"),
-        F.coalesce(F.sum(F.when(F.col("metric") == "pv", F.col("delta"))), F.lit(0))
+        F.coalesce(F.sum(F.when(F.col("metric") != "offset", F.col("delta"))), F.lit(0))
         .cast("bigint").alias("events"))
 
 
 def ledger_positions(ledger: DataFrame) -> DataFrame:
     """``(topic, partition, offset)``: the saved position per partition."""
-    rows = ledger.where(F.col("metric") == "offset").select(
+    rows = ledger.where(F.col("metric").isin("offset", "position")).select(
         "topic", "partition", "until_offset", "epoch", "batch_id")
     return offsets.saved_offsets(rows, keys=())
 
 
-def max_epoch(spark: SparkSession, path: str, schema: str = LEDGER_SCHEMA) -> int | None:
-    """Newest ``epoch`` partition value under ``path`` (``None`` when absent).
+def saved_positions(spark: SparkSession, path: str, snapshot_path: str | None = None) -> DataFrame:
+    """:func:`ledger_positions` without reading the audit that a snapshot keeps:
+    its newest positions and the batches after it."""
+    if snapshot_path is None:
+        return ledger_positions(read_ledger(spark, path))
+    mark, snap = read_snapshot(spark, snapshot_path, ["position"])
+    newer = read_ledger(spark, path).where(commits.after(mark) & (F.col("metric") == "offset"))
+    return ledger_positions(snap.unionByName(newer))
 
-    Only the partition column is requested, so no data pages are read."""
-    try:
-        r = spark.read.schema(schema).parquet(path).agg(F.max("epoch").alias("e")).collect()
-    except Exception:  # noqa: BLE001 - a missing path means "no epoch yet"
-        return None
-    return r[0]["e"] if r else None
+
+def max_epoch(spark: SparkSession, path: str, snapshot_path: str | None = None) -> int | None:
+    """Newest epoch of a ledger, its markers or its snapshot (``None`` when
+    there is none).  Folder names are listed, no data is read; batches that are
+    not whole count too, as their epoch is taken."""
+    root = path.rstrip("/")
+    known = fs.partition_values(spark, f"{root}/metric=*/epoch=*", "epoch")
+    known += fs.partition_values(spark, f"{commits.commits_path(root)}/epoch=*", "epoch")
+    if snapshot_path is not None and (mark := snapshot_watermark(spark, snapshot_path)) is not None:
+        known.append(mark[0])
+    return max(known) if known else None
 
 
 # ---------------------------------------------------------------- compaction
 #
 # Read views are decomposable (sums, union-distinct, newest-epoch maximum), so
-# every batch up to a watermark (epoch, batch_id) can be folded into one
-# snapshot in the ledger's own row format; readers take the newest snapshot
-# plus the batches after its watermark.  The number of partitions a reader
-# lists and the rows it aggregates then stay bounded however long the job runs.
+# the whole batches up to a watermark (epoch, batch_id) can be folded into a
+# snapshot; readers take it and the batches after its watermark.  A snapshot is
+# kept by metric and day: a compaction writes the days its batches touch and
+# refers to the others where they are, so it costs what came since the last one
+# and the days that changed.  What each batch read (offset) and parsed (total)
+# is added, never folded: the audit stays complete.
+#
+# Layout: <snapshot>/rows/metric=<m>/day=<d>/generation=<g> and
+# <snapshot>/manifest/generation=<g>, written last, which names the parts.
 
-SNAPSHOT_SCHEMA = LEDGER_SCHEMA + ", through_epoch INT, through_batch BIGINT, generation BIGINT"
-_LEDGER_COLUMNS = ("metric", "k", "site_id", "member", "delta", "topic", "partition",
-                   "until_offset", "from_offset", "epoch", "batch_id")
+SNAPSHOT_SCHEMA = ("k STRING, site_id STRING, member STRING, delta BIGINT, topic STRING, partition INT, "
+                   "until_offset BIGINT, from_offset BIGINT, epoch INT, batch_id BIGINT, "
+                   "metric STRING, day STRING, generation BIGINT")
+MANIFEST_SCHEMA = ("metric STRING, day STRING, part BIGINT, through_epoch INT, through_batch BIGINT, "
+                   "generation BIGINT")
+ADDED = ("offset", "total")
+ALL_DAYS = "all"
 
 
-def _after(epoch_col, batch_col, through_epoch: int, through_batch: int):
-    return (epoch_col > through_epoch) | ((epoch_col == through_epoch) & (batch_col > through_batch))
+def _manifests(spark: SparkSession, snapshot_path: str) -> DataFrame:
+    return read_parquet_or_empty(spark, MANIFEST_SCHEMA, f"{snapshot_path.rstrip('/')}/manifest")
 
 
-def _newest_snapshot(spark: SparkSession, snapshot_path: str) -> DataFrame | None:
-    snaps = read_parquet_or_empty(spark, SNAPSHOT_SCHEMA, snapshot_path)
-    g = snaps.agg(F.max("generation").alias("g")).collect()[0]["g"]
-    return None if g is None else snaps.where(F.col("generation") == g)
+def _newest_manifest(spark: SparkSession, snapshot_path: str) -> tuple[int, tuple[int, int], DataFrame] | None:
+    """Generation, watermark and ``(metric, day, part)`` of the newest snapshot."""
+    all_ = _manifests(spark, snapshot_path)
+    top = all_.agg(F.max(F.struct("generation", "through_epoch", "through_batch")).alias("m")).first()["m"]
+    if top is None:
+        return None
+    parts = all_.where(F.col("generation") == top["generation"]).select("metric", "day", "part")
+    return int(top["generation"]), (int(top["through_epoch"]), int(top["through_batch"])), parts
 
 
-def _watermark(snap: DataFrame | None) -> tuple[int, int] | None:
-    if snap is None:
-        return None
-    mark = snap.select("through_epoch", "through_batch").limit(1).collect()
-    return (mark[0]["through_epoch"], mark[0]["through_batch"]) if mark else None
+def snapshot_watermark(spark: SparkSession, snapshot_path: str) -> tuple[int, int] | None:
+    newest = _newest_manifest(spark, snapshot_path)
+    return None if newest is None else newest[1]
+
+
+def _snapshot_rows(spark: SparkSession, snapshot_path: str, parts: DataFrame,
+                   metric_names: list[str] | None = None) -> DataFrame:
+    """Rows of the named parts; metrics are pruned as partitions."""
+    rows = read_parquet_or_empty(spark, SNAPSHOT_SCHEMA, f"{snapshot_path.rstrip('/')}/rows")
+    if metric_names is not None:
+        rows = rows.where(F.col("metric").isin(*metric_names))
+    named = parts.withColumnRenamed("part", "generation")
+    return rows.join(named, ["metric", "day", "generation"], "left_semi")
+
+
+def read_snapshot(spark: SparkSession, snapshot_path: str, metric_names: list[str] | None = None
+                  ) -> tuple[tuple[int, int] | None, DataFrame]:
+    """Watermark and rows (the ledger's columns) of the newest snapshot."""
+    newest = _newest_manifest(spark, snapshot_path)
+    if newest is None:
+        return None, spark.createDataFrame([], LEDGER_SCHEMA).select(*_LEDGER_COLUMNS)
+    return newest[1], _snapshot_rows(spark, snapshot_path, newest[2], metric_names).select(*_LEDGER_COLUMNS)
 
 
 def read_compacted(spark: SparkSession, ledger_path: str, snapshot_path: str) -> DataFrame:
-    """The ledger as seen through its newest snapshot: snapshot rows plus the
-    batches after the snapshot's watermark (same columns as :func:`read_ledger`)."""
-    led = read_ledger(spark, ledger_path)
-    snap = _newest_snapshot(spark, snapshot_path)
-    mark = _watermark(snap)
-    if mark is None:
-        return led
-    newer = led.where(_after(F.col("epoch"), F.col("batch_id"), *mark)
-                      | (F.col("metric") == "batch_date"))
-    return snap.select(*_LEDGER_COLUMNS).unionByName(newer.select(*_LEDGER_COLUMNS))
+    """The ledger as seen through its newest snapshot: its rows plus the whole
+    batches after its watermark (same columns as :func:`read_ledger`)."""
+    mark, snap = read_snapshot(spark, snapshot_path)
+    newer = read_ledger(spark, ledger_path).where(commits.after(mark))
+    return snap.unionByName(newer)
 
 
 def compact_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) -> tuple[int, int] | None:
-    """Fold the newest snapshot and every batch after it, up to the newest
-    ``(epoch, batch_id)`` present, into a new snapshot generation; returns the
-    watermark (the previous one when there is nothing new, ``None`` when empty).
-
-    Batches written while this runs are either inside the watermark (complete:
-    a batch partition becomes visible only when its write commits) or after it.
-    The ledger itself is never modified; batch partitions a snapshot covers can
-    be removed by retention.  ``batch_date`` rows are kept as they are.
-    """
-    led = read_ledger(spark, ledger_path).where(F.col("metric") != "batch_date")
-    snap = _newest_snapshot(spark, snapshot_path)
-    prev = _watermark(snap)
-    fresh = led if prev is None else led.where(_after(F.col("epoch"), F.col("batch_id"), *prev))
-    top = fresh.agg(F.max(F.struct("epoch", "batch_id")).alias("m")).collect()[0]["m"]
+    """Fold the whole batches since the last snapshot into a new one; returns
+    its watermark (the previous one when there is nothing new, ``None`` when
+    empty).  Batches without their marker stay for a later compaction.  The
+    ledger itself is not changed: see :func:`retain_ledger`."""
+    newest = _newest_manifest(spark, snapshot_path)
+    generation, mark, parts = newest if newest is not None else (-1, None, None)
+    top = commits.newest_after(spark, ledger_path, mark)
     if top is None:
-        return prev
-    e, b = int(top["epoch"]), int(top["batch_id"])
-    upto = fresh.where(~_after(F.col("epoch"), F.col("batch_id"), e, b)).select(*_LEDGER_COLUMNS)
-    if snap is not None:
-        upto = snap.select(*_LEDGER_COLUMNS).unionByName(upto)
+        return mark
+    fresh = read_ledger(spark, ledger_path).where(commits.after(mark) & ~commits.after(top))
     m = F.col("metric")
-    sums = (upto.where(m.isin("pv", "site_pv"))
-            .groupBy("metric", "k", "site_id").agg(F.sum("delta").alias("delta")))
-    members = (upto.where(m == "uv").select("metric", "k", "member").distinct()
+    day = F.when(m.isin("pv", "site_pv", "uv"), F.substring("k", 1, 10)).otherwise(F.lit(ALL_DAYS))
+    fresh = fresh.where(m.isin("pv", "site_pv", "uv", "offset")).withColumn("day", day)
+    folded = fresh.where(m != "offset").select(*_LEDGER_COLUMNS, "day")
+    moved = (fresh.where(m == "offset").withColumn("metric", F.lit("position"))
+             .select(*_LEDGER_COLUMNS, "day"))
+    touched = folded.unionByName(moved)
+    if parts is not None:
+        # earlier rows of the metrics and days that these batches touch
+        changed = touched.select("metric", "day").distinct()
+        before = _snapshot_rows(spark, snapshot_path, parts.join(changed, ["metric", "day"], "left_semi"))
+        touched = touched.unionByName(before.where(~m.isin(*ADDED)).select(*_LEDGER_COLUMNS, "day"))
+    none = F.lit(None)
+    sums = (touched.where(m.isin("pv", "site_pv")).groupBy("metric", "day", "k", "site_id")
+            .agg(F.sum("delta").alias("delta")))
+    members = (touched.where(m == "uv").select("metric", "day", "k", "member").distinct()
                .withColumn("delta", F.lit(1).cast("bigint")))
-    positions = (upto.where(m == "offset")
-                 .groupBy("metric", "topic", "partition")
+    positions = (touched.where(m == "position").groupBy("metric", "day", "topic", "partition")
                  .agg(F.max(F.struct("epoch", "until_offset")).alias("last"))
-                 .select("metric", "topic", "partition",
-                         F.col("last.until_offset").alias("until_offset"),
+                 .select("metric", "day", "topic", "partition", F.col("last.until_offset").alias("until_offset"),
                          F.col("last.epoch").alias("epoch")))
+    audit = fresh.where(m == "offset").select(*_LEDGER_COLUMNS, "day")
+    totals = (fresh.where(m == "pv").groupBy("epoch", "batch_id").agg(F.sum("delta").alias("delta"))
+              .select(F.lit("total").alias("metric"), F.lit(ALL_DAYS).alias("day"), "epoch", "batch_id", "delta"))
     rows = (sums.unionByName(members, allowMissingColumns=True)
-            .unionByName(positions, allowMissingColumns=True))
-    generation = 0 if snap is None else int(snap.agg(F.max("generation")).collect()[0][0]) + 1
-    types = (("k", "string"), ("site_id", "string"), ("member", "string"), ("delta", "bigint"),
-             ("topic", "string"), ("partition", "int"), ("until_offset", "bigint"),
-             ("from_offset", "bigint"), ("metric", "string"))
-    out = rows.select(
-        *[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in types],
-        F.coalesce(F.col("epoch"), F.lit(e)).cast("int").alias("epoch"),
-        F.lit(-1).cast("bigint").alias("batch_id"),
-        F.lit(e).cast("int").alias("through_epoch"),
-        F.lit(b).cast("bigint").alias("through_batch"),
-        F.lit(generation).cast("bigint").alias("generation"))
+            .unionByName(positions, allowMissingColumns=True)
+            .unionByName(audit, allowMissingColumns=True)
+            .unionByName(totals, allowMissingColumns=True))
+    kinds = [(f.name, f.dataType) for f in spark.createDataFrame([], SNAPSHOT_SCHEMA).schema.fields]
+    out = rows.withColumn("generation", F.lit(generation + 1).cast("bigint"))
+    out = out.select(*[(F.col(c) if c in out.columns else none).cast(t).alias(c) for c, t in kinds])
+    out = out.withColumn("batch_id", F.coalesce("batch_id", F.lit(-1).cast("bigint")))
+    out = out.withColumn("epoch", F.coalesce("epoch", F.lit(top[0])))
+    root = snapshot_path.rstrip("/")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("generation").parquet(snapshot_path))
-    return e, b
+     .partitionBy("metric", "day", "generation").parquet(f"{root}/rows"))
+    new = (read_parquet_or_empty(spark, SNAPSHOT_SCHEMA, f"{root}/rows").where(F.col("generation") == generation + 1)
+           .select("metric", "day", F.col("generation").alias("part")).distinct())
+    if parts is not None:
+        replaced = new.where(~m.isin(*ADDED)).select("metric", "day")
+        new = new.unionByName(parts.join(replaced, ["metric", "day"], "left_anti"))
+    (new.withColumn("through_epoch", F.lit(top[0])).withColumn("through_batch", F.lit(top[1]).cast("bigint"))
+     .withColumn("generation", F.lit(generation + 1).cast("bigint")).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("generation").parquet(f"{root}/manifest"))
+    return top
+
+
+def retain_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) -> int:
+    """Remove what a snapshot has made redundant: the ledger's batches up to
+    its watermark, snapshot parts that neither of the two newest manifests
+    names, and older manifests.  Returns the folders removed."""
+    gone = commits.remove_covered(spark, ledger_path, "metric=*", snapshot_watermark(spark, snapshot_path))
+    root = snapshot_path.rstrip("/")
+    generations = fs.partition_values(spark, f"{root}/manifest/generation=*", "generation")
+    keep = set(generations[-2:])
+    named = {(r["metric"], r["day"], r["part"]) for r in
+             _manifests(spark, snapshot_path).where(F.col("generation").isin(*keep)).select("metric", "day", "part").distinct().collect()
+             } if keep else set()
+    newest = max(generations, default=-1)
+    for folder in fs.folders(spark, f"{root}/rows/metric=*/day=*/generation=*"):
+        at = fs.partition_of(folder)
+        part = int(at["generation"])
+        if part <= newest and (at["metric"], at["day"], part) not in named:
+            fs.remove(spark, folder)
+            gone += 1
+    for g in generations[:-2]:
+        fs.remove(spark, f"{root}/manifest/generation={g}")
+        gone += 1
+    return gone

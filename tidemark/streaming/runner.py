@@ -3,6 +3,7 @@
 * :func:`run_available` - start with ``trigger(availableNow=True)`` (process
   everything present, in bounded micro-batches, then stop) and wait; a failed
   query re-raises.
+* :func:`run_batches` - the same for a ``foreachBatch`` body.
 * :func:`resolve_epoch` - the *epoch* of a checkpoint: a number that stays the
   same while a checkpoint is resumed and grows when a new checkpoint starts, so
   ledger rows are ordered by ``(epoch, batch_id)`` even though ``batch_id``
@@ -11,17 +12,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.sources.files import read_parquet_or_empty
 
 EPOCH_SCHEMA = "epoch INT"
 
-
-class InjectedFailure(RuntimeError):
-    """Raised on purpose after a batch's write (crash/replay tests)."""
-
+BatchFn = Callable[[DataFrame, int], None]
 
 ROCKSDB_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -77,6 +77,13 @@ def run_available(writer: DataStreamWriter, processing_time: str | None = None,
     return q
 
 
+def run_batches(records: DataFrame, write: BatchFn, checkpoint: str,
+                processing_time: str | None = None) -> StreamingQuery:
+    """Run ``write`` for each micro-batch of ``records`` on ``checkpoint``."""
+    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return run_available(writer, processing_time)
+
+
 def default_state_partitions(spark: SparkSession) -> int:
     """One state partition per core available to the application."""
     return int(spark.sparkContext.defaultParallelism)
@@ -91,13 +98,17 @@ def read_epoch(spark: SparkSession, checkpoint: str) -> int | None:
     return rows[0]["epoch"] if rows else None
 
 
+def record_epoch(spark: SparkSession, checkpoint: str, epoch: int) -> int:
+    """Write a checkpoint's epoch next to it, so that restarts reuse it."""
+    spark.createDataFrame([(int(epoch),)], EPOCH_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        _epoch_marker(checkpoint))
+    return int(epoch)
+
+
 def resolve_epoch(spark: SparkSession, checkpoint: str, newest_known: int | None) -> int:
     """Epoch of ``checkpoint``: its recorded one, or ``newest_known + 1`` for a
-    new checkpoint (recorded next to it so restarts reuse it)."""
+    new checkpoint."""
     e = read_epoch(spark, checkpoint)
     if e is not None:
         return e
-    e = 0 if newest_known is None else newest_known + 1
-    spark.createDataFrame([(e,)], EPOCH_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-        _epoch_marker(checkpoint))
-    return e
+    return record_epoch(spark, checkpoint, 0 if newest_known is None else newest_known + 1)
