@@ -131,6 +131,34 @@ def test_starting_offsets_json(spark):
     assert whole == {"a": {"2": 7, "10": 5}, "b": {"0": 1}}
 
 
+@pytest.mark.parametrize("text,seconds", [("5 seconds", 5), ("1 minute", 60), ("2 minutes", 120), ("500 milliseconds", 0.5),
+                                          ("500 ms", 0.5), ("1 hour", 3600), ("1.5 sec", 1.5)])
+def test_intervals_have_units(text, seconds):
+    from tidemark.__main__ import interval_seconds
+    assert interval_seconds(text) == pytest.approx(seconds)
+    assert kafka.max_offsets_per_trigger(10, interval_seconds(text), 3) == max(1, int(30 * seconds))
+
+
+@pytest.mark.parametrize("text", ["5", "five seconds", "3 fortnights", "", "0 seconds", "-1 second"])
+def test_unknown_intervals_are_refused(text):
+    from tidemark.__main__ import interval_seconds
+    with pytest.raises(SystemExit):
+        interval_seconds(text)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_decode_gives_the_utc_clock_in_any_session(spark, zone):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        raw = spark.sql("SELECT 't' AS topic, 0 AS partition, 0L AS offset, CAST(NULL AS BINARY) AS key, "
+                        "CAST('x' AS BINARY) AS value, timestamp_micros(1704139200123456) AS timestamp")
+        ts = kafka.decode(raw).selectExpr("cast(ts as string) AS t", "date_format(ts, 'yyyy-MM-dd') AS d").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+    assert (ts["t"], ts["d"]) == ("2024-01-01 20:00:00.123456", "2024-01-01")
+
+
 def test_kafka_options():
     o = kafka.reader_options("h:9092", topic="t", starting_offsets='{"t":{"0":5}}',
                              max_offsets=kafka.max_offsets_per_trigger(10, 5, 3))
@@ -225,7 +253,13 @@ def test_launcher_arguments():
                     "--max-rate-per-partition", "10", "--partitions", "3"])
     assert (a.job, a.brokers, a.topic, a.database, a.table, a.date_mode) == \
         ("ingest", "b1:9092,b2:9092", "events", "kafka_db", "landing", "batch")
-    assert a.max_rate_per_partition == 10 and a.partitions == 3
+    assert a.max_rate_per_partition == 10 and a.partitions == 3 and not a.hive and a.bounds is None
+    b = parse_args(["ingest", "b:9092", "events", "db", "t", "--bounds", "/x", "--hive"])
+    assert b.hive and b.bounds == "/x"
+    m = parse_args(["maintain", "events", "db", "t"])
+    assert (m.job, m.topic, m.database, m.table) == ("maintain", "events", "db", "t")
+    with pytest.raises(SystemExit):
+        parse_args(["positions", "b:9092", "events", "--trigger", "soon"])
     c = parse_args(["counters", "b:9092", "access_log", "--trigger", "10 seconds",
                     "--compact-every", "720"])
     assert (c.job, c.trigger, c.compact_every) == ("counters", "10 seconds", 720)
