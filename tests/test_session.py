@@ -33,3 +33,27 @@ def test_cluster_session_without_checkpoint_dir_is_refused(monkeypatch, spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_root(FakeSession())
+
+
+def test_existing_settings_win(spark):
+    keys = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.session.timeZone": "Asia/Tokyo"}
+    previous = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        again = session.build_session(app_name="again")
+        assert {k: again.conf.get(k) for k in keys} == keys
+        given = session.build_session(extra={"spark.sql.session.timeZone": "UTC"})
+        assert given.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        for k, v in previous.items():
+            spark.conf.set(k, v)
+
+
+def test_hive_catalog_is_an_option(monkeypatch):
+    seen = []
+    monkeypatch.setattr(session.SparkSession.Builder, "enableHiveSupport", lambda self: seen.append(1) or self)
+    session.build_session()
+    assert not seen
+    session.build_session(hive=True)
+    assert seen

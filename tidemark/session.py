@@ -14,10 +14,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults applied only when we build the session ourselves.  On a cluster the
-# submitter's settings win: ``build_session`` never overrides an existing value.
+# submitter's settings win: ``build_session`` sets only what is unset.
 LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -35,14 +36,28 @@ LOCAL_DEFAULTS = {
 
 def build_session(master: str | None = None, app_name: str = "tidemark",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Return a session with the library's defaults (existing settings win)."""
+                  extra: dict[str, str] | None = None, hive: bool = False) -> SparkSession:
+    """Return a session with the library's defaults.
+
+    Defaults fill in what the submitter left unset (``spark-submit --conf``,
+    ``spark-defaults.conf``) and what a session that is already running has not
+    set; ``extra`` always holds.  ``hive`` keeps the catalog in the Hive
+    metastore, where other applications see its tables.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     conf = dict(LOCAL_DEFAULTS)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    running = SparkSession.getActiveSession()
+    if running is None and "PYSPARK_GATEWAY_PORT" in os.environ:
+        SparkContext._ensure_initialized()  # under spark-submit: its settings become readable
+    given = running.sparkContext.getConf() if running is not None else SparkConf()
+    conf = {k: v for k, v in conf.items()
+            if given.get(k, None) is None and (running is None or running.conf.get(k, None) is None)}
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
