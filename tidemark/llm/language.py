@@ -329,10 +329,9 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     return in_arrow(docs.select("row", "text"), run, fields(docs.schema["row"].dataType, "text string, lang_pred string, score double"))
 
 
-def identified(docs: DataFrame, net: Network | None = None) -> DataFrame:
+def identified(docs: DataFrame, net: Network | None) -> DataFrame:
     """``(row, text, lang_pred, score)`` for each document; ``row`` has its
-    other columns.  The network is trained on ``docs`` if none is given."""
-    net = fit(docs) if net is None else net
+    other columns.  Without a network (nothing to learn from) all are ``und``."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     return predict(docs.select(F.struct(*rest).alias("row"), "text"), net)
 
