@@ -103,8 +103,10 @@ def folded(word: Column) -> Column:
 
 
 def pairs_of(word: Column) -> Column:
-    n = F.length(word)
-    return F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(word, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    """The neighbouring characters, in time linear in the word."""
+    chars = F.filter(F.split(word, ""), lambda c: c != "")
+    both = F.zip_with(chars, F.slice(chars, F.lit(2), F.size(chars)), lambda a, b: F.concat(a, b))
+    return F.filter(both, lambda p: p.isNotNull())
 
 
 def language_tables(docs: DataFrame) -> tuple[Column, Column]:
@@ -165,7 +167,7 @@ def ruled(found: DataFrame) -> DataFrame:
     """Findings that the rule labels; the others stay unlabelled."""
     secret = F.col("token").rlike(ISSUED) | (F.col("before").rlike(ASSIGNED) & F.col("token").rlike("[0-9]") & (F.size(F.array_distinct(F.split("token", ""))) >= 8))
     clean = (F.col("token").rlike(r"^[0-9_+/-]+$") | F.col("token").rlike(r"^[A-Z_+/-]+$") & ~F.col("token").rlike(ISSUED)
-             | F.col("before").rlike(_PLAIN + r"\W{0,3}$") | F.col("token").rlike(r"^(?:[a-z]+[/_-]+)+[a-z0-9]*$"))
+             | F.col("before").rlike(_PLAIN + r"\W{0,3}$") | F.col("token").rlike(r"^(?:[a-z]++[/_-]++)++[a-z0-9]*$"))
     label = F.when(secret, 1.0).when(clean, 0.0)
     return found.withColumn("label", label).where(F.col("label").isNotNull()).select("token", "before", "after", "path", "label")
 
