@@ -279,7 +279,8 @@ def rewritten(kind: int, span: str, rng: np.random.Generator) -> list[tuple[str,
                 (sep.join(broken[i:i + 4] for i in range(0, len(broken), 4)), 0), (broken, 0)]
     if KINDS[kind] == "ip":
         v6 = ":".join(f"{x:04x}" for x in rng.integers(0, 65536, 8))
-        return [(v6, 1), (f"{random[:3]}.{9}{random[3:5]}.{random[5]}.{random[6:8]}", 0), (f"{random[0]}.{random[1]}.{random[2]}", 0)]
+        high, low = rng.integers(256, 1000, 3), rng.integers(0, 256, 3)
+        return [(v6, 1), *[(f"{a}.{low[0]}.{low[1]}.{low[2]}", 0) for a in high[:2]], (f"{low[0]}.{low[1]}.{high[2]}.{low[2]}", 0), (f"{random[0]}.{random[1]}.{random[2]}", 0)]
     if KINDS[kind] == "email":
         user, _, host = span.partition("@")
         name, _, tld = host.rpartition(".")
@@ -293,8 +294,9 @@ def training_rows(text: str, seed: int) -> tuple[list[list[float]], list[int]]:
     found = candidates(text)
     firm = [s for s in found if s.base]
     for s in found:
-        if not s.base and KINDS[s.kind] not in ("card", "ip") and not any(overlap(s, b) for b in firm):
-            continue  # neither passed nor failed a check, nor part of another kind's span
+        if not s.base and (any(overlap(s, b) and b.kind == s.kind for b in firm)
+                           or KINDS[s.kind] not in ("card", "ip") and not any(overlap(s, b) for b in firm)):
+            continue  # part of a span of its kind, or neither passed nor failed a check
         xs.append(features(text, s))
         ys.append(int(s.base))
         if s.base:
