@@ -45,13 +45,13 @@ def kept_of(state, docs):
 def test_insertions_and_deletions_are_reversible(spark):
     docs = documents(spark)
     a, b = docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 3 = 0")
-    one = lines.LineState.empty(spark, min_docs=8, shards=4).insert(a)
+    one = lines.LineState.empty(spark, min_docs=14, shards=4).insert(a)
     both = one.insert(b)
     back = both.delete(b)
     assert state_of(back) == state_of(one)
     assert kept_of(back, a) == kept_of(one, a)
     assert kept_of(both, a) != kept_of(one, a)  # the line is frequent with both only
-    assert state_of(both) == state_of(lines.LineState.empty(spark, min_docs=8, shards=4).insert(docs.where("doc_id is not null")))
+    assert state_of(both) == state_of(lines.LineState.empty(spark, min_docs=14, shards=4).insert(docs.where("doc_id is not null")))
     assert state_of(both.delete(docs.where("doc_id is not null"))) == []
 
 
