@@ -86,3 +86,39 @@ def test_bits_hold_what_they_were_given(spark):
     assert bits.holds(h[:5000].view(np.uint64)).all()
     assert bits.holds(h[5000:].view(np.uint64)).mean() < 0.15
     assert not substrings.bits_of(spark.createDataFrame([], "h long")).holds(h.view(np.uint64)).any()
+
+
+def test_tree_of_sorted_suffixes(spark):
+    rng = random.Random(7)
+    rows_ = [" ".join(rng.choice(["a", "b", "é"]) for _ in range(rng.randint(6, 12))) for _ in range(60)]
+    words, begin = substrings.word_numbers(substrings.pa.array(rows_))
+    group = np.repeat(np.arange(60) // 20, np.diff(begin) - 5)
+    at = np.concatenate([np.arange(a, b - 5) for a, b in zip(begin, begin[1:], strict=False)])
+    by, lcp = substrings.suffix_tree(group, words, at, 6)
+    branch = [(int(group[i]), *words[at[i]:at[i] + 6].tolist()) for i in by]
+    assert branch == sorted(branch)
+    for x, a, b in zip(lcp[1:], branch, branch[1:], strict=False):
+        assert x == (next((i for i in range(6) if a[i + 1] != b[i + 1]), 6) if a[0] == b[0] else 0)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1000])
+def test_nodes_branch_by_words(spark, chunk):
+    # one group: rows that differ in the last word only are no repeat, whatever their hashes
+    data = [(5, i, i, 0, 0, f"a b c d {x}") for i, x in enumerate("xyzxyxw")] + [(6, 9, 9, 4, 0, "a b c d x"), (7, 3, 3, 2, 1, "")]
+    df = spark.createDataFrame(data, substrings._SUFFIXES)
+    assert sorted(r.ord for r in substrings.repeats(df, 5, chunk).collect()) == [3, 3, 4, 5]
+
+
+def test_prefixes_are_lengthened_by_suffixes(spark):
+    # a prefix repeated very often inside two documents
+    data = [(i, " ".join(f"p q r {j % 7} {j % 90} s" for j in range(600))) for i in (1, 2)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    counts = substrings.counted_prefixes(df, 13, 3).collect()
+    assert max(r.n for r in counts) == 2 and sum(r.suffixes for r in counts) == 2 * (3600 - 12)
+    large = substrings.bits_of(spark.createDataFrame([r for r in counts if r.suffixes > 40]).select("h"))
+    more = substrings.counted_longer(df, large, 13, 3).where("suffixes > 40").select("h")
+    both = substrings.bits_of(spark.createDataFrame([r for r in counts if r.suffixes > 40]).select("h").unionByName(more))
+    docs = df.selectExpr("doc_id", "xxhash64(doc_id) as k1", "text")
+    groups = substrings.suffixes(docs, large, both, 13, 3).where("words != ''").groupBy("key").agg(substrings.F.countDistinct("words").alias("w"), substrings.F.count("*").alias("n"))
+    assert groups.where("n > 40 and w > 1").isEmpty() and not groups.where("w > 1").isEmpty()
+    assert got(substrings.without_repeats(df, 13, 3, 40).selectExpr("row.doc_id", "n_words", "n_removed", "sha2(kept, 256) as kept_sha256")) == expected(data)

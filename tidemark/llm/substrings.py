@@ -9,22 +9,30 @@ least ``PREFIX``-word hash, at the same place in both.  So
 
 1. the sampled prefixes of all texts are counted, and those of a single
    document are leaves of their own, which hold no repeat;
-2. suffixes with a repeated prefix go to the group of that prefix.  A prefix of
-   more than ``GROUP`` suffixes is lengthened to a whole window, so that a
-   group's distinct branches fit in memory;
-3. in a group, branches are followed to the depth of a window, by fingerprints
-   of all its words.  A node of that depth with several documents below it is
-   a repeat; its least document keeps the words.  Chained along a document,
-   the windows of deep nodes are its maximal repeats.
+2. suffixes with a repeated prefix go to the group of that prefix.  Where that
+   has more than ``GROUP`` suffixes, they go by their own first words instead,
+   ``STEP`` more of them until a group fits; at the length of a window a group
+   is a single node, whatever its size;
+3. in a group, the suffixes are sorted by their words and the common prefixes
+   of neighbours (LCPs) give the tree.  An internal node of window depth or
+   more with several documents below it is a repeat; its least document keeps
+   the words.
+
+A tree is cut at the depth of a window: what lies below has the same or a
+greater least document and removes no other word.  So a repeat longer than a
+window is a chain of windows, one for each of its suffixes, and ``spans`` are
+the ranges that the chains of a document cover together: repeats that touch or
+overlap, also of different documents, make one span.
 
 Whether a prefix is repeated (or large) reaches the tasks as bits of a table
 of at most ``MOST_BITS``, the only thing that is broadcast.  A bit may be set
 by another prefix: that sends a suffix to a group in vain, or lengthens a
 prefix without need, and changes no result.
 
-Windows that an Arrow batch holds several times are decided there for all but
-the least document, so that a passage of a third of all documents sends one
-row a batch.  Groups are read in order and keep one entry a branch.
+Windows that an Arrow batch holds several times are decided there, by 64-bit
+fingerprints, for all but the least document, so that a passage of a third of
+all documents sends one row a batch.  Groups are read in order, ``CHUNK`` rows
+at a time; of a group that goes on, the rows of each node's least document stay.
 
 Defined cases: a null or empty text has no words; a null ``doc_id`` counts as
 the largest; documents of the same id are no smaller than one another, so
@@ -38,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +55,8 @@ from tidemark.llm.common import as_array, column, column_bytes, fields, in_arrow
 
 WORDS = 13
 PREFIX = 5
-GROUP = 50_000
+#: Suffixes of a group, words by which a prefix is lengthened, rows that are sorted at once.
+GROUP, STEP, CHUNK = 50_000, 2, 20_000
 #: Bits for each repeated prefix, and of the whole table at most (32 MB).
 BITS_EACH, MOST_BITS = 16, 1 << 28
 SEGMENT_BITS = 1 << 16
@@ -79,11 +89,11 @@ class Texts:
     ``doc`` (the text's number)."""
 
     def __init__(self, texts: list[bytes], n: int, prefix: int):
-        split = [t.split() for t in texts]
+        split = self.split = [t.split() for t in texts]
         self.counts = np.array([len(w) for w in split], np.int64)
         self.begin = np.concatenate(([0], np.cumsum(self.counts)[:-1])).astype(np.int64)
         words = np.fromiter(map(xxhash.xxh3_64_intdigest, (w for ws in split for w in ws)), np.uint64, int(self.counts.sum()))
-        self.windows = rolling(words, n)
+        self.words, self.windows = words, rolling(words, n)
         self.prefixes = rolling(words, prefix)
         room = np.maximum(self.counts - n + 1, 0)
         self.doc = np.repeat(np.arange(len(texts)), room)
@@ -97,17 +107,49 @@ class Texts:
 
 
 def counted_prefixes(docs: DataFrame, n: int = WORDS, prefix: int = PREFIX) -> DataFrame:
-    """``(h, n)``: sampled prefixes and the documents that hold them."""
+    """``(h, n, suffixes)``: sampled prefixes, the documents that hold them and
+    the suffixes that sample them."""
     small_batches(docs.sparkSession)
 
     def run(batch: pa.RecordBatch) -> dict:
         t = Texts(column_bytes(batch, "text"), n, prefix)
-        sampled = np.flatnonzero(np.concatenate(([True], np.diff(t.at) != 0))) if len(t.at) else np.zeros(0, np.int64)
-        pairs = np.unique(np.stack((t.prefix[sampled], t.doc[sampled].astype(np.uint64)), axis=1), axis=0)
-        h, count = np.unique(pairs[:, 0], return_counts=True)
-        return {"h": h.view(np.int64), "n": count}
+        by = np.lexsort((t.doc, t.prefix))
+        h, doc = t.prefix[by], t.doc[by]
+        first = np.diff(h, prepend=h[:1] + np.uint64(1)) != 0
+        edges = np.flatnonzero(first)
+        count = np.add.reduceat((first | (np.diff(doc, prepend=-1) != 0)).astype(np.int64), edges) if len(h) else edges
+        return {"h": h[edges].view(np.int64), "n": count, "suffixes": np.diff(np.append(edges, len(h)))}
 
-    return in_arrow(docs.select("text"), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    found = in_arrow(docs.select("text"), run, "h long, n long, suffixes long")
+    return found.groupBy("h").agg(F.sum("n").alias("n"), F.sum("suffixes").alias("suffixes"))
+
+
+def lengths(n: int, prefix: int) -> range:
+    """The lengths between a sampled prefix and a whole window."""
+    return range(prefix + STEP, n, STEP)
+
+
+def longer(t: Texts, rows: np.ndarray, length: int) -> np.ndarray:
+    """The first ``length`` words of the suffixes ``rows``, within the group
+    of their sampled prefix."""
+    return mixed((rolling(t.words, length)[t.start[rows]] + np.uint64(length)) * _BASE ^ t.prefix[rows])
+
+
+def counted_longer(docs: DataFrame, large: Bits, n: int = WORDS, prefix: int = PREFIX) -> DataFrame:
+    """``(h, suffixes)``: the longer prefixes of suffixes whose sampled prefix
+    is large, and how many suffixes have them."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(large)
+
+    def run(batch: pa.RecordBatch) -> dict | None:
+        t = Texts(column_bytes(batch, "text"), n, prefix)
+        rows = np.flatnonzero(shared.value.holds(t.prefix))
+        if not len(rows):
+            return None
+        h, count = np.unique(np.concatenate([t.prefix[:0], *(longer(t, rows, p) for p in lengths(n, prefix))]), return_counts=True)
+        return {"h": h.view(np.int64), "suffixes": count}
+
+    return in_arrow(docs.select("text"), run, "h long, suffixes long").groupBy("h").agg(F.sum("suffixes").alias("suffixes"))
 
 
 # -- bits ---------------------------------------------------------------------------
@@ -153,14 +195,15 @@ def bits_of(hashes: DataFrame) -> Bits:
 
 # -- groups -------------------------------------------------------------------------
 
-_SUFFIXES = "key long, ord long, k1 long, start int, sure int, prints binary"
+_SUFFIXES = "key long, ord long, k1 long, start int, sure int, words string"
 
 
 def suffixes(docs: DataFrame, repeated: Bits, large: Bits, n: int = WORDS, prefix: int = PREFIX) -> DataFrame:
-    """A row for each sampled suffix that may repeat: its group ``key``, the
-    document ``(ord, k1)``, the ``start`` of its first window, the
-    fingerprints of its windows in a row, and as bits those that are ``sure``
-    to repeat a smaller document of the same batch."""
+    """A row for the suffixes in a row that sample the same place and may
+    repeat: their group ``key``, the document ``(ord, k1)``, the ``start`` of
+    the first, their ``words`` up to the last one's window, and as bits those
+    that are ``sure`` to repeat a smaller document of the same batch.
+    ``large`` holds the prefixes, sampled and longer, of too many suffixes."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     shared_repeated, shared_large = spark.sparkContext.broadcast(repeated), spark.sparkContext.broadcast(large)
@@ -187,55 +230,96 @@ def suffixes(docs: DataFrame, repeated: Bits, large: Bits, n: int = WORDS, prefi
         mask = np.bitwise_or.reduceat(sure.astype(np.int32) << nth.astype(np.int32), edges)
         size = np.diff(np.append(edges, len(rows)))
         settled = mask == (1 << size) - 1
-        key = np.where(alone[edges], mixed(h[edges] * _BASE ^ prints[edges]), h[edges])
+        key = h[edges]
+        long = np.flatnonzero(alone[edges])
+        for p in (*lengths(n, prefix), n):
+            if not len(long):
+                break
+            key[long] = longer(t, rows[edges[long]], p)
+            long = long[shared_large.value.holds(key[long])]
         # what is settled needs no group: it is dealt out by its place
         key = np.where(settled, mixed(start[edges].astype(np.uint64) * _BASE + k1[doc[edges]].view(np.uint64)), key)
-        flat = prints.tobytes()
-        ends = np.append(edges, len(rows))
-        return {"key": key.view(np.int64), "ord": ords[doc[edges]], "k1": k1[doc[edges]],
-                "start": (start[edges] - t.begin[doc[edges]]).astype(np.int32), "sure": mask.astype(np.int32),
-                "prints": [b"" if s else flat[8 * a:8 * b] for s, a, b in zip(settled, ends[:-1], ends[1:], strict=True)]}
+        own, first = doc[edges], start[edges] - t.begin[doc[edges]]
+        text = [b"" if s else b" ".join(t.split[d][a:a + w])
+                for s, d, a, w in zip(settled.tolist(), own.tolist(), first.tolist(), (size + n - 1).tolist(), strict=True)]
+        return {"key": key.view(np.int64), "ord": ords[own], "k1": k1[own], "start": first.astype(np.int32), "sure": mask.astype(np.int32),
+                "words": pa.array(text, pa.binary()).cast(pa.string())}
 
     return in_arrow(docs.select(order().alias("ord"), F.col("k1"), "text"), run, _SUFFIXES)
 
 
-def repeats(rows: DataFrame) -> DataFrame:
+def suffix_tree(group: np.ndarray, words: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The trees of groups of suffixes, which start ``at`` places of
+    ``words``: the suffixes' order by group and words, and the LCP of each
+    with the one before it, both to ``depth``."""
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    branch = words[at[:, None] + np.arange(depth)]
+    bits = max(1, int(words.max()).bit_length())
+    each = 63 // bits
+    keys = []
+    for a in range(0, depth, each):
+        key = np.zeros(len(at), np.int64)
+        for t in range(a, min(a + each, depth)):
+            key = key << bits | branch[:, t]
+        keys.append(key)
+    by = np.lexsort((*reversed(keys), group))
+    branch, group = branch[by], group[by]
+    same = branch[1:] == branch[:-1]
+    lcp = np.where(same.all(axis=1), depth, same.argmin(axis=1))
+    return by, np.concatenate(([0], np.where(group[1:] == group[:-1], lcp, 0)))
+
+
+def word_numbers(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words of rows side by side, equal words by equal numbers, and
+    where each row begins and the last ends."""
+    lists = pc.split_pattern(rows, " ")
+    return lists.values.dictionary_encode().indices.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        kept.append(batch)
+        if sum(b.num_rows for b in kept) >= rows:
+            yield pa.Table.from_batches(kept)
+            kept = []
+    if sum(b.num_rows for b in kept):
+        yield pa.Table.from_batches(kept)
+
+
+def repeats(rows: DataFrame, n: int = WORDS, chunk: int = CHUNK) -> DataFrame:
     """``(ord, k1, start, mask)``: bits of the windows from ``start`` on that a
     smaller document holds too.  Each task reads its groups in order."""
     dealt = rows.repartition("key").sortWithinPartitions("key", "ord")
 
     def deep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # branches of the group that may go on: its key, their fingerprints and least documents
-        open_key, branch, least = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, ords, mask = longs(batch, "key"), longs(batch, "ord"), longs(batch, "sure").copy()
-            prints = column(batch, "prints").to_pylist()
-            size = np.array([len(p) // 8 for p in prints], np.int64)
-            flat = np.frombuffer(b"".join(prints), np.uint64)
+        # rows of the group that may go on: its key, their least documents and words
+        open_key, open_ord, open_words = None, np.zeros(0, np.int64), pa.array([], pa.string())
+        for table in chunks(batches, chunk):
+            key, ords, mask = (table[c].to_numpy() for c in ("key", "ord", "sure"))
+            mask = mask.copy()
+            skip = len(open_ord) if key[0] == open_key else 0
+            key, ords = np.concatenate((np.full(skip, key[0]), key)), np.concatenate((open_ord[:skip], ords))
+            text = pa.concat_arrays([open_words[:skip], *(as_array(c, pa.string()) for c in table["words"].chunks)])
+            words, begin = word_numbers(text)
+            size = np.maximum(np.diff(begin) - n + 1, 0)
             owner = np.repeat(np.arange(len(key)), size)
-            nth = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-            # all nodes of window depth: equal group and fingerprint, with what is open put before
-            is_open = key[0] == open_key
-            k = np.concatenate((np.full(len(branch), key[0]) if is_open else key[:0], key[owner]))
-            p = np.concatenate((branch if is_open else branch[:0], flat))
-            o = np.concatenate((least if is_open else least[:0], ords[owner]))
-            skip = len(p) - len(flat)
-            by = np.lexsort((o, p, k))
-            first = np.concatenate(([True], (np.diff(k[by]) != 0) | (np.diff(p[by]) != 0))) if len(by) else np.zeros(0, bool)
-            low = np.empty(len(p), np.int64)
-            low[by] = o[by][np.flatnonzero(first)][np.cumsum(first) - 1]
-            hit = np.flatnonzero(o[skip:] > low[skip:])
-            np.bitwise_or.at(mask, owner[hit], (1 << nth[hit]).astype(mask.dtype))
-            nodes = by[first]
-            last = nodes[k[nodes] == key[-1]]
-            open_key, branch, least = key[-1], p[last], o[last]
-            found = pa.array(mask != 0)
-            yield pa.RecordBatch.from_arrays(
-                [as_array(c.filter(found), t) for c, t in ((column(batch, "ord"), pa.int64()), (column(batch, "k1"), pa.int64()),
-                                                           (column(batch, "start"), pa.int32()), (pa.array(mask), pa.int32()))],
-                names=["ord", "k1", "start", "mask"])
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+            by, lcp = suffix_tree(np.cumsum(np.diff(key, prepend=key[0]) != 0)[owner], words, begin[owner] + nth, n)
+            # the nodes of window depth are runs of suffixes with an LCP of a window; each has its least document
+            edges = np.flatnonzero(lcp < n)
+            least = np.empty(len(by), np.int64)
+            if len(by):
+                least[by] = np.repeat(np.minimum.reduceat(ords[owner[by]], edges), np.diff(np.append(edges, len(by))))
+            hit = np.flatnonzero((ords[owner] > least) & (owner >= skip))
+            np.bitwise_or.at(mask, owner[hit] - skip, (1 << nth[hit]).astype(mask.dtype))
+            # the sort is stable and documents come in order: the first suffix of a node is of its least document
+            keeps = np.unique(owner[by[edges]]) if len(by) else np.zeros(0, np.int64)
+            keeps = keeps[key[keeps] == key[-1]]
+            open_key, open_ord, open_words = key[-1], ords[keeps], text.take(pa.array(keeps))
+            found = table.set_column(table.schema.get_field_index("sure"), "mask", pa.array(mask, pa.int32())).filter(pa.array(mask != 0))
+            yield from found.select(["ord", "k1", "start", "mask"]).combine_chunks().to_batches()
 
     return dealt.mapInArrow(deep, "ord long, k1 long, start int, mask int")
 
@@ -253,13 +337,17 @@ def covered(n_words: int, starts: list[int], masks: list[int], n: int) -> np.nda
 def without_repeats(docs: DataFrame, n: int = WORDS, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
     """``(row, n_words, n_removed, spans, kept)`` for each document: ``row``
     has its columns but the text, ``spans`` the removed ranges of words (its
-    maximal repeats), ``kept`` the other words joined by blanks."""
+    repeats, merged where they touch), ``kept`` the other words joined by blanks."""
     if n - prefix + 1 > 30:
         raise ValueError("a suffix's windows must fit in the bits of an int: take a longer prefix")
     prefixes = written(counted_prefixes(docs, n, prefix).where("n > 1"), "prefixes")
     texts = docs.select(row_key()[0], "doc_id", "text")
-    rows = suffixes(texts, bits_of(prefixes.select("h")), bits_of(prefixes.where(F.col("n") > group).select("h")), n, prefix)
-    out = repeats(rows).groupBy("ord", "k1").agg(F.collect_list("start").alias("start"), F.collect_list("mask").alias("mask"))
+    large = prefixes.where(F.col("suffixes") > group).select("h")
+    if not large.isEmpty():
+        more = counted_longer(docs, bits_of(large), n, prefix).where(F.col("suffixes") > group).select("h")
+        large = large.unionByName(written(more, "longer-prefixes"))
+    rows = suffixes(texts, bits_of(prefixes.select("h")), bits_of(large), n, prefix)
+    out = repeats(rows, n).groupBy("ord", "k1").agg(F.collect_list("start").alias("start"), F.collect_list("mask").alias("mask"))
     whole = packed(docs).withColumn("ord", order("row.doc_id")).join(out, ["ord", "k1"], "left")
     small_batches(docs.sparkSession)
 
