@@ -1,3 +1,4 @@
+import math
 import re
 
 from tidemark.llm import secrets
@@ -44,3 +45,13 @@ def test_plan_has_no_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = secrets.digest(docs)._jdf.queryExecution().toString()
     assert "ArrowEval" not in plan and "BatchEvalPython" not in plan and "MapIn" not in plan
+
+
+def test_words_and_transitions_count_all_documents(spark):
+    # 30 transitions that one document of 6,000 holds each
+    docs = spark.range(6000).selectExpr(
+        "id as doc_id", "if(id % 200 = 7, concat('aa', char(97 + id div 200 % 10), char(107 + id div 2000)), concat('the w', repeat('o', 1 + id % 3))) as text")
+    likely, top = spark.range(1).select(*secrets.language_tables(docs)).first()
+    assert {chr(97 + i % 10) + chr(107 + i // 10) for i in range(30)} <= set(likely)
+    assert top[0] == "the" and len(top) == 33
+    assert abs(likely["th"] - math.log((5970 + 0.5) / (5970 + 14))) < 1e-9

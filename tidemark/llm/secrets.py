@@ -11,8 +11,8 @@ path, label)`` that the caller may give, joined by findings of ``documents``
 that a rule labels (issuer formats and assignments to secret names are secrets;
 words, dates, paths, checksums and numbers are not), and by the examples below.
 Rule findings come from a bounded sample (``TRAIN_ROWS`` of the least hashes);
-the transition table and the dictionary come from about ``TRAIN_DOCS``
-documents, those whose hash is in that share of all hashes.
+the transition table and the dictionary come from the words of all documents,
+which are counted once and written.
 
 All of it is DataFrame, SQL and ``pyspark.ml`` code, run in the JVM.
 
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import row_key, written
 
-TRAIN_ROWS, TRAIN_DOCS = 4000, 2000
+TRAIN_ROWS = 4000
 DICTIONARY = 400
 TREES, DEPTH, SEED = 24, 8, 3
 KEEP = 0.5
@@ -110,12 +110,9 @@ def pairs_of(word: Column) -> Column:
 
 
 def language_tables(docs: DataFrame) -> tuple[Column, Column]:
-    """The character transitions and the commonest words of a bounded sample,
-    as a map of at most 28 * 28 entries and an array of ``DICTIONARY``."""
-    share = TRAIN_DOCS / max(1, docs.count())
-    rank = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1 << 30))
-    some = docs.where(F.col("text").isNotNull() & (rank < int(min(1.0, share) * (1 << 30)))).select("text")
-    words = written(some.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,24}"), F.lit(0))).alias("w"))
+    """The character transitions and the commonest words of all documents, as
+    a map of at most 28 * 28 entries and an array of ``DICTIONARY``."""
+    words = written(docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,24}"), F.lit(0))).alias("w"))
                     .groupBy("w").count(), "words")
     top = [r.w for r in words.orderBy(F.desc("count"), "w").limit(DICTIONARY).collect()]
     pairs = words.select("count", F.explode(pairs_of(F.col("w"))).alias("pair")).groupBy("pair").agg(F.sum("count").alias("n")).collect()
