@@ -45,6 +45,16 @@ def test_repeated_rows_and_clashing_columns(spark):
     assert max(r.rank for r in got if r.query_id == 20) == 20
 
 
+def test_copies_of_a_row_are_searched_once(spark):
+    rows = vectors(4, 60)
+    rows += [rows[7]] * 90 + [rows[9]] * 3 + [(7, rows[9][1])] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    copies = [(r.vec_id, r.copies) for r in topk.counted(topk.quantised(df)).collect()]
+    assert sorted(c for c in copies if c[0] in (7, 9)) == [(7, 2), (7, 20), (9, 4)] and len(copies) == 64
+    got = [tuple(r) for r in topk.top_k(df, query_block=3, block=16).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.digest(df).collect() == []

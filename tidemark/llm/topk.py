@@ -12,10 +12,11 @@ pruning is exact for inner products: a candidate whose bound is below the
 score of the k-th best found so far can't enter the result.  Survivors of all
 resolutions are scored exactly, in integers.
 
-Queries and candidates meet in tiles: candidates are dealt to blocks by a hash
-of their id, queries likewise, and each pair of blocks is one group of bounded
-size.  A tile gives the k best of each of its queries; the k best of those are
-the result.
+Queries and candidates meet in tiles: rows of one id and vector are counted
+first and searched as one, candidates are dealt to blocks by a hash of id and
+vector, queries likewise, and each pair of blocks is one group of bounded size.
+A tile gives the k best of each of its queries; the k best of those, each as
+often as it was counted, are the result.
 
 Defined cases: vectors that are null or empty, or hold null or non-finite
 components, take no part; vectors of another length than the query's are not
@@ -59,6 +60,12 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
                     F.transform("x", lambda c: F.floor(c * scale).cast("long")).alias("v")))
 
 
+def counted(rows: DataFrame, k: int = K) -> DataFrame:
+    """Each ``(vec_id, dim, v)`` once, with its ``copies``: at most ``k``, as a
+    result holds no more rows."""
+    return rows.groupBy("vec_id", "dim", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"))
+
+
 class Segments:
     """Means and deviations of the segments of vectors (rows) by resolution."""
 
@@ -111,7 +118,7 @@ def pair_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 def tile_best(q_ids: np.ndarray, qs: np.ndarray, ids: np.ndarray, xs: np.ndarray, k: int,
               resolutions: tuple[int, ...] = RESOLUTIONS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best candidates of each query of a tile, as rows ``(query's index,
-    id, score)``."""
+    candidate's index, score)``."""
     of_q, of_x = Segments(qs, resolutions), Segments(xs, resolutions)
     by_id = np.argsort(ids, kind="stable")
     first, last = (np.searchsorted(ids[by_id], q_ids, side) for side in ("left", "right"))
@@ -154,7 +161,7 @@ def tile_best(q_ids: np.ndarray, qs: np.ndarray, ids: np.ndarray, xs: np.ndarray
         i, c, scores = i[order], c[order], scores[order]
         nth = np.arange(len(i)) - np.searchsorted(i, i)
         keep = nth < k
-        found.append((rows[i[keep]], ids[c[keep]], scores[keep]))
+        found.append((rows[i[keep]], c[keep], scores[keep]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -162,7 +169,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
           query_block: int = QUERY_BLOCK, block: int = BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the best of all other rows for the
     rows whose id is divisible by ``every``."""
-    x = written(quantised(vectors, scale), "vectors")
+    x = written(counted(quantised(vectors, scale), k), "vectors")
     n = x.agg(F.count("*").alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("q")).first()
     n_x, n_q = max(1, ceil(n["n"] / block)), max(1, ceil(n["q"] / query_block))
 
@@ -173,19 +180,21 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
         return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     # a repeated query row is one query; rows of one id but other vectors are queries of their own
-    queries = x.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"]).withColumn("qh", F.xxhash64("v"))
+    queries = x.where(F.col("vec_id") % every == 0).drop("copies").withColumn("qh", F.xxhash64("v"))
     queries = copied(dealt(queries, "bq", n_q), "bx", n_x)
     rows = copied(dealt(x, "bx", n_x), "bq", n_q)
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
-            return pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "qh", "vec_id", "score")})
+            return pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "qh", "vec_id", "score", "copies")})
         qs, xs = (np.array(f["v"].tolist(), np.int64) for f in (q, c))
         i, at, scores = tile_best(q["vec_id"].to_numpy(), qs, c["vec_id"].to_numpy(), xs, k)
-        return pd.DataFrame({"query_id": q["vec_id"].to_numpy()[i], "qh": q["qh"].to_numpy()[i], "vec_id": at, "score": scores})
+        return pd.DataFrame({"query_id": q["vec_id"].to_numpy()[i], "qh": q["qh"].to_numpy()[i], "vec_id": c["vec_id"].to_numpy()[at],
+                             "score": scores, "copies": c["copies"].to_numpy()[at]})
 
     keys = ["dim", "bq", "bx"]
-    found = queries.groupBy(keys).cogroup(rows.groupBy(keys)).applyInPandas(search, "query_id long, qh long, vec_id long, score long")
+    found = queries.groupBy(keys).cogroup(rows.groupBy(keys)).applyInPandas(search, "query_id long, qh long, vec_id long, score long, copies int")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     rank = F.row_number().over(Window.partitionBy("query_id", "qh").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
