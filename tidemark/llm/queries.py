@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, language, licenses, lines, mixing, pii, secrets, simhash, substrings, topk
+from tidemark.llm import decontaminate, language, licenses, lines, mixing, pii, secrets, simhash, substrings, tokenalign, topk
 from tidemark.sources.tables import load
 
 
@@ -60,6 +60,11 @@ def op10_top_k(spark, sf_dir):
     return topk.digest(load(spark, sf_dir, "embeddings"))
 
 
+def op13_token_alignment(spark, sf_dir):
+    """Tokens of two tokenizers linked by the bytes they share."""
+    return tokenalign.digest(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
@@ -71,6 +76,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_secret_scan": op9_secret_scan,
     "op10_top_k": op10_top_k,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE_SQL = {
