@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, language, licenses, lines, mixing, pii, secrets, simhash, substrings, tokenalign, topk
+from tidemark.llm import (convtrie, decontaminate, jaccard, language, licenses, lines, mixing, pii, secrets, simhash,
+                          substrings, tokenalign, topk)
 from tidemark.sources.tables import load
 
 
@@ -60,6 +61,16 @@ def op10_top_k(spark, sf_dir):
     return topk.digest(load(spark, sf_dir, "embeddings"))
 
 
+def op11_jaccard_join(spark, sf_dir):
+    """Groups of documents whose sets of word shingles are alike."""
+    return jaccard.digest(_documents(spark, sf_dir))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    """The prefix trie of the rebuilt conversations."""
+    return convtrie.digest(load(spark, sf_dir, "conversations"))
+
+
 def op13_token_alignment(spark, sf_dir):
     """Tokens of two tokenizers linked by the bytes they share."""
     return tokenalign.digest(_documents(spark, sf_dir))
@@ -76,6 +87,8 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_secret_scan": op9_secret_scan,
     "op10_top_k": op10_top_k,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_token_alignment": op13_token_alignment,
 }
 
@@ -84,4 +97,5 @@ ORACLE_SQL = {
     "op2_line_dedup": lines.ORACLE,
     "op7_substring_dedup": substrings.ORACLE,
     "op10_top_k": topk.ORACLE,
+    "op12_prefix_trie": convtrie.ORACLE,
 }

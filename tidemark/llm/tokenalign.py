@@ -48,6 +48,8 @@ from tidemark.llm.common import as_array, column, small_batches, written
 #: Folder with the vocabularies, on every machine.
 TOKENIZERS = "/opt/tokenizers"
 BYTE_RANKS, PIECE_MODEL = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+#: Pieces that B reads at once.
+LINE = 32
 #: Pairs whose counts are broadcast at most (64 MB), pairs that a task sums
 #: before it sends them, characters of pieces that a worker keeps.
 MOST_PAIRS, PAIRS_HELD, CACHE = 1 << 22, 1 << 20, 1 << 23
@@ -57,6 +59,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 #: A space with white space beside it, and one without.
 _ODD, _PLAIN = re.compile(r"\s | \s| \Z"), re.compile(r"(?<=\S) (?=\S)")
+#: A piece that must be read by itself.
+_EDGE = re.compile(r"\A\s|\s\Z|▁")
 
 
 def pieces_of(text: str) -> list[str]:
@@ -65,6 +69,12 @@ def pieces_of(text: str) -> list[str]:
     return _PLAIN.split(text) if _ODD.search(text) or text[:1].isspace() else text.split(" ")
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The lists in a row, and where each begins (and the last ends)."""
+    at = np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64))).astype(np.int64)
+    return np.fromiter((i for x in lists for i in x), np.int64, int(at[-1])), at
+
+
 class Tokenizers:
     """Both tokenizers with the bytes of their tokens."""
 
@@ -84,15 +94,37 @@ class Tokenizers:
         self.bytes_a, self.bytes_b = bytes_a, bytes_b
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (bytes_a, bytes_b))
 
-    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Tokens of a space and each piece; none where the bytes differ."""
-        a = [self._a.encode_ordinary(" " + p) for p in pieces]
-        b = self._b.encode(pieces, num_threads=1) if pieces else []
+        self.say_a = [[f"{i}{end}" for i in range(len(bytes_a))] for end in ",|"]
+        self.say_b = [[f"{i}{end}" for i in range(self.size_b)] for end in ",;\n"]
+
+    def encode(self, pieces: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Tokens of a space and each piece in a row and where each piece's
+        begin, for A and B; a piece whose bytes differ has none.  The pieces
+        are read as lines of a text, as both tokenizers cut at its spaces."""
+        lines = [" ".join(pieces[i:i + LINE]) for i in range(0, len(pieces), LINE)]
+        text = " " + " ".join(lines)
+        want = text.encode()
+        ids_a, ids_b = np.array(self._a.encode_ordinary(text), np.int64), _flat(self._b.encode(lines, num_threads=1))[0]
+        if all(b"".join(map(t.__getitem__, ids.tolist())) == want for t, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
+            end = np.cumsum([len(p.encode()) + 1 for p in pieces])
+            at = []
+            for size, ids in ((self.len_a, ids_a), (self.len_b, ids_b)):
+                ends = np.cumsum(size[ids])
+                upto = np.searchsorted(ends, end)
+                if not (ends[np.minimum(upto, len(ends) - 1)] == end).all():
+                    break
+                at.append(np.concatenate(([0], upto + 1)))
+            else:
+                return (ids_a, at[0]), (ids_b, at[1])
+        return self._one_by_one(pieces)
+
+    def _one_by_one(self, pieces: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        a, b = [self._a.encode_ordinary(" " + p) for p in pieces], self._b.encode(pieces, num_threads=1)
         for k, p in enumerate(pieces):
             want = (" " + p).encode()
-            if not p or b"".join(map(self.bytes_b.__getitem__, b[k])) != want or b"".join(map(self.bytes_a.__getitem__, a[k])) != want:
+            if b"".join(map(self.bytes_b.__getitem__, b[k])) != want or b"".join(map(self.bytes_a.__getitem__, a[k])) != want:
                 a[k], b[k] = [], []
-        return a, b
+        return _flat(a), _flat(b)
 
 
 @lru_cache(maxsize=2)
@@ -100,12 +132,6 @@ def tokenizers(folder: str) -> Tokenizers:
     return Tokenizers(folder)
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """The lists in a row, and where each begins (and the last ends)."""
-    at = np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64))).astype(np.int64)
-    return np.fromiter((i for x in lists for i in x), np.int64, int(at[-1])), at
-
-
 def lockstep(size_a: np.ndarray, at_a: np.ndarray, size_b: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Links and cuts of all lanes: ``size_*`` are the bytes of the lanes'
     tokens in a row, ``at_*`` where each lane begins in them.  Returns the
@@ -139,7 +165,6 @@ class Pieces:
     def __init__(self, tools: Tokenizers):
         self.tools, self.number, self.held = tools, {}, 0
         self.groups: list[str] = []
-        self._links, self._shape = [], []
         self.links, self.at, self.shape = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros((0, 4), np.int64)
 
     def numbers(self, texts: list[list[str]]) -> np.ndarray:
@@ -151,27 +176,36 @@ class Pieces:
         return np.fromiter((known[p] for ps in texts for p in ps), np.int64)
 
     def _align(self, new: list[str]) -> None:
-        a, b = self.tools.encode(new)
-        (ids_a, at_a), (ids_b, at_b) = _flat(a), _flat(b)
+        odd = list(filter(_EDGE.search, new))
+        plain = list(set(new).difference(odd)) if odd else new
+        for some, encode in ((plain, self.tools.encode), (odd, self.tools._one_by_one)):
+            if some:
+                self._add(some, *encode(some))
+
+    def _add(self, new: list[str], a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> None:
+        (ids_a, at_a), (ids_b, at_b), n = a, b, len(new)
         lane, i, j, cut = lockstep(self.tools.len_a[ids_a], at_a, self.tools.len_b[ids_b], at_b)
-        n = len(new)
-        cuts = np.bincount(lane[cut], minlength=n)
-        self.shape = np.concatenate([self.shape, np.stack([np.diff(at_a), np.diff(at_b), cuts, np.bincount(lane, minlength=n)], axis=1)])
+        cuts, count = np.bincount(lane[cut], minlength=n), np.bincount(lane, minlength=n)
+        self.shape = np.concatenate([self.shape, np.stack([np.diff(at_a), np.diff(at_b), cuts, count], axis=1)])
         self.links = np.concatenate([self.links, ids_a[i] * self.tools.size_b + ids_b[j]])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.bincount(lane, minlength=n))])
-        # a group is the tokens up to a cut, inclusive
-        cut_a, cut_b, upto = i[cut] + 1, j[cut] + 1, np.cumsum(cuts)
-        ends = [(x.tolist(), y.tolist()) for x, y in zip(np.split(cut_a, upto[:-1]), np.split(cut_b, upto[:-1]), strict=True)]
-        for k, (ea, eb) in enumerate(ends):
-            p, q, out = 0, 0, []
-            for x, y in zip(ea, eb, strict=True):
-                x, y = x - int(at_a[k]), y - int(at_b[k])
-                out.append(",".join(map(str, a[k][p:x])) + "|" + ",".join(map(str, b[k][q:y])))
-                p, q = x, y
-            self.groups.append(";".join(out))
-            self.number[new[k]] = len(self.number)
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(count)])
+        texts = iter(self._texts(ids_a, ids_b, i[cut], j[cut], np.diff(lane[cut], append=-1) != 0))
+        self.groups += [next(texts) if c else "" for c in cuts.tolist()]
+        self.number.update(zip(new, range(len(self.number), len(self.number) + n), strict=True))
         self.held += sum(map(len, new)) + 8 * n
 
+    def _texts(self, ids_a: np.ndarray, ids_b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, last: np.ndarray) -> list[str]:
+        """The groups of each piece that has tokens: a group's A tokens, its B
+        tokens, the next group's; ``end`` is the last token of each group."""
+        say_a, say_b = self.tools.say_a, self.tools.say_b
+        close_a, close_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+        close_a[end_a] = 1
+        close_b[end_b] = 1 + last
+        group = np.concatenate([np.cumsum(close_a) - close_a, np.cumsum(close_b > 0) - (close_b > 0)])
+        words = ([say_a[k][x] for x, k in zip(ids_a.tolist(), close_a.tolist(), strict=True)]
+                 + [say_b[k][x] for x, k in zip(ids_b.tolist(), close_b.tolist(), strict=True)])
+        return "".join(map(words.__getitem__, np.argsort(group, kind="stable").tolist())).split("\n")[:-1]
+
     def links_of(self, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of the pieces ``used`` in a row, and how many each has."""
         count = self.at[used + 1] - self.at[used]
