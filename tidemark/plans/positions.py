@@ -10,6 +10,8 @@ form), ``maxFilesPerTrigger`` for the file stand-in.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,8 +36,9 @@ def positions_batch_writer(ledger_path: str, epoch: int) -> BatchFn:
         spark = batch.sparkSession
         if commits.is_committed(spark, ledger_path, epoch, batch_id):
             return
-        write_ledger(position_rows(batch, epoch, batch_id), ledger_path)
-        commits.mark_committed(spark, ledger_path, epoch, batch_id)
+        attempt = uuid.uuid4().hex
+        write_ledger(position_rows(batch, epoch, batch_id), ledger_path, attempt)
+        commits.mark_committed(spark, ledger_path, epoch, batch_id, attempt, outputs=[ledger_path])
     return write
 
 

@@ -8,6 +8,8 @@ foreachBatch body issues one distributed write per batch.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,23 +41,24 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 def traffic_batch_writer(ledger_path: str, epoch: int, rejects_path: str | None = None,
                          snapshot_path: str | None = None, compact_every: int | None = None) -> BatchFn:
-    """``foreachBatch`` body: rejects, ledger rows, then the marker.  A batch
-    that has its marker is whole and is not written again."""
+    """``foreachBatch`` body: rejects, ledger rows, then the commit.  A batch
+    that is committed is not written again."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if commits.is_committed(spark, ledger_path, epoch, batch_id):
             return
+        attempt = uuid.uuid4().hex
         if rejects_path is None:
             # One aggregation (grouping sets) reads the batch once: no cache needed.
-            write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path)
+            write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path, attempt)
         else:
             batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 write_rejects(batch, rejects_path, epoch, batch_id)
-                write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path)
+                write_ledger(batch_ledger_rows(batch, epoch, batch_id), ledger_path, attempt)
             finally:
                 batch.unpersist()
-        commits.mark_committed(spark, ledger_path, epoch, batch_id)
+        commits.mark_committed(spark, ledger_path, epoch, batch_id, attempt, outputs=[ledger_path])
         if compact_every and snapshot_path is not None and (batch_id + 1) % int(compact_every) == 0:
             # Fold the ledger so readers (read_compacted) stay bounded.
             compact_ledger(spark, ledger_path, snapshot_path)

@@ -246,6 +246,7 @@ def q_encode_user_log(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 _LANDED_TOPICS: dict[tuple[str, str], str] = {}
+_FILES_PER_BAND: dict[str, int] = {}
 
 
 def _landed_topic(spark, sf_dir) -> str:
@@ -260,7 +261,7 @@ def _landed_topic(spark, sf_dir) -> str:
         del _LANDED_TOPICS[key]   # cleaned up: land it again
     if key not in _LANDED_TOPICS:
         path = scratch_path(spark, "topic")
-        files.land_records(_records(spark, sf_dir), path)
+        _FILES_PER_BAND[path] = files.land_records(_records(spark, sf_dir), path)
         _LANDED_TOPICS[key] = path
     return _LANDED_TOPICS[key]
 
@@ -273,7 +274,7 @@ def land_topic(spark, sf_dir) -> None:
 
 def _topic_stream(spark, path):
     """The landed topic as a stream, one micro-batch for each offset band."""
-    return files.record_stream(spark, path, max_files_per_trigger=files.FILES_PER_BAND)
+    return files.record_stream(spark, path, max_files_per_trigger=_FILES_PER_BAND[path])
 
 
 def _run_complete(spark, result, name, state_store=None):

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.offsets import KEY, ledger_offset_rows, offset_range_audit
 from tidemark.sources import fs
 from tidemark.sources.derive import offset_bands
-from tidemark.streaming.commits import commits_path
+from tidemark.streaming.commits import log_of
 from tidemark.streaming.runner import run_batches
 
 # Fixed values of the scenarios (shared with the SQL oracles).
@@ -89,14 +89,15 @@ class InjectedFailure(RuntimeError):
 
 def crash_after(write, crash_batch: int, *unmarked: str):
     """A ``foreachBatch`` body that fails at the end of ``crash_batch``.  The
-    batch's markers in the outputs ``unmarked`` are taken back first, as if
-    the job had died between its data and its marker."""
+    batch's commits of the outputs ``unmarked`` are taken back first, as if
+    the job had died between its data and its commit."""
     def run(batch: DataFrame, batch_id: int) -> None:
         write(batch, batch_id)
         if batch_id == crash_batch:
             for output in unmarked:
-                for folder in fs.folders(batch.sparkSession, f"{commits_path(output)}/epoch=*/batch_id={batch_id}"):
-                    fs.remove(batch.sparkSession, folder)
+                log = log_of(batch.sparkSession, output)
+                for commit in fs.files(batch.sparkSession, f"{log}/epoch=*/batch_id={batch_id}/commit.json"):
+                    fs.remove(batch.sparkSession, commit)
             raise InjectedFailure(f"injected failure after batch {batch_id}")
     return run
 

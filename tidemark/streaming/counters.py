@@ -126,7 +126,7 @@ def complete_to_table(result: DataFrame, path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         root = path.rstrip("/")
-        now = 1 + max(fs.partition_values(spark, f"{commits.commits_path(root)}/epoch=0/batch_id=*", "batch_id"), default=-1)
+        now = 1 + max((v for _, v in commits.listed(spark, root)), default=-1)
         batch.write.mode("overwrite").parquet(f"{root}/version={now}")
         commits.mark_committed(spark, root, 0, now)
         for old in range(max(0, now - 3), now - 1):
@@ -137,7 +137,15 @@ def complete_to_table(result: DataFrame, path: str):
 
 def read_complete(spark, path: str, schema: StructType | str) -> DataFrame:
     """The newest whole version of a complete-mode output."""
-    done = fs.partition_values(spark, f"{commits.commits_path(path)}/epoch=0/batch_id=*", "batch_id")
+    done = [v for _, v in commits.listed(spark, path)]
     if not done:
         return spark.createDataFrame([], schema)
     return read_parquet_or_empty(spark, schema, f"{path.rstrip('/')}/version={max(done)}")
+
+
+def state_table(spark, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The running values of a stateful query, read from its checkpoint's
+    state: key and value columns side by side, as of its last batch.  No
+    output table is needed, and the query need not run."""
+    rows = spark.read.format("statestore").option("operatorId", str(int(operator))).load(checkpoint)
+    return rows.select("key.*", "value.*")

@@ -2,21 +2,25 @@
 positions in ONE write, keyed by ``(epoch, batch_id)``.
 
 Why this is exactly-once: a micro-batch is identified by ``batch_id`` inside a
-checkpoint lifetime (``epoch``).  The write replaces exactly the partitions
-``(metric, epoch, batch_id)`` it produces (dynamic partition overwrite), so if a
-crash happens after the write but before the checkpoint commit, the restarted
-query replays the same batch with the same ``batch_id`` and the same records,
-and the rewrite replaces the first attempt instead of adding to it.  A marker
-written last (:mod:`tidemark.streaming.commits`) makes the batch visible as a
-whole: readers never see some of its metrics without the others.  Counters are sums of deltas over the ledger; distinct users are a union-distinct of the
-members each batch saw; positions are the last write per partition.
-
-Layout: ``<path>/metric=<m>/epoch=<e>/batch_id=<b>/part-*.parquet``;
+checkpoint lifetime (``epoch``).  Each attempt at it writes folders of its own,
+and one commit (:mod:`tidemark.streaming.commits`) names the attempt that
+counts.  If a crash happens after the write but before the commit, the
+restarted query replays the same batch and its new attempt is the one that is
+read; after the commit a replay writes nothing.  Readers never see some of a
+batch's metrics without the others.  Counters are sums of deltas over the
+ledger; distinct users are a union-distinct of the members each batch saw;
+positions are the last write per partition.
+
+Layout: ``<path>/metric=<m>/epoch=<e>/batch_id=<b>/attempt=<a>/part-*.parquet``;
 reading one metric prunes to its directory.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +33,8 @@ from tidemark.streaming import commits
 
 LEDGER_SCHEMA = ("k STRING, site_id STRING, member STRING, delta BIGINT, topic STRING, "
                  "partition INT, until_offset BIGINT, from_offset BIGINT, "
-                 "metric STRING, epoch INT, batch_id BIGINT")
-LEDGER_PARTITIONS = ("metric", "epoch", "batch_id")
+                 "metric STRING, epoch INT, batch_id BIGINT, attempt STRING")
+LEDGER_PARTITIONS = ("metric", "epoch", "batch_id", "attempt")
 _LEDGER_COLUMNS = ("metric", "k", "site_id", "member", "delta", "topic", "partition",
                    "until_offset", "from_offset", "epoch", "batch_id")
 
@@ -99,21 +103,22 @@ def batch_ledger_rows(batch: DataFrame, epoch: int, batch_id: int,
             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
 
 
-def write_ledger(rows: DataFrame, path: str) -> None:
-    """Replace the ``(metric, epoch, batch_id)`` partitions present in ``rows``."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_ledger(rows: DataFrame, path: str, attempt: str = commits.ONLY) -> None:
+    """Replace what the attempt has of the ``(metric, epoch, batch_id)``
+    partitions present in ``rows``."""
+    (rows.withColumn("attempt", F.lit(attempt)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*LEDGER_PARTITIONS).parquet(path))
 
 
 def all_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Every row of the ledger, also of batches that are not whole yet."""
+    """Every row of the ledger, also of attempts that are not committed."""
     return read_parquet_or_empty(spark, LEDGER_SCHEMA, path)
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger's whole batches with typed partition columns (explicit
-    schema, no inference); empty when no batch has been committed yet."""
-    return commits.only_committed(spark, all_rows(spark, path), path).select(*_LEDGER_COLUMNS)
+def read_ledger(spark: SparkSession, path: str, mark: tuple[int, int] | None = None) -> DataFrame:
+    """The ledger's whole batches (later than ``mark``) with typed partition
+    columns (explicit schema, no inference); empty when there are none."""
+    return commits.only_committed(spark, all_rows(spark, path), path, mark).select(*_LEDGER_COLUMNS)
 
 
 # ---------------------------------------------------------------- read views
@@ -174,9 +179,9 @@ def saved_positions(spark: SparkSession, path: str, snapshot_path: str | None =
     its newest positions and the batches after it."""
     if snapshot_path is None:
         return ledger_positions(read_ledger(spark, path))
-    mark, snap = read_snapshot(spark, snapshot_path, ["position"])
-    newer = read_ledger(spark, path).where(commits.after(mark) & (F.col("metric") == "offset"))
-    return ledger_positions(snap.unionByName(newer))
+    def look(mark: tuple[int, int] | None, snap: DataFrame) -> DataFrame:
+        return snap.unionByName(read_ledger(spark, path, mark).where(F.col("metric") == "offset"))
+    return ledger_positions(_unmoved(spark, snapshot_path, look, ["position"]))
 
 
 def max_epoch(spark: SparkSession, path: str, snapshot_path: str | None = None) -> int | None:
@@ -185,7 +190,7 @@ def max_epoch(spark: SparkSession, path: str, snapshot_path: str | None = None)
     not whole count too, as their epoch is taken."""
     root = path.rstrip("/")
     known = fs.partition_values(spark, f"{root}/metric=*/epoch=*", "epoch")
-    known += fs.partition_values(spark, f"{commits.commits_path(root)}/epoch=*", "epoch")
+    known += fs.partition_values(spark, f"{commits.log_of(spark, root)}/epoch=*", "epoch")
     if snapshot_path is not None and (mark := snapshot_watermark(spark, snapshot_path)) is not None:
         known.append(mark[0])
     return max(known) if known else None
@@ -199,77 +204,122 @@ def max_epoch(spark: SparkSession, path: str, snapshot_path: str | None = None)
 # kept by metric and day: a compaction writes the days its batches touch and
 # refers to the others where they are, so it costs what came since the last one
 # and the days that changed.  What each batch read (offset) and parsed (total)
-# is added, never folded: the audit stays complete.
+# is added; its parts are merged two of a size at a time, so their number grows
+# with the logarithm of the compactions and the audit stays complete.
+#
+# A compaction writes parts of its own and then creates the manifest of the next
+# generation, which names all parts, if there is none: of two at a time one
+# wins, and the other starts again from the new manifest.  Retention stays one
+# manifest behind, so a reader that holds the one before the newest finds all it
+# names; a reader looks at the manifest again after listing the ledger.
 #
-# Layout: <snapshot>/rows/metric=<m>/day=<d>/generation=<g> and
-# <snapshot>/manifest/generation=<g>, written last, which names the parts.
+# Layout: <snapshot>/rows/part=<generation>-<id>/metric=<m>/day=<d> and
+# <snapshot>/manifest/generation=<g>/manifest.json.
 
 SNAPSHOT_SCHEMA = ("k STRING, site_id STRING, member STRING, delta BIGINT, topic STRING, partition INT, "
                    "until_offset BIGINT, from_offset BIGINT, epoch INT, batch_id BIGINT, "
-                   "metric STRING, day STRING, generation BIGINT")
-MANIFEST_SCHEMA = ("metric STRING, day STRING, part BIGINT, through_epoch INT, through_batch BIGINT, "
-                   "generation BIGINT")
+                   "part STRING, metric STRING, day STRING")
 ADDED = ("offset", "total")
 ALL_DAYS = "all"
+#: How often a reader looks again, a compaction starts again.
+TRIES = 20
+
+
+def manifest_file(root: str, generation: int) -> str:
+    return f"{root.rstrip('/')}/manifest/generation={int(generation)}/manifest.json"
+
+
+def generations(spark: SparkSession, root: str) -> list[int]:
+    """The generations whose manifest is there, in order."""
+    return sorted(int(fs.partition_of(f)["generation"]) for f in fs.files(spark, f"{root.rstrip('/')}/manifest/generation=*/manifest.json"))
 
 
-def _manifests(spark: SparkSession, snapshot_path: str) -> DataFrame:
-    return read_parquet_or_empty(spark, MANIFEST_SCHEMA, f"{snapshot_path.rstrip('/')}/manifest")
+def read_manifest(spark: SparkSession, root: str, generation: int) -> dict:
+    return json.loads(fs.read_text(spark, manifest_file(root, generation)))
 
 
-def _newest_manifest(spark: SparkSession, snapshot_path: str) -> tuple[int, tuple[int, int], DataFrame] | None:
-    """Generation, watermark and ``(metric, day, part)`` of the newest snapshot."""
-    all_ = _manifests(spark, snapshot_path)
-    top = all_.agg(F.max(F.struct("generation", "through_epoch", "through_batch")).alias("m")).first()["m"]
-    if top is None:
+def newest_manifest(spark: SparkSession, root: str) -> tuple[int, tuple[int, int], list] | None:
+    """Generation, watermark and parts of the newest manifest."""
+    known = generations(spark, root)
+    if not known:
         return None
-    parts = all_.where(F.col("generation") == top["generation"]).select("metric", "day", "part")
-    return int(top["generation"]), (int(top["through_epoch"]), int(top["through_batch"])), parts
+    said = read_manifest(spark, root, known[-1])
+    return known[-1], tuple(said["through"]), said["parts"]
+
+
+def put_manifest(spark: SparkSession, root: str, generation: int, through: tuple[int, int], parts: list) -> bool:
+    """Make this the manifest of its generation; False when there is one."""
+    return fs.put_if_absent(spark, manifest_file(root, generation), json.dumps({"through": list(through), "parts": parts}))
+
+
+def fence(spark: SparkSession, root: str) -> tuple[int, int] | None:
+    """The watermark of the manifest before the newest: what it covers is
+    needed by no reader that holds either of the two."""
+    known = generations(spark, root)
+    return tuple(read_manifest(spark, root, known[-2])["through"]) if len(known) > 1 else None
+
+
+def new_part(generation: int) -> str:
+    return f"{int(generation)}-{uuid.uuid4().hex[:12]}"
 
 
 def snapshot_watermark(spark: SparkSession, snapshot_path: str) -> tuple[int, int] | None:
-    newest = _newest_manifest(spark, snapshot_path)
+    newest = newest_manifest(spark, snapshot_path)
     return None if newest is None else newest[1]
 
 
-def _snapshot_rows(spark: SparkSession, snapshot_path: str, parts: DataFrame,
+def _snapshot_rows(spark: SparkSession, snapshot_path: str, parts: list,
                    metric_names: list[str] | None = None) -> DataFrame:
-    """Rows of the named parts; metrics are pruned as partitions."""
-    rows = read_parquet_or_empty(spark, SNAPSHOT_SCHEMA, f"{snapshot_path.rstrip('/')}/rows")
-    if metric_names is not None:
-        rows = rows.where(F.col("metric").isin(*metric_names))
-    named = parts.withColumnRenamed("part", "generation")
-    return rows.join(named, ["metric", "day", "generation"], "left_semi")
+    """Rows of the named parts (``metric, day, part, span``); only their
+    folders are listed."""
+    root = f"{snapshot_path.rstrip('/')}/rows"
+    paths = [f"{root}/part={p}/metric={m}/day={fs.escaped(d)}" for m, d, p, _ in parts if metric_names is None or m in metric_names]
+    if not paths:
+        return spark.createDataFrame([], SNAPSHOT_SCHEMA)
+    return spark.read.schema(SNAPSHOT_SCHEMA).option("basePath", root).parquet(*paths)
 
 
 def read_snapshot(spark: SparkSession, snapshot_path: str, metric_names: list[str] | None = None
                   ) -> tuple[tuple[int, int] | None, DataFrame]:
     """Watermark and rows (the ledger's columns) of the newest snapshot."""
-    newest = _newest_manifest(spark, snapshot_path)
+    newest = newest_manifest(spark, snapshot_path)
     if newest is None:
         return None, spark.createDataFrame([], LEDGER_SCHEMA).select(*_LEDGER_COLUMNS)
     return newest[1], _snapshot_rows(spark, snapshot_path, newest[2], metric_names).select(*_LEDGER_COLUMNS)
 
 
+def _unmoved(spark: SparkSession, snapshot_path: str, look: Callable[[tuple[int, int] | None, DataFrame], DataFrame],
+             metric_names: list[str] | None = None) -> DataFrame:
+    """``look`` at snapshot and ledger while no compaction moves what lies
+    between them: what was listed is taken if the manifest is still the newest."""
+    for _ in range(TRIES):
+        before = generations(spark, snapshot_path)[-1:]
+        seen = look(*read_snapshot(spark, snapshot_path, metric_names))
+        if generations(spark, snapshot_path)[-1:] == before:
+            return seen
+    raise RuntimeError(f"{snapshot_path} was compacted {TRIES} times while it was read")
+
+
 def read_compacted(spark: SparkSession, ledger_path: str, snapshot_path: str) -> DataFrame:
     """The ledger as seen through its newest snapshot: its rows plus the whole
     batches after its watermark (same columns as :func:`read_ledger`)."""
-    mark, snap = read_snapshot(spark, snapshot_path)
-    newer = read_ledger(spark, ledger_path).where(commits.after(mark))
-    return snap.unionByName(newer)
+    return _unmoved(spark, snapshot_path,
+                    lambda mark, snap: snap.unionByName(read_ledger(spark, ledger_path, mark)))
 
 
-def compact_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) -> tuple[int, int] | None:
-    """Fold the whole batches since the last snapshot into a new one; returns
-    its watermark (the previous one when there is nothing new, ``None`` when
-    empty).  Batches without their marker stay for a later compaction.  The
-    ledger itself is not changed: see :func:`retain_ledger`."""
-    newest = _newest_manifest(spark, snapshot_path)
-    generation, mark, parts = newest if newest is not None else (-1, None, None)
-    top = commits.newest_after(spark, ledger_path, mark)
-    if top is None:
-        return mark
-    fresh = read_ledger(spark, ledger_path).where(commits.after(mark) & ~commits.after(top))
+def _merged(parts: list) -> tuple[list, list, int]:
+    """The added parts of one metric that a new part takes in, the others, and
+    the compactions the new one stands for: as binary numbers count."""
+    rest, taken, span = sorted(parts, key=lambda p: -p[3]), [], 1
+    while rest and rest[-1][3] <= span:
+        taken.append(rest.pop())
+        span += taken[-1][3]
+    return taken, rest, span
+
+
+def _folded(spark: SparkSession, snapshot_path: str, fresh: DataFrame, parts: list) -> tuple[DataFrame, list, dict]:
+    """Rows of the next snapshot that are to be written, the parts that stay,
+    and the spans of the added metrics."""
     m = F.col("metric")
     day = F.when(m.isin("pv", "site_pv", "uv"), F.substring("k", 1, 10)).otherwise(F.lit(ALL_DAYS))
     fresh = fresh.where(m.isin("pv", "site_pv", "uv", "offset")).withColumn("day", day)
@@ -277,12 +327,11 @@ def compact_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) ->
     moved = (fresh.where(m == "offset").withColumn("metric", F.lit("position"))
              .select(*_LEDGER_COLUMNS, "day"))
     touched = folded.unionByName(moved)
-    if parts is not None:
-        # earlier rows of the metrics and days that these batches touch
-        changed = touched.select("metric", "day").distinct()
-        before = _snapshot_rows(spark, snapshot_path, parts.join(changed, ["metric", "day"], "left_semi"))
-        touched = touched.unionByName(before.where(~m.isin(*ADDED)).select(*_LEDGER_COLUMNS, "day"))
-    none = F.lit(None)
+    # one row for each metric and day that the batches touch
+    changed = {(r["metric"], r["day"]) for r in touched.select("metric", "day").distinct().collect()}
+    again = [p for p in parts if (p[0], p[1]) in changed and p[0] not in ADDED]
+    stay = [p for p in parts if p[0] not in ADDED and (p[0], p[1]) not in changed]
+    touched = touched.unionByName(_snapshot_rows(spark, snapshot_path, again).select(*_LEDGER_COLUMNS, "day"))
     sums = (touched.where(m.isin("pv", "site_pv")).groupBy("metric", "day", "k", "site_id")
             .agg(F.sum("delta").alias("delta")))
     members = (touched.where(m == "uv").select("metric", "day", "k", "member").distinct()
@@ -294,49 +343,67 @@ def compact_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) ->
     audit = fresh.where(m == "offset").select(*_LEDGER_COLUMNS, "day")
     totals = (fresh.where(m == "pv").groupBy("epoch", "batch_id").agg(F.sum("delta").alias("delta"))
               .select(F.lit("total").alias("metric"), F.lit(ALL_DAYS).alias("day"), "epoch", "batch_id", "delta"))
+    spans, taken = {}, []
+    for name in ADDED:
+        mine, others, spans[name] = _merged([p for p in parts if p[0] == name])
+        taken += mine
+        stay += others
     rows = (sums.unionByName(members, allowMissingColumns=True)
             .unionByName(positions, allowMissingColumns=True)
             .unionByName(audit, allowMissingColumns=True)
-            .unionByName(totals, allowMissingColumns=True))
-    kinds = [(f.name, f.dataType) for f in spark.createDataFrame([], SNAPSHOT_SCHEMA).schema.fields]
-    out = rows.withColumn("generation", F.lit(generation + 1).cast("bigint"))
-    out = out.select(*[(F.col(c) if c in out.columns else none).cast(t).alias(c) for c, t in kinds])
-    out = out.withColumn("batch_id", F.coalesce("batch_id", F.lit(-1).cast("bigint")))
-    out = out.withColumn("epoch", F.coalesce("epoch", F.lit(top[0])))
+            .unionByName(totals, allowMissingColumns=True)
+            .unionByName(_snapshot_rows(spark, snapshot_path, taken).select(*_LEDGER_COLUMNS, "day"), allowMissingColumns=True))
+    return rows, stay, spans
+
+
+def compact_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) -> tuple[int, int] | None:
+    """Fold the whole batches since the last snapshot into a new one; returns
+    its watermark (the newest one when there is nothing new, ``None`` when
+    empty).  Batches that are not committed stay for a later compaction.  The
+    ledger itself is not changed: see :func:`retain_ledger`.  Several may run
+    at a time, also in a job."""
     root = snapshot_path.rstrip("/")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("metric", "day", "generation").parquet(f"{root}/rows"))
-    new = (read_parquet_or_empty(spark, SNAPSHOT_SCHEMA, f"{root}/rows").where(F.col("generation") == generation + 1)
-           .select("metric", "day", F.col("generation").alias("part")).distinct())
-    if parts is not None:
-        replaced = new.where(~m.isin(*ADDED)).select("metric", "day")
-        new = new.unionByName(parts.join(replaced, ["metric", "day"], "left_anti"))
-    (new.withColumn("through_epoch", F.lit(top[0])).withColumn("through_batch", F.lit(top[1]).cast("bigint"))
-     .withColumn("generation", F.lit(generation + 1).cast("bigint")).coalesce(1)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("generation").parquet(f"{root}/manifest"))
-    return top
+    for _ in range(TRIES):
+        newest = newest_manifest(spark, snapshot_path)
+        generation, mark, parts = newest if newest is not None else (-1, None, [])
+        top = commits.newest_after(spark, ledger_path, mark)
+        if top is None:
+            return mark
+        fresh = read_ledger(spark, ledger_path, mark).where(~commits.after(top))
+        if generations(spark, snapshot_path)[-1:] != ([] if newest is None else [generation]):
+            continue   # the ledger was listed after another compaction
+        rows, stay, spans = _folded(spark, snapshot_path, fresh, parts)
+        part = new_part(generation + 1)
+        kinds = [(f.name, f.dataType) for f in spark.createDataFrame([], SNAPSHOT_SCHEMA).schema.fields if f.name != "part"]
+        out = rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in kinds])
+        out = out.withColumn("batch_id", F.coalesce("batch_id", F.lit(-1).cast("bigint")))
+        out = out.withColumn("epoch", F.coalesce("epoch", F.lit(top[0])))
+        # a folder of its own: two jobs that write into one folder would lose files
+        out.write.partitionBy("metric", "day").parquet(f"{root}/rows/part={part}")
+        written = [fs.partition_of(f) for f in fs.folders(spark, f"{root}/rows/part={part}/metric=*/day=*")]
+        stay += [[p["metric"], p["day"], part, spans.get(p["metric"], 1)] for p in written]
+        if put_manifest(spark, snapshot_path, generation + 1, top, sorted(stay)):
+            return top
+    raise RuntimeError(f"{snapshot_path} was compacted by others {TRIES} times in a row")
 
 
 def retain_ledger(spark: SparkSession, ledger_path: str, snapshot_path: str) -> int:
-    """Remove what a snapshot has made redundant: the ledger's batches up to
-    its watermark, snapshot parts that neither of the two newest manifests
-    names, and older manifests.  Returns the folders removed."""
-    gone = commits.remove_covered(spark, ledger_path, "metric=*", snapshot_watermark(spark, snapshot_path))
+    """Remove what neither of the two newest manifests needs: the ledger's
+    batches up to the older one's watermark, snapshot parts that neither names
+    (also those of compactions that came second), and older manifests.
+    Returns the folders removed."""
+    gone = commits.remove_covered(spark, ledger_path, "metric=*", fence(spark, snapshot_path))
     root = snapshot_path.rstrip("/")
-    generations = fs.partition_values(spark, f"{root}/manifest/generation=*", "generation")
-    keep = set(generations[-2:])
-    named = {(r["metric"], r["day"], r["part"]) for r in
-             _manifests(spark, snapshot_path).where(F.col("generation").isin(*keep)).select("metric", "day", "part").distinct().collect()
-             } if keep else set()
-    newest = max(generations, default=-1)
-    for folder in fs.folders(spark, f"{root}/rows/metric=*/day=*/generation=*"):
+    known = generations(spark, root)
+    named = {tuple(p[:3]) for g in known[-2:] for p in read_manifest(spark, root, g)["parts"]}
+    for folder in fs.folders(spark, f"{root}/rows/part=*/metric=*/day=*") if known else []:
         at = fs.partition_of(folder)
-        part = int(at["generation"])
-        if part <= newest and (at["metric"], at["day"], part) not in named:
-            fs.remove(spark, folder)
+        if int(at["part"].split("-")[0]) <= known[-1] and (at["metric"], at["day"], at["part"]) not in named:
+            # the last of a part takes the part's folder along
+            last = at["part"] not in {p for _, _, p in named}
+            fs.remove(spark, folder.split("/metric=")[0] if last else folder)
             gone += 1
-    for g in generations[:-2]:
+    for g in known[:-2]:
         fs.remove(spark, f"{root}/manifest/generation={g}")
         gone += 1
     return gone
