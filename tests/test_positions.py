@@ -13,7 +13,7 @@ from tidemark import queries_positions as qp
 from tidemark.operators import metrics, offsets, parse
 from tidemark.plans import ingest, ranges, traffic
 from tidemark.sources import files, offset_index, topic_stream
-from tidemark.streaming import commits, counters, ledger, userbits, windows
+from tidemark.streaming import commits, counters, ledger, progress, userbits, windows
 from tidemark.streaming.runner import default_state_partitions, run_available, run_batches
 
 SF = "/root/testdata/sf0.001"
@@ -256,3 +256,19 @@ def test_watermark_state_is_dropped_when_hours_close(spark, scratch):
     run_available(closed.writeStream.outputMode("append").format("noop").option("checkpointLocation", cp),
                   spark=spark, state_partitions=default_state_partitions(spark))
     assert counters.state_table(spark, cp).count() <= 2
+
+
+def test_progress_rows_cost_no_job_and_have_the_positions(spark, scratch, unequal):
+    path, index, sizes = unequal
+    land, cp, out = scratch("landing"), scratch("cp"), scratch("progress")
+    run = progress.land_counted(spark, files.record_stream(spark, path, files.FILES_PER_BAND), land, cp, out)
+    rows = progress.read_progress(spark, out).collect()
+    assert len(rows) == 5 and sum(r["records"] for r in rows) == sum(r["events"] for r in rows) == sum(sizes)
+    assert all(r["records"] == r["input_rows"] for r in rows)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(run.runId))) == 5      # one a batch
+    assert spark.read.parquet(land).count() == sum(sizes)
+    # with the topic source, the end position is the map of offsets
+    again = scratch("progress2")
+    progress.land_counted(spark, topic_stream.topic_stream(spark, index), scratch("landing2"), scratch("cp2"), again)
+    end = json.loads(progress.read_progress(spark, again).first()["end_offset"])
+    assert end == {"events": {str(p): n for p, n in enumerate(sizes)}}

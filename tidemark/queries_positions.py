@@ -15,7 +15,7 @@ from tidemark.plans import ingest, ranges
 from tidemark.plans.seed import repaired_starting_offsets
 from tidemark.session import scratch_path
 from tidemark.sources import files, offset_index, scenarios, topic_stream
-from tidemark.streaming import commits, counters, ledger, userbits, windows
+from tidemark.streaming import counters, ledger, progress, userbits, windows
 from tidemark.streaming.runner import default_state_partitions, run_available, run_batches
 
 _INDEXES: dict[str, str] = {}
@@ -193,6 +193,15 @@ def q_state_site_pv(spark, sf_dir):
     return counters.state_table(spark, cp).select("site_id", "hour", F.col("count").alias("pv"))
 
 
+def q_progress_totals(spark, sf_dir):
+    """Lines read and parsed, from the counts that each batch reported while
+    it was written."""
+    path = scratch_path(spark, "progress")
+    progress.land_counted(spark, q._topic_stream(spark, q._landed_topic(spark, sf_dir)), scratch_path(spark, "landing"),
+                          scratch_path(spark, "checkpoint"), path)
+    return q._summed(progress.read_progress(spark, path).where("records > 0"))
+
+
 QUERIES = {
     "offset_bounds_indexed": q_offset_bounds_indexed,
     "positioned_read_indexed": q_positioned_read_indexed,
@@ -205,6 +214,7 @@ QUERIES = {
     "bitmap_uv": q_bitmap_uv,
     "bitmap_members": q_bitmap_members,
     "state_site_pv": q_state_site_pv,
+    "progress_totals": q_progress_totals,
 }
 
 _FROM_START = q._WITH_RECORDS + """
@@ -241,4 +251,5 @@ FROM placed WHERE late OR hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM good) -
     "bitmap_uv": q.ORACLE_SQL["uv_by_day"],
     "bitmap_members": q.ORACLE_SQL["uv_members_by_day"],
     "state_site_pv": q.ORACLE_SQL["site_pv_by_hour"],
+    "progress_totals": q.ORACLE_SQL["stream_batch_total"],
 }
