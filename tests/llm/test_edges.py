@@ -40,6 +40,12 @@ def test_only_null_texts(spark, name):
     assert DIGESTS[name](docs).count() == 3
 
 
+def test_findings_of_null_texts_alone(spark, benchmark):
+    docs = spark.createDataFrame([(1, None, None, None, None), (None, None, None, None, None)], documents(spark).schema)
+    assert secrets.digest(docs).collect() == [] and decontaminate.digest(docs, benchmark).collect() == []
+    assert decontaminate.clean(docs, benchmark).count() == 2
+
+
 def test_findings_of_odd_tables(spark, benchmark):
     docs = documents(spark)
     assert collected(secrets.digest(docs)) == collected(secrets.digest(clashing(docs)))

@@ -13,14 +13,22 @@ them all; bands that meet the bound are verified by an alignment that stays in
 the band and stops once its cost exceeds ``k``.  Each passage's ``k`` is
 lowered, if need be, until the bound is positive.
 
-Documents stay where they are: passages go to them, in blocks of at most
-``MOST_BYTES`` of normalised text, one pass over the documents a block.
-Passages over ``PASSAGE`` bytes are cut into parts that overlap by half, any
-of which contaminates.
-
-Defined cases: null, empty and shorter passages than ``q`` bytes take no part;
-a null or empty text is clean; equal passages and equal documents each count;
-an empty table gives an empty result; other columns are carried unread.
+One rule holds at every size: an item is found by any of its parts of
+``PART`` bytes, which begin every ``STEP`` bytes and with the last ``PART``
+bytes; an item up to ``PART`` bytes is one part.  So ``PART + STEP`` consecutive
+bytes of an item are always found, and a whole item within its edits has a part
+within its own.
+
+Documents stay where they are: items go to them, in blocks of at most
+``MOST_BYTES`` of normalised text, one pass over the documents a block.  A block
+holds about 14 bytes for each of its own in a worker (32-bit hashes of q-grams,
+their places, a packed table of bits): hashes that are shared count q-grams too
+often, which costs an alignment and finds nothing more.
+
+Defined cases: items shorter than ``q`` bytes are looked for as they are,
+between blanks or ends of the text; null and empty items take no part; a null
+or empty text is clean; equal items and equal documents each count; an empty
+table gives an empty result; other columns are carried unread.
 """
 
 from __future__ import annotations
@@ -37,8 +45,8 @@ from tidemark.llm.common import column, column_bytes, fields, in_arrow, packed,
 
 Q = 8
 EDITS = 0.08
-PASSAGE = 512
-MOST_BYTES = 32 << 20
+PART, STEP = 128, 64
+MOST_BYTES = 16 << 20
 #: Bytes of documents whose q-grams are looked up at once.
 CHUNK = 4 << 20
 
@@ -59,67 +67,100 @@ def qgrams(data: bytes) -> np.ndarray:
     return out
 
 
+def cuts(size: int, part: int, step: int) -> list[int]:
+    """Where the parts of a text begin."""
+    return [0] if size <= part else [*range(0, size - part, step), size - part]
+
+
 class Passages:
-    """Passages of a benchmark and the places of their q-grams."""
+    """Items of a benchmark, their parts and the places of their q-grams."""
 
-    def __init__(self, rows: list[tuple[int | None, bytes]], edits: float = EDITS, passage: int = PASSAGE):
-        self.ids: list[int | None] = []
+    def __init__(self, rows: list[tuple[int | None, bytes]], edits: float = EDITS, part: int = PART, step: int = STEP):
+        self.ids: list[int | None] = []       # of each part
         self.texts: list[bytes] = []
+        self.short: dict[bytes, list[int | None]] = {}
+        whole, begin, first = [], [], []      # items, where their parts begin in all, their first parts
+        size = 0
         for item, text in rows:
             text = normalised(text)
-            step = passage // 2
-            cuts = range(0, max(1, len(text) - step), step) if len(text) > passage else [0]
-            for a in cuts:
-                part = text[a:a + passage]
-                if len(part) >= Q:
-                    self.ids.append(item)
-                    self.texts.append(part)
-        self.size = np.array([len(t) for t in self.texts], np.int64)
-        self.k = np.minimum((self.size * edits).astype(np.int64), (self.size - Q) // Q)
+            if not text:
+                continue
+            if len(text) < Q:
+                self.short.setdefault(text, []).append(item)
+                continue
+            first.append(len(self.texts))
+            for a in cuts(len(text), part, step):
+                self.ids.append(item)
+                self.texts.append(text[a:a + part])
+                begin.append(size + a)
+            whole.append(text)
+            size += len(text)
+        self.size = np.array([len(t) for t in self.texts], np.int32)
+        self.k = np.minimum((self.size * edits).astype(np.int32), (self.size - Q) // Q)
         self.least = self.size - Q + 1 - self.k * Q
-        grams = [qgrams(t) for t in self.texts]
-        codes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
+        self.begin = np.array(begin, np.int64)
+        # q-grams of all items in a row; a q-gram belongs to the parts that hold all of it
+        grams = [qgrams(t) for t in whole]
+        starts = np.cumsum([0, *map(len, whole)])[:-1]
+        place = np.concatenate([np.arange(len(g), dtype=np.int64) + a for g, a in zip(grams, starts, strict=True)]) if grams else np.zeros(0, np.int64)
+        codes = self.hashed(np.concatenate(grams)) if grams else np.zeros(0, np.uint32)
         order = np.argsort(codes, kind="stable")
-        self.codes, self.first = np.unique(codes[order], return_index=True)
-        self.count = np.diff(np.append(self.first, len(codes)))
-        self.owner, self.place = owner[order], place[order]
-        bits = max(16, int(np.ceil(np.log2(max(1, len(self.codes)) * 16))))
-        self.shift = np.uint64(64 - bits)
-        self.table = np.zeros(1 << bits, bool)
-        self.table[self.slot(self.codes)] = True
-        #: A region with all its diagonals lies within this many bytes.
-        self.reach = int((self.size + 3 * (self.k + 1) + Q).max()) if len(self.texts) else 0
-
-    def slot(self, codes: np.ndarray) -> np.ndarray:
-        return (codes * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+        self.place = place[order].astype(np.uint32)
+        self.codes, first_at = np.unique(codes[order], return_index=True)
+        self.first = np.append(first_at, len(codes)).astype(np.uint32)
+        bits = min(32, max(16, int(np.ceil(np.log2(max(1, len(self.codes)) * 16)))))
+        self.shift = np.uint32(32 - bits)
+        self.table = np.zeros(1 << (bits - 3), np.uint8)
+        slot = self.codes >> self.shift
+        np.bitwise_or.at(self.table, slot >> np.uint32(3), np.uint8(1) << (slot & np.uint32(7)).astype(np.uint8))
+        #: Parts that a place may belong to, and bytes in which a region with all its diagonals lies.
+        self.overlap = -(-part // step) + 1
+        self.reach = int((self.size + 3 * (self.k + 1) + Q).max()) if self.texts else 0
+
+    def nbytes(self) -> int:
+        """What the tables hold; texts come to about three bytes a byte."""
+        return sum(x.nbytes for x in (self.size, self.k, self.least, self.begin, self.place, self.codes, self.first, self.table)) + sum(map(len, self.texts))
+
+    @staticmethod
+    def hashed(grams: np.ndarray) -> np.ndarray:
+        return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
     def shared(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shared q-grams: document position, passage and its position."""
-        codes = qgrams(data)
-        at = np.flatnonzero(self.table[self.slot(codes)])
+        """Shared q-grams: document position, part and the place in it."""
+        codes = self.hashed(qgrams(data))
+        slot = codes >> self.shift
+        at = np.flatnonzero((self.table[slot >> np.uint32(3)] >> (slot & np.uint32(7)).astype(np.uint8)) & 1)
         i = np.searchsorted(self.codes, codes[at])
         i[i == len(self.codes)] = 0
         true = self.codes[i] == codes[at]
         at, i = at[true], i[true]
-        n = self.count[i]
-        flat = np.repeat(self.first[i] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(int(n.sum()))
-        return np.repeat(at, n), self.owner[flat], self.place[flat]
+        first = self.first[i].astype(np.int64)
+        n = self.first[i + 1].astype(np.int64) - first
+        flat = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        at, place = np.repeat(at, n), self.place[flat].astype(np.int64)
+        # the last part that begins at or before a place, and those before it
+        last = np.searchsorted(self.begin, place, "right") - 1
+        out = []
+        for back in range(self.overlap):
+            who = last - back
+            inside = place - self.begin[np.maximum(who, 0)]
+            good = (who >= 0) & (inside >= 0) & (inside + Q <= self.size[np.maximum(who, 0)])
+            out.append((at[good], who[good], inside[good]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def bands(self, data: bytes) -> list[tuple[int, int]]:
         """Passages and first diagonals of the bands that meet the bound."""
         if not self.texts or len(data) < Q:
             return []
         at, who, place = self.shared(data)
-        width = self.k[who] + 1
+        width = self.k[who].astype(np.int64) + 1
         low = (at - place) // width
         most = (len(data) + self.reach) * 2
         keys = who * most + low + self.reach  # low is at least -reach
         keys, count = np.unique(np.concatenate((keys, keys - 1)), return_counts=True)
         who, low = keys // most, keys % most - self.reach
         good = count >= self.least[who]
-        return list(zip(who[good].tolist(), (low[good] * (self.k[who[good]] + 1)).tolist(), strict=True))
+        return list(zip(who[good].tolist(), (low[good] * (self.k[who[good]].astype(np.int64) + 1)).tolist(), strict=True))
 
     def aligned(self, data: np.ndarray, p: int, low: int, begin: int, end: int) -> int | None:
         """The least edits that make a part of ``data[begin:end]`` passage
@@ -148,6 +189,8 @@ class Passages:
         """For each text the passages in it and their least edits."""
         clean = [normalised(t) for t in texts]
         out: list[dict[int, int]] = [{} for _ in texts]
+        if not self.texts:
+            return out
         # texts side by side, a line end between them, in chunks of bounded size
         group: list[int] = []
         size = 0
@@ -181,6 +224,15 @@ class Passages:
                         seen[p] = min(edits, seen.get(p, edits))
 
 
+    def found_short(self, text: bytes) -> list[int | None]:
+        """Items under ``Q`` bytes that the text holds between blanks."""
+        if not self.short:
+            return []
+        words, most = normalised(text).split(b" "), max(t.count(b" ") for t in self.short) + 1
+        seen = {b" ".join(words[i:i + n]) for n in range(1, most + 1) for i in range(len(words) - n + 1)}
+        return [i for t, ids in self.short.items() if t in seen for i in ids]
+
+
 def blocks(benchmark: DataFrame, most: int = MOST_BYTES) -> Iterator[Passages]:
     """The benchmark's passages in blocks of about ``most`` bytes."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
@@ -196,11 +248,12 @@ def checked(docs: DataFrame, passages: Passages, keep_text: bool) -> DataFrame:
     """``row`` [and ``text``] of ``packed`` documents with ``hits``, the
     passages found in each: item and least edits."""
     small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(passages)   # of bounded size: see blocks
 
     def run(batch: pa.RecordBatch) -> dict:
-        hits = []
-        for seen in passages.found(column_bytes(batch, "text")):
-            best: dict[int | None, tuple[int, float]] = {}
+        hits, passages, texts = [], shared.value, column_bytes(batch, "text")
+        for text, seen in zip(texts, passages.found(texts), strict=True):
+            best: dict[int | None, tuple[int, float]] = {i: (0, 1.0) for i in passages.found_short(text)}
             for p, edits in seen.items():
                 one = (edits, 1 - edits / int(passages.size[p]))
                 best[passages.ids[p]] = min(best.get(passages.ids[p], one), one, key=lambda x: -x[1])
