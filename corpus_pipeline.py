@@ -21,9 +21,10 @@ from tidemark.sources.tables import load
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose language is told with some confidence."""
-    found = language.identified(docs, language.fit(docs))
-    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= language.MIN_SCORE))
+    """Documents with letters whose language is told with some confidence: at
+    least that of the labelled pieces which the network was not trained on."""
+    net = language.fit(docs)
+    kept = language.identified(docs, net).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= (net.floor if net else 0.0)))
     return unpacked(kept, docs.columns)
 
 

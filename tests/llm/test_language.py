@@ -91,3 +91,29 @@ def test_und_and_labels_that_may_not_be_used(spark):
 def test_without_labels_all_are_unknown(spark):
     docs = documents(spark).selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.lang_pred for r in language.digest(docs).collect()} == {"und"}
+
+
+def test_pooled_probabilities_by_a_plain_loop():
+    """A document's score from the labels of its bytes, one byte after another."""
+    net = small_net()
+    for text in (b"sol luna mar", b"werk kraft zug 12 " * 30, "Ärger sol Über".encode(), b"x" * 500):
+        total, n = np.zeros(len(net.languages)), 0
+        for a in range(0, len(text), language.SEGMENT):
+            piece = text[a:a + language.SEGMENT]
+            x, _, _ = language.segments([piece])
+            labels = net.label(x).reshape(-1, len(net.languages))
+            for i, byte in enumerate(piece):
+                if byte >= 128 or chr(byte).isalpha():
+                    total, n = total + labels[i], n + 1
+        assert np.allclose(language.probabilities(net, [text])[0], total / n, atol=1e-5)
+
+
+def test_the_floor_comes_from_pieces_kept_out_of_training(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    seen, real = [], language.trained
+    monkeypatch.setattr(language, "trained", lambda rows, *a: seen.append({p for p, _ in rows}) or real(rows, *a))
+    asked, scores = [], language.probabilities
+    monkeypatch.setattr(language, "probabilities", lambda net, texts: asked.append(set(texts)) or scores(net, texts))
+    net = language.fit(docs, most_docs=60)
+    assert 0 < net.floor < 1 and asked[0] and len(asked[0] & seen[0]) < len(asked[0]) / 10
+    assert net.floor == scores(net, sorted(asked[0])).max(axis=1).min() or abs(net.floor - scores(net, sorted(asked[0])).max(axis=1).min()) < 1e-5

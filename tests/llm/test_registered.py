@@ -38,7 +38,9 @@ def test_pipeline_by_hand(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = written(stage(spark, given, SF), name)
         if name == "language_id":
-            sure = {r.doc_id for r in language.digest(given).collect() if r.lang_pred != "und" and r.score >= language.MIN_SCORE}
+            floor = language.fit(given).floor
+            assert 0 < floor < 1
+            sure = {r.doc_id for r in language.digest(given).collect() if r.lang_pred != "und" and r.score >= floor}
             assert ids(out) == sure
         elif name == "line_dedup":
             assert ids(out) == ids(given) and out.where("n_chars <> length(text)").count() == 0

@@ -41,8 +41,9 @@ STEPS, BATCH = 700, 128
 SEED = 5
 #: Segments that the network reads at once; bounds memory for long texts.
 READ = 1024
-#: A pipeline keeps a document from this score on.
-MIN_SCORE = 0.35
+#: One in so many training documents is kept out of the steps: the least score
+#: of its pieces is the network's ``floor``, below which a pipeline rejects.
+KEPT_OUT = 8
 
 
 def _byte_classes() -> np.ndarray:
@@ -157,6 +158,8 @@ class Network:
     v: np.ndarray
     c: np.ndarray
     languages: list[str]
+    #: The least score of labelled pieces that took no part in training.
+    floor: float = 0.0
 
     def parts(self) -> list[np.ndarray]:
         return [*(p for g in (self.ahead, self.back) for p in (g.w, g.u, g.b)), self.v, self.c]
@@ -277,7 +280,15 @@ def fit(docs: DataFrame, most_docs: int = TRAIN_DOCS, pieces: int = TRAIN_SEGMEN
         return out
 
     rows = in_arrow(some, cut, "lang string, rank long, piece binary").collect()
-    return trained([(bytes(r.piece), r.lang) for r in sorted(rows, key=lambda r: (r.lang, r.rank, bytes(r.piece)))])
+    rows = sorted((r.lang, r.rank, bytes(r.piece)) for r in rows)
+    # a language of few documents is learnt from all of them
+    learnt = {lang for lang, rank, _ in rows if rank % KEPT_OUT}
+    out = {(lang, rank) for lang, rank, _ in rows if rank % KEPT_OUT == 0 and lang in learnt}
+    net = trained([(piece, lang) for lang, rank, piece in rows if (lang, rank) not in out])
+    check = [piece for lang, rank, piece in rows if (lang, rank) in out and has_letters(piece)]
+    if net is not None and check:
+        net.floor = float(probabilities(net, check).max(axis=1).min())
+    return net
 
 
 def has_letters(text: bytes) -> bool:
