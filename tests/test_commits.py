@@ -215,6 +215,6 @@ def test_a_commit_costs_no_spark_job(spark, scratch, topic):
     path = scratch("ledger")
     before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     commits.mark_committed(spark, path, 0, 0, "a", date="2024-01-01")
-    assert commits.is_committed(spark, path, 0, 0) and commits.settled(spark, path, 0, 1, "date", "x") == "x"
-    assert commits.settled(spark, path, 0, 1, "date", "y") == "x" and commits.newest_after(spark, path, None) == (0, 0)
+    assert commits.is_committed(spark, path, 0, 0) and commits.settled(spark, path, 0, 1, "date", lambda: "x") == "x"
+    assert commits.settled(spark, path, 0, 1, "date", lambda: "y") == "x" and commits.newest_after(spark, path, None) == (0, 0)
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before

@@ -69,7 +69,7 @@ def ingest_batch_writer(landing_path: str, ledger_path: str, epoch: int,
             return
         attempt, facts = uuid.uuid4().hex, {"outputs": [landing_path]}
         if date_mode == "batch":
-            facts["date"] = commits.settled(spark, landing_path, epoch, batch_id, "date", clock())
+            facts["date"] = commits.settled(spark, landing_path, epoch, batch_id, "date", clock)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             landed = stamp_batch_date(batch, facts["date"]) if date_mode == "batch" else stamp_row_date(batch)

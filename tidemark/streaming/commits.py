@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,11 +69,12 @@ def is_committed(spark: SparkSession, output: str, epoch: int, batch_id: int) ->
     return fs.exists(spark, f"{_batch(spark, output, epoch, batch_id)}/commit.json")
 
 
-def settled(spark: SparkSession, output: str, epoch: int, batch_id: int, what: str, value: str) -> str:
-    """The value that the first attempt at a batch settled on, from now on
-    ``value`` if there was none (say, the date of a batch)."""
+def settled(spark: SparkSession, output: str, epoch: int, batch_id: int, what: str, value: Callable[[], str]) -> str:
+    """The value that the first attempt at a batch settled on (say, its date);
+    ``value`` is asked only where there is none yet."""
     at = f"{_batch(spark, output, epoch, batch_id)}/_{what}"
-    fs.put_if_absent(spark, at, value)
+    if not fs.exists(spark, at):
+        fs.put_if_absent(spark, at, value())
     return fs.read_text(spark, at)
 
 
