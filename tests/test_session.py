@@ -57,3 +57,21 @@ def test_hive_catalog_is_an_option(monkeypatch):
     assert not seen
     session.build_session(hive=True)
     assert seen
+
+
+def test_scratch_scope_removes_what_it_owns(spark):
+    from tidemark.session import scratch_path, scratch_scope
+    from tidemark.sources import fs
+    outside = scratch_path(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    with scratch_scope(spark) as scope:
+        first, second, last = (scratch_path(spark, n) for n in ("first", "second", "last"))
+        for path in (first, second, last):
+            spark.range(3).write.parquet(path)
+        assert scope.keep_last() == last.rpartition("/")[0]
+    assert spark.read.parquet(last).count() == spark.read.parquet(outside).count() == 3
+    assert not fs.exists(spark, first) and not fs.exists(spark, second)
+    with scratch_scope(spark):
+        path = scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+    assert not fs.exists(spark, path) and fs.exists(spark, last)

@@ -13,6 +13,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -114,10 +116,50 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     segs = [shared_root(spark), "tidemark"]
     if unique:
         segs.append(uuid.uuid4().hex)
+        for scope in _SCOPES:
+            scope.folders.append("/".join(segs))
     segs.extend(parts)
     return "/".join(segs)
 
 
+class Scope:
+    """Scratch folders made while it was open."""
+
+    def __init__(self) -> None:
+        self.folders: list[str] = []
+        self._kept: set[str] = set()
+
+    def keep_last(self) -> str | None:
+        """Keep the folder that was made last; returns it."""
+        last = self.folders[-1] if self.folders else None
+        self._kept.add(last)
+        return last
+
+    def owned(self) -> list[str]:
+        return [f for f in self.folders if f not in self._kept]
+
+
+_SCOPES: list[Scope] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scope]:
+    """Remove the scratch folders made inside, but for those that are kept.
+
+    For work whose result is written somewhere else (or kept) before the scope
+    ends: DataFrames that still read a removed folder fail.
+    """
+    from tidemark.sources import fs
+    scope = Scope()
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPES.remove(scope)
+        for folder in scope.owned():
+            fs.remove(spark, folder)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable (reliable, in the shared root)."""
     shared_root(spark)
