@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, lines, mixing, simhash
 from tidemark.llm.common import unpacked, written
+from tidemark.session import scratch_scope
+from tidemark.sources import fs
 from tidemark.sources.tables import load
 
 
@@ -64,8 +66,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = load(spark, sf_dir, "documents")
+    """All stages over ``documents``.  What a stage writes on the way goes when
+    its result is written, and its input when the next result is."""
+    docs, before = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch_scope(spark) as scope:
+            docs = written(stage(spark, docs, sf_dir), name)
+            kept = scope.keep_last()
+        if before is not None:
+            fs.remove(spark, before)
+        before = kept
     return docs
