@@ -96,7 +96,7 @@ def test_thresholds_keep_the_pigeonhole_sum():
     for parts in (2, 3, 4):
         groups = simhash.grouped_bits(sample, parts)
         assert sorted(b for g in groups for b in g) == list(range(64))
-        limits = simhash.thresholds(sample, groups, 10_000, 3)
+        _, limits = simhash.thresholds(sample, groups, 10_000, 3)
         assert sum(x + 1 for x in limits) == 4 and min(limits) >= -1
 
 
@@ -131,3 +131,16 @@ def test_components(spark, pairs):
             if u != v:
                 least[u] = least[v] = min(least[u], least[v])
     assert got == least
+
+
+def test_the_number_of_parts_has_the_least_estimated_work():
+    rng = np.random.default_rng(4)
+    sample = rng.integers(0, 1 << 63, 600, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 600, dtype=np.uint64)
+    picked = []
+    for n in (1_000, 200_000, 10 ** 10):
+        groups, limits = simhash.planned(sample, n, 3)
+        work = {p: simhash.thresholds(sample, simhash.grouped_bits(sample, p), n, 3)[0] for p in (2, 3, 4)}
+        assert sum(e + 1 for e in limits) == 4 and sorted(b for g in groups for b in g) == list(range(64))
+        assert work[len(groups)] == min(work.values())
+        picked.append(len(groups))
+    assert picked[0] > picked[-1]      # more fingerprints, fewer and longer parts

@@ -87,21 +87,20 @@ def candidates(docs: DataFrame) -> DataFrame:
     """``(k1, k2, doc_id, path, start, end, token, before, after)`` for each
     token that the pattern proposes, in code points of the whole text."""
     text = F.col("text")
-    found = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"),
+    found = docs.select(F.monotonically_increasing_id().alias("rid"), *row_key(), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"),
                         text.alias("text"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("m"))
     # what lies between the matches gives their places
     parts = F.when(F.size("m") > 0, F.split("text", PATTERN, -1))
     rows = (found.withColumn("p", parts)
-            .select("k1", "k2", "doc_id", "path", F.posexplode(F.zip_with(
+            .select("rid", "k1", "k2", "doc_id", "path", F.posexplode(F.zip_with(
                 F.arrays_zip("m", "p"), F.slice("p", F.lit(2), F.size("p")), lambda a, b: F.struct(
                     a["m"].alias("token"), F.length(a["p"]).alias("gap"), F.right(a["p"], F.lit(CONTEXT)).alias("before"),
                     F.left(b, F.lit(CONTEXT)).alias("after")))).alias("i", "x"))
-            .select("k1", "k2", "doc_id", "path", "i", "x.*").where(F.col("token").isNotNull()))
-    # equal documents share a key; the place in the text is the same for each
-    so_far = Window.partitionBy("k1", "k2").orderBy("i").rangeBetween(Window.unboundedPreceding, 0)
-    copies = F.count("*").over(Window.partitionBy("k1", "k2", "i"))
-    end = (F.sum((F.col("gap") + F.length("token")) / F.col("copies")).over(so_far) + 0.5).cast("long")
-    rows = rows.withColumn("copies", copies).withColumn("end", end).withColumn("start", F.col("end") - F.length("token"))
+            .select("rid", "k1", "k2", "doc_id", "path", "i", "x.*").where(F.col("token").isNotNull()))
+    # a row at a time, so that equal documents don't meet in one task
+    so_far = Window.partitionBy("rid").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("end", F.sum((F.col("gap") + F.length("token")).cast("long")).over(so_far))
+    rows = rows.withColumn("start", F.col("end") - F.length("token"))
     short = F.expr(f"rtrim('{_SIGNS}', token)")
     short = F.when(F.col("before").rlike("[\"']$") | (short == ""), F.col("token")).otherwise(short)
     signs = F.substr("token", F.length("short") + 1)

@@ -5,10 +5,11 @@ word shingles.  Fingerprints within ``max_bits`` differing bits are linked,
 and documents are grouped by what links can reach.
 
 Search runs over distinct fingerprints.  Bits that correlate (over a bounded
-sample of fingerprints) are grouped into ``parts`` partitions; each gets a
-threshold, the sum of ``threshold + 1`` being ``max_bits + 1``, so that a pair
-within ``max_bits`` is within the threshold of some partition.  Dynamic
-programming picks the thresholds of least estimated candidates.  A fingerprint
+sample of fingerprints) are grouped into partitions; each gets a threshold, the
+sum of ``threshold + 1`` being ``max_bits + 1``, so that a pair within
+``max_bits`` is within the threshold of some partition.  Dynamic programming
+picks the thresholds of least estimated candidates, for each number of
+partitions up to ``max_bits + 1``, and so also their number.  A fingerprint
 goes to the bucket of its value in each partition and probes the larger values
 within the threshold; every pair that meets in a bucket is verified on all
 bits.  The sample steers cost only: any partition and thresholds find every
@@ -43,7 +44,6 @@ from tidemark.llm.components import components
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 BITS = 64
-PARTS = 3
 #: Fingerprints that the driver samples to estimate correlations and counts.
 SAMPLE = 4096
 #: Members of a bucket that one group compares with one another.
@@ -115,9 +115,9 @@ def part_values(fps: np.ndarray, bits: list[int]) -> np.ndarray:
     return out
 
 
-def thresholds(sample: np.ndarray, groups: list[list[int]], n: int, max_bits: int) -> list[int]:
-    """Thresholds of at least -1 (unused) with the least estimated work for
-    ``n`` fingerprints: probes made and candidates met."""
+def thresholds(sample: np.ndarray, groups: list[list[int]], n: int, max_bits: int) -> tuple[float, list[int]]:
+    """The least estimated work for ``n`` fingerprints, probes made and
+    candidates met, and the thresholds of at least -1 (unused) with it."""
     cost = []
     for bits in groups:
         values = part_values(sample, bits)
@@ -137,7 +137,18 @@ def thresholds(sample: np.ndarray, groups: list[list[int]], n: int, max_bits: in
                 if t + e <= max_bits + 1 and (t + e not in step or c + more < step[t + e][0]):
                     step[t + e] = (c + more, [*picks, e - 1])
         best = step
-    return best[max_bits + 1][1]
+    return best[max_bits + 1]
+
+
+def planned(sample: np.ndarray, n: int, max_bits: int, parts: int | None = None) -> tuple[list[list[int]], list[int]]:
+    """Groups of bits and their thresholds, for ``parts`` groups or the number
+    of least estimated work."""
+    plans = []
+    for count in range(min(2, max_bits + 1), max_bits + 2) if parts is None else [parts]:
+        groups = grouped_bits(sample, count)
+        plans.append((*thresholds(sample, groups, n, max_bits), groups))
+    _, limits, groups = min(plans, key=lambda p: p[0])
+    return groups, limits
 
 
 # -- search --------------------------------------------------------------------
@@ -223,14 +234,14 @@ def bucket_links(rows: DataFrame, max_bits: int, tile: int = TILE) -> DataFrame:
     return cut.mapInArrow(links, "u long, v long")
 
 
-def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS, tile: int = TILE) -> DataFrame:
+def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, parts: int | None = None, tile: int = TILE) -> DataFrame:
     """Links that connect the distinct fingerprints ``fp`` as all pairs within
     ``max_bits`` would."""
     n = distinct.count()
     some = [r.fp for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
     sample = np.array(some, np.int64).view(np.uint64)
-    groups = grouped_bits(sample, parts)
-    return bucket_links(bucketed(distinct, groups, thresholds(sample, groups, n, max_bits)), max_bits, tile)
+    groups, limits = planned(sample, n, max_bits, parts)
+    return bucket_links(bucketed(distinct, groups, limits), max_bits, tile)
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
