@@ -25,11 +25,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry._q.ORACLE_SQL) == set(entry._q.QUERIES)
+    assert set(entry._q.ORACLE_SQL) == set(entry._q.QUERIES) and set(entry._qp.ORACLE_SQL) == set(entry._qp.QUERIES)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry._q.QUERIES))
+@pytest.mark.parametrize("name", sorted(entry._q.QUERIES | entry._qp.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got = digest(df.columns, [tuple(r) for r in df.collect()])

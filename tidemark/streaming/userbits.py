@@ -8,7 +8,9 @@ batches, as a part of its own.  What it writes follows what is new; parts are
 merged two of a size at a time.
 
 Numbers are given by group of users (a hash), each group counting for itself,
-so no single task numbers all users.
+so no single task numbers all users; the groups' numbers alternate, so all of
+them together are as dense as the groups are even, and few users share few
+buckets.
 
 Layout: ``<path>/names/part=<p>`` ``(group_id, user_id, n)``, ``<path>/bits/part=<p>``
 ``(day, bucket, bits)`` and manifests as for snapshots
@@ -29,8 +31,8 @@ from tidemark.streaming.ledger import (TRIES, fence, generations, new_part, newe
 
 NAMES_SCHEMA = "group_id INT, user_id STRING, n BIGINT, part STRING"
 BITS_SCHEMA = "day STRING, bucket BIGINT, bits BINARY, part STRING"
-#: Groups of users that are numbered at the same time, and numbers of each.
-GROUPS, EACH = 256, 1 << 40
+#: Groups of users that are numbered at the same time.
+GROUPS = 256
 
 
 def _read(spark: SparkSession, path: str, kind: str, parts: list) -> DataFrame:
@@ -75,9 +77,10 @@ def fold_users(spark: SparkSession, ledger_path: str, path: str) -> tuple[int, i
         unknown = members.select(group, "user_id").distinct().join(names, ["group_id", "user_id"], "left_anti")
         given = names.groupBy("group_id").agg(F.max("n").alias("last"))
         rank = F.row_number().over(Window.partitionBy("group_id").orderBy("user_id"))
-        first = F.col("group_id").cast("bigint") * EACH
+        # the k-th user of group g has the number (k - 1) * GROUPS + g + 1
+        before = F.coalesce(F.col("last"), F.col("group_id") + 1 - GROUPS)
         (unknown.withColumn("rank", rank).join(given, "group_id", "left")
-         .select("group_id", "user_id", (F.coalesce(F.col("last"), first) + F.col("rank")).cast("bigint").alias("n"))
+         .select("group_id", "user_id", (before + F.col("rank") * GROUPS).cast("bigint").alias("n"))
          .write.parquet(f"{root}/names/part={part}"))
         now = [*[p for p in parts if p[0] == "names"], ["names", part, 1]]
         numbered = members.select("day", group, "user_id").join(_read(spark, path, "names", now), ["group_id", "user_id"])
