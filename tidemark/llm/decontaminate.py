@@ -218,9 +218,13 @@ class Passages:
                 low += begin
                 last = low + 2 * (int(self.k[p]) + 1) + len(self.texts[p])
                 for d in range(int(np.searchsorted(ends, max(0, low))), min(len(group), int(np.searchsorted(starts, last)))):
-                    edits = self.aligned(view, p, low, int(starts[d]), int(ends[d]))
+                    seen, begin_, end_ = out[group[d]], int(starts[d]), int(ends[d])
+                    if seen.get(p) == 0:
+                        continue
+                    # the part as it is, on the band's diagonals, needs no alignment
+                    same = data.find(self.texts[p], max(begin_, low), min(end_, last - 1)) >= 0
+                    edits = 0 if same else self.aligned(view, p, low, begin_, end_)
                     if edits is not None:
-                        seen = out[group[d]]
                         seen[p] = min(edits, seen.get(p, edits))
 
 
