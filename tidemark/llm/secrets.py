@@ -56,7 +56,8 @@ _SET = r"(?i:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|au
 PATTERN = (rf"-----BEGIN [A-Z ]{{0,32}}PRIVATE KEY-----|(?<![{_T}])(?:(?=[A-Za-z_+/-]*+[0-9])|(?=[A-Z_+/-]{{16}}))"
            rf"[{_T}]{{12,}}+={{0,2}}"
            rf"|(?<![{_T}])(?:{'|'.join(_FORMATS)})(?![{_T}])"
-           rf"|(?<={_SET}[\"'])[^\s\"']++|(?<={_SET})[^\s\"'=:>][^\s\"']*+")
+           # few places have a sign of assignment just before them: only there are names looked for
+           rf"|(?<=[=:>\"'\s])(?<=[=:>][\s\"']{{0,5}})(?:(?<={_SET}[\"'])[^\s\"']++|(?<={_SET})[^\s\"'=:>][^\s\"']*+)")
 #: What ends a sentence or a bracket is no part of a value without quotes.
 _SIGNS = ".,;:?)]}"
 
